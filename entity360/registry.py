@@ -60,7 +60,7 @@ def flat(df: DataFrame) -> DataFrame:
 def unnested(df: DataFrame, array: str) -> DataFrame:
     """One row per array item with its position, counted from 1."""
     items = df.select(KEY, F.posexplode(array).alias("pos", "item"))
-    return flat(items.select(KEY, (F.col("pos") + 1).alias("position"), "item.*"))
+    return flat(items.select(KEY, (F.col("pos") + 1).cast("bigint").alias("position"), "item.*"))
 
 
 class Product:
