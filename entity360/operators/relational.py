@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
-from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,30 +68,32 @@ def align_events(df: DataFrame, **constants: str) -> DataFrame:
     ``constants`` become text columns; a column the branch lacks is a typed NULL, or
     a typed empty array.
     """
+    present = set(df.columns)
     columns = []
     for field in LEDGER_SCHEMA.fields:
-        if field.name in RESOLVED:
+        name, kind = field.name, field.dataType.simpleString()
+        if name in RESOLVED:
             continue
-        if field.name in constants:
-            value = F.lit(constants[field.name])
-        elif field.name in df.columns:
-            value = F.col(field.name)
-        elif isinstance(field.dataType, T.ArrayType):
-            value = F.array()
-        else:
-            value = F.lit(None)
-        columns.append(value.cast(field.dataType).alias(field.name))
+        if name in constants:
+            columns.append(F.lit(constants[name]).alias(name))
+            continue
+        absent = "array()" if isinstance(field.dataType, T.ArrayType) else "NULL"
+        columns.append(F.expr(f"CAST({name if name in present else absent} AS {kind}) AS {name}"))
     return df.select(*columns)
 
 
-def with_defaults(df: DataFrame, defaults: Mapping[str, Any]) -> DataFrame:
+def with_defaults(df: DataFrame, defaults: Mapping[str, bool | int | list]) -> DataFrame:
     """Replace NULLs by typed defaults; an empty list stands for an empty array."""
-    kinds = {field.name: field.dataType for field in df.schema.fields}
-    filled = {}
-    for name, default in defaults.items():
-        value = F.array() if isinstance(default, list) and not default else F.lit(default)
-        filled[name] = F.coalesce(F.col(name), value.cast(kinds[name]))
-    return df.withColumns(filled)
+    columns = []
+    for field in df.schema.fields:
+        name, kind = field.name, field.dataType.simpleString()
+        if name in defaults:
+            default = defaults[name]
+            text = "array()" if isinstance(default, list) else str(default)
+            columns.append(f"coalesce(`{name}`, CAST({text} AS {kind})) AS `{name}`")
+        else:
+            columns.append(f"`{name}`")
+    return df.selectExpr(*columns)
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]) -> DataFrame:

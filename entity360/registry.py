@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,31 +30,25 @@ from entity360.sources.sample import AS_OF, SampleSources
 KEY = "canonical_company_id"
 
 
-def _item_texter(fields: Sequence[T.StructField]) -> Callable[[Column], Column]:
-    def text(item: Column) -> Column:
-        parts = [
-            F.array_join(item[f.name], "+")
-            if isinstance(f.dataType, T.ArrayType)
-            else F.coalesce(item[f.name].cast("string"), F.lit(""))
-            for f in fields
-        ]
-        return F.concat_ws("~", *parts)
-
-    return text
+def _text_of(value: str, kind: T.DataType) -> str:
+    if isinstance(kind, T.ArrayType):
+        return f"array_join({value}, '+')"
+    return f"coalesce(CAST({value} AS STRING), '')"
 
 
 def flat(df: DataFrame) -> DataFrame:
     """Arrays as text, so that results compare by value in any engine."""
     columns = []
     for field in df.schema.fields:
-        column = F.col(field.name)
+        value = f"`{field.name}`"
         if isinstance(field.dataType, T.ArrayType):
             item = field.dataType.elementType
             if isinstance(item, T.StructType):
-                column = F.transform(column, _item_texter(item.fields))
-            column = F.array_join(column, ";")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+                parts = ", ".join(_text_of(f"x.`{f.name}`", f.dataType) for f in item.fields)
+                value = f"transform({value}, x -> concat_ws('~', {parts}))"
+            value = f"array_join({value}, ';')"
+        columns.append(f"{value} AS `{field.name}`")
+    return df.selectExpr(*columns)
 
 
 def unnested(df: DataFrame, array: str) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from entity360.sources.schemas import SOURCE_SCHEMAS
@@ -42,12 +41,12 @@ def conform_source(df: DataFrame, name: str) -> DataFrame:
         elif not _fits(kind, field.dataType):
             problems.append(f"{field.name}: {kind.simpleString()}, not {field.dataType.simpleString()}")
         elif kind == field.dataType or isinstance(kind, _TIME):
-            columns.append(F.col(f"`{field.name}`"))
+            columns.append(f"`{field.name}`")
         else:
-            columns.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
+            columns.append(f"CAST(`{field.name}` AS {field.dataType.simpleString()}) AS `{field.name}`")
     if problems:
         raise SchemaMismatch(f"source {name}: " + "; ".join(problems))
-    return df.select(*columns)
+    return df.selectExpr(*columns)
 
 
 def load_source(

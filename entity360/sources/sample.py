@@ -1,420 +1,419 @@
 """The fourteen sources, derived from the generic test tables.
 
-NULLs and odd values come from modulus rules, so an SQL engine can state the same rules.
+NULLs and odd values come from modulus rules, so another SQL engine can state the same
+rules. Tables are read with a given schema: no footer is opened to plan a query.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity360 import constants as C
 from entity360.sources.loader import conform_source
 
 AS_OF = date(1999, 6, 15)
 
-
-def _text(value: Column) -> Column:
-    return value.cast("string")
-
-
-def _null_when(condition: Column, value: Column) -> Column:
-    return F.when(~condition, value)
-
-
-def _entity(number: Column) -> Column:
-    return F.concat(F.lit("ent-"), _text(number.cast("bigint")))
-
-
-def _day(ts: str) -> Column:
-    return F.to_date(ts)
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
 
 
 class SampleSources:
-    """Sources by name, each read from the Parquet files under ``folder``."""
+    """Sources by name over the Parquet files in ``folder``; each is built once."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self._spark = spark
         self._folder = folder
+        self._sources: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
-    def _table(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
-
-    def _order_dates(self) -> DataFrame:
-        orders = self._table("orders")
-        return orders.groupBy("o_custkey").agg(
-            F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order")
-        )
-
-    def _users(self) -> DataFrame:
-        return self._table("events").select("user_id").distinct()
-
-    def int_cross_source_companies(self) -> DataFrame:
-        def part(df, key, system, canonical, unmapped, review, confidence, name):
-            return df.select(
-                _null_when(unmapped, _entity(canonical)).alias("canonical_company_id"),
-                F.lit(system).alias("source_system"),
-                _text(key).alias("source_company_id"),
-                name.alias("source_company_name"),
-                review.alias("requires_manual_review"),
-                confidence.alias("match_confidence"),
-                (key % 3 + 1).alias("match_priority"),
-                F.when(key % 3 == 0, "direct_id").when(key % 3 == 1, "name").otherwise("domain").alias(
-                    "match_method"
-                ),
-                F.concat(F.lit("key "), _text(key)).alias("match_detail"),
-                F.to_timestamp_ntz(F.lit("1999-06-01 00:00:00")).alias("_resolved_at"),
-            )
-
-        def review(key):
-            return key % 11 == 0
-
-        def confidence(key):
-            return (key % 100) / F.lit(100.0)
-
-        cust, supp, user = F.col("c_custkey"), F.col("s_suppkey"), F.col("user_id")
-        parts = [
-            part(
-                self._table("customer"),
-                cust,
-                C.HUBSPOT,
-                F.floor(cust / 3),
-                cust % 53 == 0,
-                _null_when(cust % 17 == 0, review(cust)),
-                _null_when(cust % 13 == 0, confidence(cust)),
-                F.col("c_name"),
-            ),
-            part(
-                self._table("supplier"),
-                supp,
-                C.OFFICERND,
-                F.floor(supp / 2),
-                supp % 7 == 3,
-                _null_when(supp % 17 == 0, review(supp)),
-                _null_when(supp % 13 == 0, confidence(supp)),
-                F.col("s_name"),
-            ),
-            part(
-                self._users(),
-                user,
-                C.BIGTIME,
-                user,
-                user % 29 == 0,
-                review(user),
-                confidence(user),
-                F.concat(F.lit("Client "), _text(user)),
-            ),
-        ]
-        return reduce(DataFrame.unionByName, parts)
-
-    def stg_hubspot_companies(self) -> DataFrame:
-        key = F.col("c_custkey")
-        nation = self._table("nation").select("n_nationkey", "n_name")
-        return (
-            self._table("customer")
-            .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(self._order_dates(), F.col("o_custkey") == key, "left")
-            .select(
-                key.alias("company_id"),
-                F.when(key % 19 == 0, "").otherwise(F.col("c_name")).alias("company_name"),
-                F.when(key % 10 == 0, "")
-                .otherwise(F.concat(F.lit("c"), _text(key), F.lit(".example")))
-                .alias("company_domain"),
-                F.col("c_mktsegment").alias("industry"),
-                F.when(key % 4 == 1, "")
-                .otherwise(F.concat(F.lit("City "), _text(key % 40)))
-                .alias("property_city"),
-                F.col("n_name").alias("property_country"),
-                (key % 500).cast("double").alias("employee_count"),
-                F.col("c_acctbal").alias("annual_revenue"),
-                F.col("first_order").alias("created_at"),
-                _null_when(key % 23 == 0, F.col("last_order")).alias("updated_at"),
-            )
-        )
-
-    def hubspot_company(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self._table("customer").select(
-            key.alias("id"),
-            _null_when(key % 31 == 0, F.col("c_nationkey").cast("bigint")).alias(
-                "property_hubspot_owner_id"
-            ),
-            F.col("c_name").alias("property_name"),
-        )
-
-    def hubspot_owner(self) -> DataFrame:
-        key = F.col("n_nationkey").cast("bigint")
-        return self._table("nation").select(
-            key.alias("owner_id"),
-            _null_when(key % 6 == 0, F.col("n_name")).alias("first_name"),
-            _null_when(key % 4 == 0, F.concat(F.lit("Owner"), _text(key))).alias("last_name"),
-            F.when(key % 5 == 0, "")
-            .otherwise(F.concat(F.lower("n_name"), F.lit("@owner.example")))
-            .alias("email"),
-        )
-
-    def stg_officernd_companies(self) -> DataFrame:
-        key = F.col("s_suppkey")
-        dates = (
-            self._table("lineitem")
-            .groupBy("l_suppkey")
-            .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
-        )
-        return (
-            self._table("supplier")
-            .join(dates, F.col("l_suppkey") == key, "left")
-            .select(
-                _text(key).alias("company_id"),
-                _null_when(key % 8 == 5, F.col("s_name")).alias("company_name"),
-                F.concat(F.lit("s"), _text(key), F.lit("@space.example")).alias("company_email"),
-                F.when(key % 4 == 0, "")
-                .otherwise(F.concat(F.lit("space.example/"), _text(key)))
-                .alias("company_url"),
-                F.when(key % 3 == 0, "active").when(key % 3 == 1, "inactive").alias("company_status"),
-                F.when(key % 2 == 0, "startup").otherwise("partner").alias("company_type"),
-                F.concat(F.lit("tier "), _text(key % 4)).alias("company_tier"),
-                F.concat(F.lit("loc-"), _text(key % 5)).alias("location_id"),
-                F.to_date("first_ship").alias("start_date"),
-                F.col("last_ship").alias("modified_at"),
-            )
-        )
-
-    def stg_bigtime_clients(self) -> DataFrame:
-        key = F.col("user_id")
-        return self._users().select(
-            key.alias("client_id"),
-            F.when(key % 7 == 0, "")
-            .otherwise(F.concat(F.lit("Client "), _text(key)))
-            .alias("client_name"),
-            F.concat(F.lit("Client "), _text(key), F.lit(" Ltd")).alias("client_legal_name"),
-            F.concat(F.lit("C-"), _text(key)).alias("client_code"),
-            F.when(key % 3 == 0, "").otherwise("external").alias("client_type"),
-            F.concat(F.lit("City "), _text(key % 40)).alias("city"),
-            F.concat(F.lit("State "), _text(key % 50)).alias("state"),
-            F.lit("NATION_1").alias("country"),
-            _null_when(key % 8 == 1, key % 5 == 0).alias("is_deleted"),
-        )
-
-    def stg_hubspot_deals(self) -> DataFrame:
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        status = F.col("o_orderstatus")
-        return self._table("orders").select(
-            _text(key).alias("deal_id"),
-            F.concat(F.lit("Deal "), _text(key)).alias("deal_name"),
-            F.col("o_orderpriority").alias("deal_type"),
-            F.when(key % 37 == 0, F.lit(None))
-            .when(status == "F", "won")
-            .when(status == "O", "open")
-            .otherwise("other")
-            .alias("deal_status"),
-            _null_when(key % 5 == 0, day).alias("work_start_date"),
-            _null_when(key % 10 == 0, day + F.expr("INTERVAL 10 DAYS")).alias("close_date"),
-            (day - F.expr("INTERVAL 5 DAYS")).alias("created_at"),
-            F.when(key % 3 == 0, day + F.expr("INTERVAL 100 DAYS")).alias("work_end_date"),
-            _null_when(key % 43 == 0, F.col("o_totalprice")).alias("deal_amount"),
-        )
-
-    def stg_hubspot_deal_company(self) -> DataFrame:
-        """Per order its primary company, and by rule two kinds of other association."""
-        key, cust = F.col("o_orderkey"), F.col("o_custkey")
-
-        def link(company, category, type_id):
-            return F.struct(
-                _text(company).alias("company_id"),
-                F.lit(category).alias("category"),
-                F.lit(type_id).cast("bigint").alias("type_id"),
-            )
-
-        links = F.array_compact(
-            F.array(
-                link(cust, C.PRIMARY_COMPANY_CATEGORY, C.PRIMARY_COMPANY_TYPE),
-                F.when(key % 4 == 0, link(cust + 1, C.PRIMARY_COMPANY_CATEGORY, 6)),
-                F.when(key % 6 == 0, link(cust + 2, "USER_DEFINED", C.PRIMARY_COMPANY_TYPE)),
-            )
-        )
-        return self._table("orders").select(_text(key).alias("deal_id"), F.inline(links))
-
-    def _urgent(self) -> DataFrame:
-        return self._table("orders").where(F.col("o_orderpriority") == "1-URGENT")
-
-    def hubspot_projects(self) -> DataFrame:
-        key, day = F.col("o_orderkey"), F.col("o_orderdate")
-        status = F.col("o_orderstatus")
-        return self._urgent().select(
-            key.alias("id"),
-            F.concat(F.lit("Project "), _text(key)).alias("property_project_name"),
-            F.concat(F.lit("Kind "), _text(key % 5)).alias("property_project_category"),
-            F.when(status == "F", "completed")
-            .when(status == "O", "in progress")
-            .alias("property_project_status"),
-            day.alias("property_project_start_date"),
-            F.when(status != "O", day + F.expr("INTERVAL 90 DAYS")).alias(
-                "property_project_end_date"
-            ),
-            F.when(key % 4 != 0, F.concat(F.lit("Studio "), _text(key % 4))).alias(
-                "property_offering"
-            ),
-            F.when(key % 41 == 0, True).when(key % 2 == 0, False).alias("_fivetran_deleted"),
-        )
-
-    def hubspot_projects_to_company(self) -> DataFrame:
-        """Startups from the order's customer, now and then two; partners from its lines.
-
-        Partners on line number 7 have no company row.
-        """
-        key, cust = F.col("o_orderkey"), F.col("o_custkey")
-        startups = self._urgent().select(
-            key.alias("from_id"),
-            F.explode(
-                F.array_compact(F.array(cust, F.when(key % 50 == 0, cust + 1)))
-            ).alias("to_id"),
-            F.lit(C.PROJECT_STARTUP_TYPE).cast("bigint").alias("type_id"),
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._sources:
+            self._sources[name] = conform_source(_RULES[name](self), name)
+        return self._sources[name]
+
+    def table(self, name: str) -> DataFrame:
+        if name not in self._tables:
+            reader = self._spark.read.schema(TABLES[name])
+            self._tables[name] = reader.parquet(f"{self._folder}/{name}.parquet")
+        return self._tables[name]
+
+
+# --- Identity -------------------------------------------------------------------------
+
+
+def _mapping_part(system: str, key: str, entity: str, name: str, rules: dict[str, str]) -> list[str]:
+    return [
+        f"CASE WHEN NOT ({rules['unmapped']}) THEN concat('ent-', CAST({entity} AS STRING)) END "
+        "AS canonical_company_id",
+        f"'{system}' AS source_system",
+        f"CAST({key} AS STRING) AS source_company_id",
+        f"{name} AS source_company_name",
+        f"{rules['review']} AS requires_manual_review",
+        f"{rules['confidence']} AS match_confidence",
+        f"{key} % 3 + 1 AS match_priority",
+        f"element_at(array('direct_id', 'name', 'domain'), CAST({key} % 3 AS INT) + 1) AS match_method",
+        f"concat('key ', CAST({key} AS STRING)) AS match_detail",
+        "TIMESTAMP_NTZ '1999-06-01 00:00:00' AS _resolved_at",
+    ]
+
+
+def _sometimes_null(key: str) -> dict[str, str]:
+    return {
+        "review": f"CASE WHEN {key} % 17 != 0 THEN {key} % 11 = 0 END",
+        "confidence": f"CASE WHEN {key} % 13 != 0 THEN {key} % 100 / 100D END",
+    }
+
+
+def _users(s: SampleSources) -> DataFrame:
+    return s.table("events").select("user_id").distinct()
+
+
+def _mapping(s: SampleSources) -> DataFrame:
+    crm = s.table("customer").selectExpr(
+        *_mapping_part(
+            "hubspot",
+            "c_custkey",
+            "c_custkey div 3",
+            "c_name",
+            {"unmapped": "c_custkey % 53 = 0", **_sometimes_null("c_custkey")},
         )
-        lines = self._table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
-        partners = (
-            self._urgent()
-            .select("o_orderkey")
-            .join(lines, F.col("l_orderkey") == key)
-            .select(
-                key.alias("from_id"),
-                F.when(F.col("l_linenumber") == 7, F.col("l_suppkey") + 1_000_000_000)
-                .otherwise(F.col("l_suppkey"))
-                .alias("to_id"),
-                F.lit(C.PROJECT_PARTNER_TYPE).cast("bigint").alias("type_id"),
-            )
+    )
+    workspace = s.table("supplier").selectExpr(
+        *_mapping_part(
+            "officernd",
+            "s_suppkey",
+            "s_suppkey div 2",
+            "s_name",
+            {"unmapped": "s_suppkey % 7 = 3", **_sometimes_null("s_suppkey")},
         )
-        return startups.unionByName(partners)
-
-    def _membership_columns(self) -> dict[str, Column]:
-        part, price, discount = F.col("l_partkey"), F.col("l_extendedprice"), F.col("l_discount")
-        state = F.col("l_linenumber") % 7
-        ids = F.concat_ws(
-            "-", *[_text(F.col(c)) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]
+    )
+    services = _users(s).selectExpr(
+        *_mapping_part(
+            "bigtime",
+            "user_id",
+            "user_id",
+            "concat('Client ', CAST(user_id AS STRING))",
+            {
+                "unmapped": "user_id % 29 = 0",
+                "review": "user_id % 11 = 0",
+                "confidence": "user_id % 100 / 100D",
+            },
         )
-        return {
-            "membership_id": ids,
-            "company_id": _text(F.col("l_suppkey")),
-            "member_id": _text(F.col("l_orderkey")),
-            "membership_status": F.when(state == 0, "active")
-            .when(state == 1, "expired")
-            .when(state == 2, "not_started")
-            .when(state == 3, "not_approved")
-            .when(state == 4, "on_hold")
-            .when(state == 6, "paused"),
-            "calculated_list_price": _null_when(part % 4 == 0, price),
-            "discounted_price": _null_when(part % 8 == 0, price * (F.lit(1.0) - discount)),
-            "price": _null_when(part % 16 == 0, price),
-        }
-
-    def int_membership_detail(self) -> DataFrame:
-        part = F.col("l_partkey")
-        columns = self._membership_columns()
-        return self._table("lineitem").select(
-            *[value.alias(name) for name, value in columns.items()],
-            _null_when(part % 3 == 0, F.concat(F.lit("asg-"), _text(part))).alias("assignment_id"),
-            _day("l_shipdate").alias("period_start_date"),
-            F.when(
-                F.col("l_linestatus") != "O", F.date_add(_day("l_shipdate"), 365)
-            ).alias("period_end_date"),
-            F.concat(F.lit("Membership "), columns["member_id"]).alias("membership_name"),
-            F.nullif(F.col("l_returnflag"), F.lit("N")).alias("membership_category"),
+    )
+    return crm.unionByName(workspace).unionByName(services)
+
+
+# --- Company records ------------------------------------------------------------------
+
+
+def _crm_companies(s: SampleSources) -> DataFrame:
+    dates = (
+        s.table("orders")
+        .groupBy("o_custkey")
+        .agg(F.min("o_orderdate").alias("first_order"), F.max("o_orderdate").alias("last_order"))
+    )
+    return (
+        s.table("customer")
+        .join(s.table("nation"), F.expr("c_nationkey = n_nationkey"))
+        .join(dates, F.expr("o_custkey = c_custkey"), "left")
+        .selectExpr(
+            "c_custkey AS company_id",
+            "CASE WHEN c_custkey % 19 = 0 THEN '' ELSE c_name END AS company_name",
+            "CASE WHEN c_custkey % 10 = 0 THEN '' "
+            "ELSE concat('c', CAST(c_custkey AS STRING), '.example') END AS company_domain",
+            "c_mktsegment AS industry",
+            "CASE WHEN c_custkey % 4 = 1 THEN '' "
+            "ELSE concat('City ', CAST(c_custkey % 40 AS STRING)) END AS property_city",
+            "n_name AS property_country",
+            "CAST(c_custkey % 500 AS DOUBLE) AS employee_count",
+            "c_acctbal AS annual_revenue",
+            "first_order AS created_at",
+            "CASE WHEN c_custkey % 23 != 0 THEN last_order END AS updated_at",
         )
-
-    def stg_bigtime_projects(self) -> DataFrame:
-        key = F.col("event_id")
-        return (
-            self._table("events")
-            .where(F.col("event_type") == "purchase")
-            .select(
-                key.alias("project_id"),
-                F.col("user_id").alias("client_id"),
-                F.concat(F.lit("Services "), _text(key)).alias("project_name"),
-                F.when(key % 3 == 0, "")
-                .otherwise(F.concat(F.lit("Phase "), _text(key % 4)))
-                .alias("production_status_name"),
-                _null_when(key % 9 == 0, key % 2 == 0).alias("is_inactive"),
-                _day("ts").alias("start_date"),
-                F.when(key % 4 != 0, F.date_add(_day("ts"), 30)).alias("end_date"),
-                F.col("value").alias("budget_fees"),
-            )
+    )
+
+
+def _raw_companies(s: SampleSources) -> DataFrame:
+    return s.table("customer").selectExpr(
+        "c_custkey AS id",
+        "CASE WHEN c_custkey % 31 != 0 THEN CAST(c_nationkey AS BIGINT) END AS property_hubspot_owner_id",
+        "c_name AS property_name",
+    )
+
+
+def _owners(s: SampleSources) -> DataFrame:
+    return s.table("nation").selectExpr(
+        "CAST(n_nationkey AS BIGINT) AS owner_id",
+        "CASE WHEN n_nationkey % 6 != 0 THEN n_name END AS first_name",
+        "CASE WHEN n_nationkey % 4 != 0 THEN concat('Owner', CAST(n_nationkey AS STRING)) END AS last_name",
+        "CASE WHEN n_nationkey % 5 = 0 THEN '' ELSE concat(lower(n_name), '@owner.example') END AS email",
+    )
+
+
+def _workspace_companies(s: SampleSources) -> DataFrame:
+    dates = (
+        s.table("lineitem")
+        .groupBy("l_suppkey")
+        .agg(F.min("l_shipdate").alias("first_ship"), F.max("l_shipdate").alias("last_ship"))
+    )
+    return (
+        s.table("supplier")
+        .join(dates, F.expr("l_suppkey = s_suppkey"), "left")
+        .selectExpr(
+            "CAST(s_suppkey AS STRING) AS company_id",
+            "CASE WHEN s_suppkey % 8 != 5 THEN s_name END AS company_name",
+            "concat('s', CAST(s_suppkey AS STRING), '@space.example') AS company_email",
+            "CASE WHEN s_suppkey % 4 = 0 THEN '' "
+            "ELSE concat('space.example/', CAST(s_suppkey AS STRING)) END AS company_url",
+            "CASE s_suppkey % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'inactive' END AS company_status",
+            "CASE WHEN s_suppkey % 2 = 0 THEN 'startup' ELSE 'partner' END AS company_type",
+            "concat('tier ', CAST(s_suppkey % 4 AS STRING)) AS company_tier",
+            "concat('loc-', CAST(s_suppkey % 5 AS STRING)) AS location_id",
+            "CAST(first_ship AS DATE) AS start_date",
+            "last_ship AS modified_at",
         )
-
-    def int_membership_months(self) -> DataFrame:
-        part, price, discount = F.col("l_partkey"), F.col("l_extendedprice"), F.col("l_discount")
-        flag = F.col("l_returnflag")
-        return self._table("lineitem").select(
-            *[value.alias(name) for name, value in self._membership_columns().items()],
-            F.trunc(_day("l_shipdate"), "month").alias("month_start"),
-            flag.alias("location_id"),
-            F.concat(F.lit("Location "), flag).alias("location_name"),
-            F.lower(flag).alias("location_code"),
-            F.nullif(F.col("l_linestatus"), F.lit("O")).alias("membership_category"),
-            _text(part % 10).alias("plan_id"),
-            F.concat(F.lit("Plan "), _text(part % 10)).alias("plan_name"),
-            _null_when(part % 6 == 0, price * discount).alias("calculated_discount_amount"),
-            (discount > 0.01).alias("is_contracted_in_month"),
+    )
+
+
+def _services_clients(s: SampleSources) -> DataFrame:
+    return _users(s).selectExpr(
+        "user_id AS client_id",
+        "CASE WHEN user_id % 7 = 0 THEN '' ELSE concat('Client ', CAST(user_id AS STRING)) END AS client_name",
+        "concat('Client ', CAST(user_id AS STRING), ' Ltd') AS client_legal_name",
+        "concat('C-', CAST(user_id AS STRING)) AS client_code",
+        "CASE WHEN user_id % 3 = 0 THEN '' ELSE 'external' END AS client_type",
+        "concat('City ', CAST(user_id % 40 AS STRING)) AS city",
+        "concat('State ', CAST(user_id % 50 AS STRING)) AS state",
+        "'NATION_1' AS country",
+        "CASE WHEN user_id % 8 != 1 THEN user_id % 5 = 0 END AS is_deleted",
+    )
+
+
+# --- Engagements ----------------------------------------------------------------------
+
+
+def _deals(s: SampleSources) -> DataFrame:
+    return s.table("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS deal_id",
+        "concat('Deal ', CAST(o_orderkey AS STRING)) AS deal_name",
+        "o_orderpriority AS deal_type",
+        "CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'won' "
+        "WHEN o_orderstatus = 'O' THEN 'open' ELSE 'other' END AS deal_status",
+        "CASE WHEN o_orderkey % 5 != 0 THEN o_orderdate END AS work_start_date",
+        "CASE WHEN o_orderkey % 10 != 0 THEN o_orderdate + INTERVAL 10 DAYS END AS close_date",
+        "o_orderdate - INTERVAL 5 DAYS AS created_at",
+        "CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 100 DAYS END AS work_end_date",
+        "CASE WHEN o_orderkey % 43 != 0 THEN o_totalprice END AS deal_amount",
+    )
+
+
+def _deal_links(s: SampleSources) -> DataFrame:
+    """Per order its primary company, and by rule two other associations."""
+    return s.table("orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS deal_id",
+        """inline(array_compact(array(
+             named_struct('company_id', CAST(o_custkey AS STRING), 'category', 'HUBSPOT_DEFINED', 'type_id', 5L),
+             CASE WHEN o_orderkey % 4 = 0 THEN
+               named_struct('company_id', CAST(o_custkey + 1 AS STRING), 'category', 'HUBSPOT_DEFINED', 'type_id', 6L) END,
+             CASE WHEN o_orderkey % 6 = 0 THEN
+               named_struct('company_id', CAST(o_custkey + 2 AS STRING), 'category', 'USER_DEFINED', 'type_id', 5L) END
+           )))""",
+    )
+
+
+def _urgent(s: SampleSources) -> DataFrame:
+    return s.table("orders").where("o_orderpriority = '1-URGENT'")
+
+
+def _projects(s: SampleSources) -> DataFrame:
+    return _urgent(s).selectExpr(
+        "o_orderkey AS id",
+        "concat('Project ', CAST(o_orderkey AS STRING)) AS property_project_name",
+        "concat('Kind ', CAST(o_orderkey % 5 AS STRING)) AS property_project_category",
+        "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'in progress' END "
+        "AS property_project_status",
+        "o_orderdate AS property_project_start_date",
+        "CASE WHEN o_orderstatus != 'O' THEN o_orderdate + INTERVAL 90 DAYS END "
+        "AS property_project_end_date",
+        "CASE WHEN o_orderkey % 4 != 0 THEN concat('Studio ', CAST(o_orderkey % 4 AS STRING)) END "
+        "AS property_offering",
+        "CASE WHEN o_orderkey % 41 = 0 THEN TRUE WHEN o_orderkey % 2 = 0 THEN FALSE END "
+        "AS _fivetran_deleted",
+    )
+
+
+def _project_links(s: SampleSources) -> DataFrame:
+    """Startups from the order's customer, now and then two; partners from its lines.
+
+    Partners on line number 7 have no company row.
+    """
+    startups = _urgent(s).selectExpr(
+        "o_orderkey AS from_id",
+        "explode(array_compact(array(o_custkey, CASE WHEN o_orderkey % 50 = 0 THEN o_custkey + 1 END))) AS to_id",
+        "105L AS type_id",
+    )
+    lines = s.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
+    partners = (
+        _urgent(s)
+        .join(lines, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr(
+            "o_orderkey AS from_id",
+            "CASE WHEN l_linenumber = 7 THEN l_suppkey + 1000000000 ELSE l_suppkey END AS to_id",
+            "107L AS type_id",
         )
-
-    def mart_membership_detail(self) -> DataFrame:
-        """The monthly aggregate worked out by another route, with seeded differences.
-
-        Company 7 lacks a month of each location; company 11 has two members too many;
-        company 13 has its revenue off by one; company 999999999 does not exist.
-        """
-        part, price, discount = F.col("l_partkey"), F.col("l_extendedprice"), F.col("l_discount")
-        supp = F.col("l_suppkey")
-        list_price = _null_when(part % 4 == 0, price)
-        discounted = _null_when(part % 8 == 0, price * (F.lit(1.0) - discount))
-        plain = _null_when(part % 16 == 0, price)
-        granted = _null_when(part % 6 == 0, price * discount)
-        zero = F.lit(0.0)
-
-        def money(value):
-            return F.sum(value.cast(C.MONEY))
-
-        keyed = self._table("lineitem").where(discount > 0.01).select(
-            F.trunc(_day("l_shipdate"), "month").alias("month_start"),
-            _text(supp).alias("company_id"),
-            F.col("l_returnflag").alias("location_id"),
-            F.when(F.col("l_linestatus") == "O", C.UNCATEGORIZED)
-            .otherwise(F.col("l_linestatus"))
-            .alias("membership_category"),
-            _text(part % 10).alias("plan_id"),
-            F.concat_ws(
-                "-",
-                *[_text(F.col(c)) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")],
-            ).alias("membership"),
-            F.col("l_orderkey").alias("member"),
-            F.coalesce(discounted, plain, zero).alias("revenue"),
-            F.coalesce(list_price, discounted, plain, zero).alias("listed"),
-            F.coalesce(granted, zero).alias("granted"),
+    )
+    return startups.unionByName(partners)
+
+
+def _services_projects(s: SampleSources) -> DataFrame:
+    return (
+        s.table("events")
+        .where("event_type = 'purchase'")
+        .selectExpr(
+            "event_id AS project_id",
+            "user_id AS client_id",
+            "concat('Services ', CAST(event_id AS STRING)) AS project_name",
+            "CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('Phase ', CAST(event_id % 4 AS STRING)) END "
+            "AS production_status_name",
+            "CASE WHEN event_id % 9 != 0 THEN event_id % 2 = 0 END AS is_inactive",
+            "CAST(ts AS DATE) AS start_date",
+            "CASE WHEN event_id % 4 != 0 THEN date_add(CAST(ts AS DATE), 30) END AS end_date",
+            "value AS budget_fees",
         )
-        grouped = keyed.groupBy(
-            "month_start", "company_id", "location_id", "membership_category", "plan_id"
-        ).agg(
+    )
+
+
+# --- Memberships ----------------------------------------------------------------------
+
+_MEMBERSHIP_ID = (
+    "concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
+    "CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING))"
+)
+_LIST_PRICE = "CASE WHEN l_partkey % 4 != 0 THEN l_extendedprice END"
+_NET_PRICE = "CASE WHEN l_partkey % 8 != 0 THEN l_extendedprice * (1D - l_discount) END"
+_PLAIN_PRICE = "CASE WHEN l_partkey % 16 != 0 THEN l_extendedprice END"
+_GRANTED = "CASE WHEN l_partkey % 6 != 0 THEN l_extendedprice * l_discount END"
+
+_MEMBERSHIP = (
+    f"{_MEMBERSHIP_ID} AS membership_id",
+    "CAST(l_suppkey AS STRING) AS company_id",
+    "CAST(l_orderkey AS STRING) AS member_id",
+    "CASE l_linenumber % 7 WHEN 0 THEN 'active' WHEN 1 THEN 'expired' WHEN 2 THEN 'not_started' "
+    "WHEN 3 THEN 'not_approved' WHEN 4 THEN 'on_hold' WHEN 6 THEN 'paused' END AS membership_status",
+    f"{_LIST_PRICE} AS calculated_list_price",
+    f"{_NET_PRICE} AS discounted_price",
+    f"{_PLAIN_PRICE} AS price",
+)
+
+
+def _membership_detail(s: SampleSources) -> DataFrame:
+    return s.table("lineitem").selectExpr(
+        *_MEMBERSHIP,
+        "CASE WHEN l_partkey % 3 != 0 THEN concat('asg-', CAST(l_partkey AS STRING)) END AS assignment_id",
+        "CAST(l_shipdate AS DATE) AS period_start_date",
+        "CASE WHEN l_linestatus != 'O' THEN date_add(CAST(l_shipdate AS DATE), 365) END AS period_end_date",
+        "concat('Membership ', CAST(l_orderkey AS STRING)) AS membership_name",
+        "nullif(l_returnflag, 'N') AS membership_category",
+    )
+
+
+def _membership_months(s: SampleSources) -> DataFrame:
+    return s.table("lineitem").selectExpr(
+        *_MEMBERSHIP,
+        "trunc(CAST(l_shipdate AS DATE), 'month') AS month_start",
+        "l_returnflag AS location_id",
+        "concat('Location ', l_returnflag) AS location_name",
+        "lower(l_returnflag) AS location_code",
+        "nullif(l_linestatus, 'O') AS membership_category",
+        "CAST(l_partkey % 10 AS STRING) AS plan_id",
+        "concat('Plan ', CAST(l_partkey % 10 AS STRING)) AS plan_name",
+        f"{_GRANTED} AS calculated_discount_amount",
+        "l_discount > 0.01D AS is_contracted_in_month",
+    )
+
+
+def _existing_mart(s: SampleSources) -> DataFrame:
+    """The monthly aggregate worked out by another route, with seeded differences.
+
+    Company 7 lacks its months of March; company 11 has two members too many; company 13
+    has its revenue off by one; company 17 goes by another id.
+    """
+    lines = s.table("lineitem").where("l_discount > 0.01D").selectExpr(
+        "trunc(CAST(l_shipdate AS DATE), 'month') AS month_start",
+        "CAST(l_suppkey AS STRING) AS company_id",
+        "l_returnflag AS location_id",
+        "CASE WHEN l_linestatus = 'O' THEN 'Uncategorized' ELSE l_linestatus END AS membership_category",
+        "CAST(l_partkey % 10 AS STRING) AS plan_id",
+        f"{_MEMBERSHIP_ID} AS membership",
+        "l_orderkey AS member",
+        f"coalesce({_NET_PRICE}, {_PLAIN_PRICE}, 0D) AS revenue",
+        f"coalesce({_LIST_PRICE}, {_NET_PRICE}, {_PLAIN_PRICE}, 0D) AS listed",
+        f"coalesce({_GRANTED}, 0D) AS granted",
+    )
+
+    def money(name: str, alias: str) -> Column:
+        return F.expr(f"CAST(sum(CAST({name} AS DECIMAL(28,9))) AS DOUBLE)").alias(alias)
+
+    grain = ["month_start", "company_id", "location_id", "membership_category", "plan_id"]
+    return (
+        lines.groupBy(*grain)
+        .agg(
             F.count_distinct("membership").alias("active_memberships"),
             F.count_distinct("member").alias("active_members"),
-            money(F.col("revenue")).cast("double").alias("total_mrr"),
-            money(F.col("listed")).cast("double").alias("total_calculated_list_price"),
-            money(F.col("granted")).cast("double").alias("total_calculated_discount_amount"),
+            money("revenue", "total_mrr"),
+            money("listed", "total_calculated_list_price"),
+            money("granted", "total_calculated_discount_amount"),
         )
-        company = F.col("company_id")
-        return grouped.where(
-            ~((company == "7") & (F.month("month_start") == 3))
-        ).withColumns(
-            {
-                "company_id": F.when(company == "17", "999999999").otherwise(company),
-                "active_members": F.when(company == "11", F.col("active_members") + 2).otherwise(
-                    F.col("active_members")
-                ),
-                "total_mrr": F.when(company == "13", F.col("total_mrr") + 1.0).otherwise(
-                    F.col("total_mrr")
-                ),
-            }
+        .where("NOT (company_id = '7' AND month(month_start) = 3)")
+        .selectExpr(
+            "month_start",
+            "CASE WHEN company_id = '17' THEN '999999999' ELSE company_id END AS company_id",
+            "location_id",
+            "membership_category",
+            "plan_id",
+            "active_memberships",
+            "active_members + CASE WHEN company_id = '11' THEN 2 ELSE 0 END AS active_members",
+            "total_mrr + CASE WHEN company_id = '13' THEN 1 ELSE 0 END AS total_mrr",
+            "total_calculated_list_price",
+            "total_calculated_discount_amount",
         )
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return conform_source(getattr(self, name.replace(".", "_"))(), name)
+    )
+
+
+_RULES: dict[str, Callable[[SampleSources], DataFrame]] = {
+    "int_cross_source_companies": _mapping,
+    "stg_hubspot_companies": _crm_companies,
+    "hubspot.company": _raw_companies,
+    "hubspot.owner": _owners,
+    "stg_officernd_companies": _workspace_companies,
+    "stg_bigtime_clients": _services_clients,
+    "stg_hubspot_deals": _deals,
+    "stg_hubspot_deal_company": _deal_links,
+    "hubspot.projects": _projects,
+    "hubspot.projects_to_company": _project_links,
+    "int_membership_detail": _membership_detail,
+    "stg_bigtime_projects": _services_projects,
+    "int_membership_months": _membership_months,
+    "mart_membership_detail": _existing_mart,
+}
