@@ -50,5 +50,8 @@ PLAN_LIMIT = 25
 SAMPLE_ID_LIMIT = 20
 REPORT_LIMIT = 100
 
+# A side limited to this many rows may be broadcast without looking at its size.
+BROADCAST_ROWS = 10_000
+
 # Money is added up exactly, at nine decimals, and published as double.
 MONEY = T.DecimalType(28, 9)

@@ -214,8 +214,9 @@ def duplicate_mappings(bridge: DataFrame, limit: int = C.REPORT_LIMIT) -> DataFr
 def multi_id_groups(bridge: DataFrame, limit: int = C.REPORT_LIMIT) -> DataFrame:
     """Companies with several ids in one system, most ids first, with sample ids.
 
-    Samples are gathered only for the groups reported, so the side that is broadcast
-    holds at most ``limit`` rows. A NULL canonical id forms a group of its own.
+    Samples are gathered only for the groups reported. Those are broadcast while
+    ``limit`` bounds them to few rows; beyond that the join strategy is left to Spark.
+    A NULL canonical id forms a group of its own.
     """
     keys = ["canonical_company_id", "source_system"]
     top = (
@@ -234,7 +235,9 @@ def multi_id_groups(bridge: DataFrame, limit: int = C.REPORT_LIMIT) -> DataFrame
         .limit(limit)
     )
     # NULL keys must meet each other, so every key part joins null-safe.
-    wanted = F.broadcast(top.select(*[F.col(c).alias(f"_{c}") for c in keys]))
+    wanted = top.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    if limit <= C.BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
     ids = (
         bridge.select(*keys, "source_company_id")

@@ -70,23 +70,24 @@ def representative(
 def with_owner(crm: DataFrame, raw_company: DataFrame, owner: DataFrame) -> DataFrame:
     """CRM companies with the owner the raw company table names.
 
-    The raw table joins on the id text, the key the bridge join uses as well, so the
-    three big tables share one shuffle.
+    Owners go to the narrow raw table first. The wide CRM table is then shuffled once, on
+    the id text, which is also the key of its join with the bridge.
     """
-    raw = raw_company.select(
-        F.col("id").cast("string").alias("_raw_id"),
-        F.col("property_hubspot_owner_id").alias("_owner_key"),
-    )
     people = owner.select(
         F.col("owner_id"),
         full_name(F.col("first_name"), F.col("last_name")).alias("primary_owner_name"),
         blank_to_null(F.col("email")).alias("primary_owner_email"),
     )
-    return (
-        crm.join(raw, F.col("_raw_id") == F.col("company_id").cast("string"), "left")
-        .join(people, F.col("owner_id") == F.col("_owner_key"), "left")
-        .withColumn("primary_owner_id", F.col("_owner_key").cast("string"))
-        .drop("_raw_id", "_owner_key", "owner_id")
+    owned = raw_company.join(
+        people, F.col("owner_id") == F.col("property_hubspot_owner_id"), "left"
+    ).select(
+        F.col("id").cast("string").alias("_raw_id"),
+        F.col("property_hubspot_owner_id").cast("string").alias("primary_owner_id"),
+        "primary_owner_name",
+        "primary_owner_email",
+    )
+    return crm.join(owned, F.col("_raw_id") == F.col("company_id").cast("string"), "left").drop(
+        "_raw_id"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from entity360 import constants as C
-from entity360.functions.collect import distinct_sorted
+from entity360.functions.collect import ordered_ids
 from entity360.functions.exprs import default_category, exact_sum, review_flag
 from entity360.operators.bridge import bridge_lookup
 from entity360.operators.relational import first_of_month, in_period, smallest_distinct
@@ -131,60 +131,116 @@ def membership_status(
     )
 
 
+# What is gathered per company: kind -> column. The month also carries the measures.
+HISTORY_KINDS = {
+    "month": "month_start",
+    "company": "officernd_company_id",
+    "location": "location_id",
+    "category": "membership_category",
+}
+CURRENT_KINDS = {
+    "current_location_ids": "location_id",
+    "current_location_names": "location_name",
+    "current_location_codes": "location_code",
+    "current_membership_categories": "membership_category",
+}
+
+
+def _company_values(status: DataFrame, month: date) -> DataFrame:
+    """Distinct values per company and kind, with the measures on the month's rows.
+
+    Each status row is turned into one row per kind and added up on (company, kind,
+    value) at once, so the shuffle carries distinct values only and a company with very
+    many rows is spread over its values.
+    """
+
+    def entry(kind: str, column: str) -> str:
+        return f"named_struct('kind', '{kind}', 'value', CAST({column} AS STRING))"
+
+    current = f"month_start = DATE '{month.isoformat()}'"
+    entries = [entry(k, c) for k, c in HISTORY_KINDS.items()]
+    entries += [f"CASE WHEN {current} THEN {entry(k, c)} END" for k, c in CURRENT_KINDS.items()]
+    rows = status.withColumn("_entry", F.expr(f"explode(array({', '.join(entries)}))")).where(
+        "_entry.value IS NOT NULL"
+    )
+    measured = F.col("_entry.kind") == "month"
+
+    def on_month(name: str) -> Column:
+        return F.when(measured, F.col(name))
+
+    return rows.groupBy(
+        "canonical_company_id",
+        F.col("_entry.kind").alias("kind"),
+        F.col("_entry.value").alias("value"),
+    ).agg(
+        F.sum(on_month("active_memberships")).alias("memberships"),
+        F.sum(on_month("active_members")).alias("members"),
+        exact_sum(on_month("total_mrr")).alias("mrr"),
+        exact_sum(on_month("total_calculated_list_price")).alias("list_price"),
+        exact_sum(on_month("total_calculated_discount_amount")).alias("discount"),
+        F.bool_or(on_month("has_manual_review_mapping")).alias("review"),
+        F.min(on_month("min_match_confidence")).alias("confidence"),
+    )
+
+
 def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
-    """Current-month and historical membership per mapped company, in one aggregate.
+    """Current-month and historical membership per mapped company, in one pass.
 
     Member counts add up per-group distinct counts, so a member in two plans counts
     twice: the sums are semi-additive. ``has_active_membership`` only says that a row of
     the current month exists. Without such a row the ``current_`` columns are NULL, apart
-    from the arrays, which are empty.
+    from the arrays, which are empty. Only the limited plan arrays take a second look
+    at the status, and only at its current month.
     """
+    month = first_of_month(as_of)
     mapped = in_period(
         status.where(F.col("canonical_company_id").isNotNull()),
         "month_start",
         as_of,
         "past_current",
     )
-    now = F.col("month_start") == F.lit(first_of_month(as_of))
-
-    def current(name: str) -> Column:
-        return F.when(now, F.col(name))
-
-    def total(value: Column) -> Column:
-        return exact_sum(value).cast("double")
-
-    rollup = mapped.groupBy("canonical_company_id").agg(
-        # Current month.
-        F.max(F.when(now, F.lit(True))).alias("has_active_membership"),
-        distinct_sorted(current("location_id")).alias("current_location_ids"),
-        distinct_sorted(current("location_name")).alias("current_location_names"),
-        distinct_sorted(current("location_code")).alias("current_location_codes"),
-        distinct_sorted(current("membership_category")).alias("current_membership_categories"),
-        F.sum(current("active_memberships")).alias("current_active_memberships"),
-        F.sum(current("active_members")).alias("current_active_members"),
-        total(current("total_mrr")).alias("current_total_mrr"),
-        total(current("total_calculated_list_price")).alias("current_total_calculated_list_price"),
-        total(current("total_calculated_discount_amount")).alias(
-            "current_total_calculated_discount_amount"
-        ),
-        F.bool_or(current("has_manual_review_mapping")).alias(
-            "has_current_membership_manual_review_mapping"
-        ),
-        # All months so far.
-        F.min("month_start").alias("first_membership_month"),
-        F.max("month_start").alias("most_recent_membership_month"),
-        F.count_distinct("month_start").alias("membership_month_count"),
-        F.count_distinct("officernd_company_id").alias("membership_officernd_company_count"),
-        F.count_distinct("location_id").alias("membership_location_count"),
-        distinct_sorted(F.col("membership_category")).alias("all_membership_categories"),
-        F.sum("active_memberships").alias("membership_month_active_membership_sum"),
-        F.sum("active_members").alias("membership_month_active_member_sum"),
-        total(F.col("total_mrr")).alias("membership_month_total_mrr"),
-        F.bool_or("has_manual_review_mapping").alias("has_membership_manual_review_mapping"),
-        F.min("min_match_confidence").alias("membership_min_match_confidence"),
+    kind, value = F.col("kind"), F.col("value")
+    now = (kind == "month") & (value == month.isoformat())
+    months = F.when(kind == "month", value).cast("date")
+
+    def values_of(name: str) -> Column:
+        return ordered_ids(value, kind == name)
+
+    def total(name: str, when: Column | None = None) -> Column:
+        amount = F.col(name) if when is None else F.when(when, F.col(name))
+        return F.sum(amount).cast("double")
+
+    rollup = (
+        _company_values(mapped, month)
+        .groupBy("canonical_company_id")
+        .agg(
+            # Current month.
+            F.max(F.when(now, F.lit(True))).alias("has_active_membership"),
+            *[values_of(name).alias(name) for name in CURRENT_KINDS],
+            F.sum(F.when(now, F.col("memberships"))).alias("current_active_memberships"),
+            F.sum(F.when(now, F.col("members"))).alias("current_active_members"),
+            total("mrr", now).alias("current_total_mrr"),
+            total("list_price", now).alias("current_total_calculated_list_price"),
+            total("discount", now).alias("current_total_calculated_discount_amount"),
+            F.bool_or(F.when(now, F.col("review"))).alias(
+                "has_current_membership_manual_review_mapping"
+            ),
+            # All months so far.
+            F.min(months).alias("first_membership_month"),
+            F.max(months).alias("most_recent_membership_month"),
+            F.count_if(kind == "month").alias("membership_month_count"),
+            F.count_if(kind == "company").alias("membership_officernd_company_count"),
+            F.count_if(kind == "location").alias("membership_location_count"),
+            values_of("category").alias("all_membership_categories"),
+            F.sum("memberships").alias("membership_month_active_membership_sum"),
+            F.sum("members").alias("membership_month_active_member_sum"),
+            total("mrr").alias("membership_month_total_mrr"),
+            F.bool_or("review").alias("has_membership_manual_review_mapping"),
+            F.min("confidence").alias("membership_min_match_confidence"),
+        )
     )
     plans = smallest_distinct(
-        mapped.where(now),
+        in_period(mapped, "month_start", as_of, "current"),
         ["canonical_company_id"],
         {"current_plan_ids": F.col("plan_id"), "current_plan_names": F.col("plan_name")},
         C.PLAN_LIMIT,

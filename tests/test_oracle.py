@@ -41,6 +41,9 @@ def test_query_matches_oracle(spark, duck, name):
     want = sorted(repr(tuple(row[i] for i in places)) for row in rel.fetchall())
     got = sorted(repr(tuple(row)) for row in df.select(*columns).collect())
     assert got == want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("Python", "CartesianProduct", "BroadcastNestedLoopJoin"):
+        assert node not in plan
 
 
 def test_entry_runs(spark):
