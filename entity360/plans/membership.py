@@ -114,17 +114,19 @@ def membership_status(
         )
     )
 
-    copies = F.coalesce(F.col("_copies"), F.lit(1)).cast("decimal(10,0)")
+    copies = F.col("_copies")
+
+    def repeated(name: str) -> Column:
+        many = F.col(name).cast("decimal(27,9)") * copies.cast("decimal(10,0)")
+        return F.when(copies > 1, many).otherwise(F.col(name)).cast("double")
+
     return (
         grain.join(_company_links(bridge), F.col("_id") == F.col("officernd_company_id"), "left")
         .withColumns(
             {
                 "canonical_company_id_is_null": F.col("canonical_company_id").isNull(),
                 "has_manual_review_mapping": review_flag(F.col("_review")),
-                **{
-                    name: (F.col(name).cast("decimal(27,9)") * copies).cast("double")
-                    for name in TOTALS
-                },
+                **{name: repeated(name) for name in TOTALS},
             }
         )
         .select(*MEMBERSHIP_STATUS_SCHEMA.fieldNames())
