@@ -73,8 +73,9 @@ def membership_status(
     that.
 
     Money and observed states share one branch, pre-aggregated by state; the two
-    distinct counts are the other. Both end partitioned by the grain, so the union
-    is merged without another shuffle.
+    distinct counts are the other. Both are partitioned by the grain, so one sort of
+    their union ranks the states and merges the branches. The row of counts has no
+    state and ranks last.
     """
     rows = contracted_months(months, as_of, period)
 
@@ -85,32 +86,23 @@ def membership_status(
         ),
         exact_sum(_price("calculated_discount_amount")).alias("total_calculated_discount_amount"),
     )
-    state_rank = F.row_number().over(
-        Window.partitionBy(*SOURCE_GRAIN).orderBy(F.col("membership_status").asc_nulls_last())
-    )
-    money = (
-        by_state.withColumn("_rank", state_rank)
-        .groupBy(*SOURCE_GRAIN)
-        .agg(
-            *[F.sum(name).alias(name) for name in TOTALS],
-            F.sort_array(
-                F.collect_list(F.when(F.col("_rank") <= C.STATUS_LIMIT, F.col("membership_status")))
-            ).alias("observed_membership_statuses"),
-        )
-    )
     counts = rows.groupBy(*SOURCE_GRAIN).agg(
         F.count_distinct("membership_id").alias("active_memberships"),
         F.count_distinct("member_id").alias("active_members"),
     )
+    state_rank = F.row_number().over(
+        Window.partitionBy(*SOURCE_GRAIN).orderBy(F.col("membership_status").asc_nulls_last())
+    )
+    observed = F.when(F.col("_rank") <= C.STATUS_LIMIT, F.col("membership_status"))
     grain = (
-        money.unionByName(counts, allowMissingColumns=True)
+        by_state.repartition(*SOURCE_GRAIN)
+        .unionByName(counts, allowMissingColumns=True)
+        .withColumn("_rank", state_rank)
         .groupBy(*SOURCE_GRAIN)
         .agg(
-            *[
-                F.max(name).alias(name)
-                for name in ("active_memberships", "active_members", *TOTALS)
-            ],
-            F.max("observed_membership_statuses").alias("observed_membership_statuses"),
+            *[F.max(name).alias(name) for name in ("active_memberships", "active_members")],
+            *[F.sum(name).alias(name) for name in TOTALS],
+            F.sort_array(F.collect_list(observed)).alias("observed_membership_statuses"),
         )
     )
 
