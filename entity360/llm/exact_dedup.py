@@ -16,11 +16,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entity360.llm import bloom
 from entity360.llm.common import column, free_name, id_and_text, written
 
-BITS_PER_ROW = 16
-BLOCK_BITS = 32_768  # of one bitmap of bitmap_construct_agg
-MAX_FILTER_BITS = 1 << 28  # 32 MB; beyond, more rows pass the test and are grouped, none is lost
 SALTS = 32
 
 
@@ -29,59 +27,8 @@ def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
 
 
-def filter_bits(rows: int) -> int:
-    """Bits of the filter: a power of two, 16 per row, within 4 KB and 32 MB."""
-    bits = BLOCK_BITS
-    while bits < rows * BITS_PER_ROW and bits < MAX_FILTER_BITS:
-        bits *= 2
-    return bits
-
-
-def _positions(digest: Column, bits: int) -> tuple[Column, Column]:
-    return (
-        F.pmod(F.xxhash64(digest), F.lit(bits)),
-        F.pmod(F.xxhash64(digest, F.lit(1)), F.lit(bits)),
-    )
-
-
-def repeated_bits(digests: DataFrame, digest: str, bits: int) -> DataFrame:
-    """The filter: (block, bitmap) of bits that were hit by at least two rows."""
-    first, second = _positions(F.col(digest), bits)
-    return (
-        digests.select(F.explode(F.array(first, second)).alias("position"))
-        .groupBy("position")
-        .agg(F.count(F.lit(1)).alias("hits"))
-        .where("hits > 1")
-        .groupBy(F.floor(F.col("position") / BLOCK_BITS).alias("block"))
-        .agg(F.bitmap_construct_agg(F.col("position") % BLOCK_BITS).alias("bitmap"))
-    )
-
-
-def _bit(bitmap: str, position: str) -> Column:
-    return F.expr(
-        f"coalesce(shiftright(cast(conv(hex(substring({bitmap}, "
-        f"cast(({position} % {BLOCK_BITS}) div 8 + 1 AS int), 1)), 16, 10) AS int), "
-        f"cast({position} % 8 AS int)) & 1, 0) = 1"
-    )
-
-
-def maybe_repeated(rows: DataFrame, digest: str, repeated: DataFrame, bits: int) -> DataFrame:
-    """The rows with a boolean `__maybe`: false where the filter proves that there is no copy.
-
-    The filter has at most MAX_FILTER_BITS bits, 32 MB, so it is sent to all executors.
-    """
-    first, second = _positions(F.col(digest), bits)
-    small = F.broadcast(repeated)
-    tested = rows.withColumns({"__p1": first, "__p2": second})
-    for k in (1, 2):
-        block = small.select(
-            F.col("block").alias(f"__block{k}"), F.col("bitmap").alias(f"__bitmap{k}")
-        )
-        on = F.floor(F.col(f"__p{k}") / BLOCK_BITS) == F.col(f"__block{k}")
-        tested = tested.join(block, on, "left")
-    return tested.withColumn(
-        "__maybe", _bit("__bitmap1", "__p1") & _bit("__bitmap2", "__p2")
-    ).drop("__p1", "__p2", "__block1", "__block2", "__bitmap1", "__bitmap2")
+def _digest(text: Column) -> Column:
+    return F.unhex(F.sha2(normalised(text), 256))
 
 
 def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -90,17 +37,14 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     A group that holds a third of all rows is combined by salt before its totals are formed, and
     its rows find the totals by salt too.
     """
-    narrow = id_and_text(df, id_col, text_col)
     rows = written(
-        narrow.select(
-            "id",
-            F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
-            F.monotonically_increasing_id().alias("row"),
+        id_and_text(df, id_col, text_col).select(
+            "id", _digest(F.col("text")).alias("digest"), F.monotonically_increasing_id().alias("row")
         ),
         "digests",
     )
-    bits = filter_bits(rows.count())
-    tested = maybe_repeated(rows, "digest", repeated_bits(rows, "digest", bits), bits)
+    bits = bloom.bits_for(rows.count())
+    tested = bloom.tested(rows, "digest", bloom.filter_of(rows, "digest", bits, hits=2), bits)
     hexed = F.lower(F.hex("digest")).alias("text_sha256")
     alone = tested.where("NOT __maybe").select(
         "id",
@@ -133,19 +77,16 @@ def drop_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     candidate per group before anything is shuffled.
     """
     digest = free_name("__digest", df.columns)
-    digests = written(
-        df.select(F.unhex(F.sha2(normalised(column(df, text_col)), 256)).alias(digest)), "digests"
-    )
-    bits = filter_bits(digests.count())
-    whole = F.struct(*[column(df, c) for c in df.columns])
+    digests = written(df.select(_digest(column(df, text_col)).alias(digest)), "digests")
+    bits = bloom.bits_for(digests.count())
     rows = df.select(
-        whole.alias("whole"),
+        F.struct(*[column(df, c) for c in df.columns]).alias("whole"),
         F.struct(
             column(df, id_col).isNull().alias("none"), column(df, id_col).alias("id")
         ).alias("order"),
-        F.unhex(F.sha2(normalised(column(df, text_col)), 256)).alias(digest),
+        _digest(column(df, text_col)).alias(digest),
     )
-    tested = maybe_repeated(rows, digest, repeated_bits(digests, digest, bits), bits)
+    tested = bloom.tested(rows, digest, bloom.filter_of(digests, digest, bits, hits=2), bits)
     alone = tested.where("NOT __maybe").select("whole.*")
     one = tested.where("__maybe").groupBy(digest).agg(F.min_by("whole", "order").alias("whole"))
     return alone.unionByName(one.select("whole.*"))

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entity360.llm import secrets, toxicity
+from entity360.llm.common import crc_bucket
 from entity360.llm.exact_dedup import exact_groups
+from entity360.llm.near_dedup import near_groups
 from entity360.llm.sharding import shard_by_bytes
 
 SHARDS = 40
@@ -17,6 +20,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels"))
+    scored = docs.select("doc_id", toxicity.score(model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id",
+        (crc_bucket(F.col("doc_id"), toxicity.FOLDS) == toxicity.HELD_OUT).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     return shard_by_bytes(table(spark, folder, "documents"), SHARDS).select(
@@ -30,13 +46,44 @@ def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _joined(spans: str) -> Column:
+    return F.expr(
+        f"array_join(transform({spans}, x -> concat(x.kind, ':', x.start, ':', x.end)), ',')"
+    )
+
+
+def op4_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in every document: counts and digest of the base finds, and all spans."""
+    counts = [
+        F.expr(f"cast(size(filter(base, x -> x.kind = '{kind}')) AS long)").alias(f"n_{kind}")
+        for kind in secrets.KINDS
+    ]
+    return secrets.scan(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"),
+        *counts,
+        F.sha2(_joined("base"), 256).alias("base_sha256"),
+        _joined("spans").alias("spans"),
+        "layers",
+    )
+
+
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    return near_groups(table(spark, folder, "documents")).select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept"
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal documents."""
     return exact_groups(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op3_sharding": op3_sharding,
+    "op4_secret_scans": op4_secret_scans,
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
