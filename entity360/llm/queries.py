@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity360.llm import secrets, toxicity
-from entity360.llm.common import crc_bucket
+from entity360.llm import bpe_reuse, language_id, secrets, token_files, toxicity
+from entity360.llm.common import crc_bucket, new_path
 from entity360.llm.exact_dedup import exact_groups
 from entity360.llm.near_dedup import near_groups
 from entity360.llm.sharding import shard_by_bytes
+from entity360.llm.tokenizer import BytePairs
 
 SHARDS = 40
 
@@ -74,6 +75,36 @@ def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document, learned outside the held-out fold."""
+    docs = table(spark, folder, "documents")
+    model = language_id.train(docs)
+    found = docs.select("doc_id", language_id.identify(model, F.col("text")).alias("found"))
+    return found.select(
+        "doc_id",
+        (crc_bucket(F.col("doc_id"), language_id.FOLDS) == language_id.HELD_OUT).alias("held_out"),
+        F.col("found.lang").alias("lang_pred"),
+        F.col("found.score").alias("score"),
+        F.col("found.accepted").alias("accepted"),
+    )
+
+
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the ids of every document, and of what they decode to."""
+    pairs = BytePairs()
+    docs = table(spark, folder, "documents")
+    return bpe_reuse.encode(docs, pairs, finish=bpe_reuse.digests(pairs)).withColumnRenamed("id", "doc_id")
+
+
+def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The ids of every document, written to files and read back."""
+    path = new_path(spark, "token-files")
+    token_files.write_files(table(spark, folder, "documents"), path)
+    return token_files.read_files(spark, path).select(
+        "doc_id", "start", "n_tokens", F.crc32("tokens").alias("ids_crc32")
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of equal documents."""
     return exact_groups(table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
@@ -84,6 +115,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_secret_scans": op4_secret_scans,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_language_id": op6_language_id,
+    "op7_bpe": op7_bpe,
+    "op9_token_files": op9_token_files,
     "op10_exact_dedup": op10_exact_dedup,
 }
 

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from entity360.llm.common import column, crc_bucket, written
 
 SAMPLE_PER_CLASS = 4_000
-MAX_LEARNED = 200
-MIN_TOXIC_DOCS = 15
+MAX_LEARNED = 1_000
+MIN_TOXIC_DOCS, MIN_CONTEXTS, CONTEXT_SHARE = 5, 4, 0.25
 FOLDS, HELD_OUT = 5, 0
 
 # Seed words of the grammar.
@@ -249,7 +249,8 @@ def learned_insults(texts: DataFrame) -> dict[str, float]:
         .where(
             (F.col("toxic") >= MIN_TOXIC_DOCS)
             & (F.col("toxic") >= 20 * F.col("clean"))
-            & (F.col("contexts") >= 0.4 * F.col("toxic"))
+            & (F.col("contexts") >= MIN_CONTEXTS)
+            & (F.col("contexts") >= CONTEXT_SHARE * F.col("toxic"))
         )
         .orderBy(F.desc("toxic"), "word")
         .limit(MAX_LEARNED)
