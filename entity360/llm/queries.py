@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from entity360.llm import bpe_reuse, language_id, secrets, token_files, toxicity
+from entity360.llm import bpe_reuse, decontaminate, html_extract, language_id, secrets, token_files, toxicity
 from entity360.llm.common import crc_bucket, new_path
 from entity360.llm.exact_dedup import exact_groups
 from entity360.llm.near_dedup import near_groups
@@ -34,6 +34,13 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, folder, "pages")).select(
+        F.col("id").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes."""
     return shard_by_bytes(table(spark, folder, "documents"), SHARDS).select(
@@ -96,6 +103,12 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_reuse.encode(docs, pairs, finish=bpe_reuse.digests(pairs)).withColumnRenamed("id", "doc_id")
 
 
+def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items in documents: one row per document and item."""
+    docs, items = table(spark, folder, "documents"), table(spark, folder, "benchmark")
+    return decontaminate.leaks(docs, items).withColumnRenamed("id", "doc_id")
+
+
 def op9_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """The ids of every document, written to files and read back."""
     path = new_path(spark, "token-files")
@@ -112,11 +125,13 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_html_extraction": op2_html_extraction,
     "op3_sharding": op3_sharding,
     "op4_secret_scans": op4_secret_scans,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op6_language_id": op6_language_id,
     "op7_bpe": op7_bpe,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_token_files": op9_token_files,
     "op10_exact_dedup": op10_exact_dedup,
 }

@@ -18,6 +18,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
+#: All ASCII bytes but letters and digits.
+NOT_ALNUM = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -41,13 +43,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 _CACHE: list[tuple[np.ndarray, np.ndarray]] = [_powers(1 << 16)]
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts, A-Z lower-cased, and the index of each word's text."""
+def word_hashes(
+    texts: Sequence[bytes], separators: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts, A-Z lower-cased, and the index of each word's text.
+
+    separators: for each byte whether it parts words.
+    """
     joined = b"\n".join(texts)
     raw = np.frombuffer(joined, dtype=np.uint8)
     if not len(raw):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    space = _SPACE[raw]
+    space = separators[raw]
     inside = np.concatenate(([False], ~space, [False]))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[0::2], edges[1::2]
@@ -61,20 +68,26 @@ def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.searchsorted(firsts, starts, side="right") - 1
 
 
-def shingle_sets(texts: Sequence[str], width: int) -> Iterator[np.ndarray]:
-    """Per text the sorted distinct hashes of its shingles of `width` words.
-
-    A text of fewer words has one shingle, all its words; one without words has none.
-    """
+def pieces(texts: Sequence[str]) -> Iterator[list[bytes]]:
+    """The texts in UTF-8, in lists of bounded size."""
     piece, size = [], 0
     for text in texts:
         raw = text.encode("utf-8", "surrogatepass")
         if piece and size + len(raw) > PIECE_BYTES:
-            yield from _sets(piece, width)
+            yield piece
             piece, size = [], 0
         piece.append(raw)
         size += len(raw) + 1
     if piece:
+        yield piece
+
+
+def shingle_sets(texts: Sequence[str], width: int) -> Iterator[np.ndarray]:
+    """Per text the sorted distinct hashes of its shingles of `width` words.
+
+    A text of fewer words has one shingle, all its words; one without words has none.
+    """
+    for piece in pieces(texts):
         yield from _sets(piece, width)
 
 
@@ -84,14 +97,19 @@ def sequence_hash(words: np.ndarray) -> np.ndarray:
     return mixed(np.array([np.sum(words * (places | _U(1)))], dtype=np.uint64) + _U(len(words)))
 
 
+def rolled(words: np.ndarray, width: int) -> np.ndarray:
+    """One hash for each run of `width` words."""
+    n = max(0, len(words) - width + 1)
+    out = np.zeros(n, dtype=np.uint64)
+    for i in range(width):
+        out += words[i : i + n] * _ORDINAL[i]
+    return mixed(out)
+
+
 def _sets(texts: list[bytes], width: int) -> Iterator[np.ndarray]:
     words, owner = word_hashes(texts)
     bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
-    n = max(0, len(words) - width + 1)
-    shingles = np.zeros(n, dtype=np.uint64)
-    for i in range(width):
-        shingles += words[i : i + n] * _ORDINAL[i]
-    shingles = mixed(shingles)
+    shingles = rolled(words, width)
     for first, last in zip(bounds[:-1], bounds[1:], strict=True):
         if last - first >= width:
             yield np.unique(shingles[first : last - width + 1])
