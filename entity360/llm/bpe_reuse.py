@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -24,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entity360.llm import bloom
-from entity360.llm.common import column, written
+from entity360.llm.common import column, slices, written
 from entity360.llm.shingles import mixed
-from entity360.llm.tokenizer import BytePairs
+from entity360.llm.tokenizer import BATCH_CHARS, BytePairs
 
 WINDOW = 32  # characters that the rolling hash covers
 MEAN_CHUNK = 1 << 10  # a power of two
@@ -92,7 +93,7 @@ def _cut_after(text: str, low: int, high: int) -> int:
 
 def joined(text: str, parts: list[tuple[int, int, np.ndarray]], encode: Callable) -> np.ndarray:
     """The ids of a text from those of its parts (start, end, ids)."""
-    start, at, ids = parts[0]
+    start, _, ids = parts[0]
     for begin, end, more in parts[1:]:
         low, high = begin, begin
         while True:
@@ -105,7 +106,7 @@ def joined(text: str, parts: list[tuple[int, int, np.ndarray]], encode: Callable
             high = min(end, high + 1)
         kept = ids[: len(ids) - len(tail)] if low > start else ids[:0]
         rest = more[len(head) :] if high < end else more[:0]
-        ids, at = np.concatenate([kept, window, rest]), end
+        ids = np.concatenate([kept, window, rest])
     return ids
 
 
@@ -148,21 +149,37 @@ def _keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Made:
+    """What is made of the ids of a text: columns, and their values for an array of ids."""
+
+    columns: str = "ids binary"
+    values: Callable[[np.ndarray], tuple] = lambda ids: (_little(ids),)
+
+
+def digests(pairs: BytePairs) -> Made:
+    """The number of ids, their SHA-256, and that of the text they decode to."""
+
+    def values(ids: np.ndarray) -> tuple:
+        again = pairs.decode(ids).encode()
+        sha = (hashlib.sha256(x).hexdigest() for x in (_little(ids), again))
+        return len(ids), *sha
+
+    return Made("n_tokens bigint, ids_sha256 string, decoded_sha256 string", values)
+
+
 def encode(
     df: DataFrame,
     pairs: BytePairs | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
-    finish: Callable[[DataFrame], DataFrame] = lambda made: made,
+    made: Made = Made(),  # noqa: B008
 ) -> DataFrame:
-    """Per row: id and what `finish` makes of (key, ids); ids: little-endian 32-bit integers.
-
-    `finish` keeps the column `key` and replaces `ids`; it runs before the results of
-    equal texts are joined to their rows, so digests move instead of ids.
-    """
+    """Per row: id and the columns of `made`, by default ids as little-endian 32-bit integers."""
     pairs = pairs or BytePairs()
     reuse = Reuse(pairs)
     docs = _keyed(df, id_col, text_col)
+    names = [c.split()[0] for c in made.columns.split(", ")]
 
     def listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -177,26 +194,26 @@ def encode(
         exploded.groupBy("chunk").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("chunk"),
         "shared",
     )
-    holders = written(exploded.distinct().join(shared, "chunk").select("key").distinct(), "holders")
-    alone, some = bloom.split_by(docs, "key", holders)
+    held = written(exploded.distinct().join(shared, "chunk"), "held")
+    alone, some = bloom.split_by(docs, "key", written(held.select("key").distinct(), "holders"))
     texts = written(some.groupBy("key").agg(F.first("text").alias("text")), "texts")
 
     def cut_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"], strict=True):
-                yield pd.DataFrame(
-                    [(key, k, c) for k, c in dict(chunks(text)).items()],
-                    columns=["key", "chunk", "content"],
-                )
+            for part in slices(batch, "text", BATCH_CHARS):
+                rows = {k: c for text in part["text"] for k, c in chunks(text)}
+                yield pd.DataFrame({"chunk": list(rows), "content": list(rows.values())})
 
     def encoded_chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [_little(x) for x in pairs.encode(batch["content"].tolist())]
-            yield pd.DataFrame({"chunk": batch["chunk"], "ids": pd.Series(ids, dtype=object)})
+            for part in slices(batch, "content", BATCH_CHARS):
+                ids = [_little(x) for x in pairs.encode(part["content"].tolist())]
+                yield part[["chunk"]].assign(ids=pd.Series(ids, dtype=object).to_numpy())
 
-    held = texts.mapInPandas(cut_up, "key binary, chunk binary, content string")
     once = written(
-        held.groupBy("chunk")
+        texts.select("text")
+        .mapInPandas(cut_up, "chunk binary, content string")
+        .groupBy("chunk")
         .agg(F.first("content").alias("content"))
         .join(shared, "chunk")
         .mapInPandas(encoded_chunks, "chunk binary, ids binary"),
@@ -204,40 +221,41 @@ def encode(
     )
     # The chunks of one text: as many as its length gives.
     known = (
-        texts.select("key")
-        .join(exploded.distinct(), "key")
-        .join(once, "chunk")
+        held.join(once, "chunk")
         .groupBy("key")
         .agg(F.collect_list(F.struct("chunk", "ids")).alias("known"))
     )
 
     def assembled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for text, found in zip(batch["text"], batch["known"], strict=True):
-                ids = {
-                    bytes(x["chunk"]): np.frombuffer(x["ids"], dtype="<u4")
-                    for x in (found if found is not None else ())
-                }
-                out.append(_little(reuse.ids(text, ids)))
-            yield pd.DataFrame({"key": batch["key"], "ids": pd.Series(out, dtype=object)})
+            for part in slices(batch, "text", BATCH_CHARS):
+                out = []
+                for text, found in zip(part["text"], part["known"], strict=True):
+                    ids = {
+                        bytes(x["chunk"]): np.frombuffer(x["ids"], dtype="<u4")
+                        for x in (found if found is not None else ())
+                    }
+                    out.append(made.values(reuse.ids(text, ids)))
+                yield _with(part[["key"]], names, out)
 
     def straight(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [_little(x) for x in pairs.encode(batch["text"].tolist())]
-            yield pd.DataFrame(
-                {"id": batch["id"], "key": batch["key"], "ids": pd.Series(ids, dtype=object)}
-            )
+            for part in slices(batch, "text", BATCH_CHARS):
+                out = [made.values(x) for x in pairs.encode(part["text"].tolist())]
+                yield _with(part[["id"]], names, out)
 
     by_text = written(
-        finish(texts.join(known, "key", "left").mapInPandas(assembled, "key binary, ids binary")),
+        texts.join(known, "key", "left").mapInPandas(assembled, f"key binary, {made.columns}"),
         "by-text",
     )
-    joined_rows = some.select("id", "key").join(by_text, "key")
-    in_place = finish(
-        alone.select("id", "key", "text").mapInPandas(straight, "id bigint, key binary, ids binary")
-    )
-    return in_place.unionByName(joined_rows).drop("key")
+    moved = some.select("id", "key").join(by_text, "key").drop("key")
+    in_place = alone.select("id", "text").mapInPandas(straight, f"id bigint, {made.columns}")
+    return in_place.unionByName(moved)
+
+
+def _with(rows: pd.DataFrame, names: list[str], values: list[tuple]) -> pd.DataFrame:
+    made = pd.DataFrame(values, columns=names, index=rows.index)
+    return pd.concat([rows, made], axis=1)
 
 
 def decode(pairs: BytePairs, ids: Column) -> Column:
@@ -248,18 +266,3 @@ def decode(pairs: BytePairs, ids: Column) -> Column:
         return pd.Series([pairs.decode(np.frombuffer(x, dtype="<u4")) for x in columns], dtype=object)
 
     return decoded(ids)
-
-
-def digests(pairs: BytePairs) -> Callable[[DataFrame], DataFrame]:
-    """A `finish` for encode: the number of ids, their SHA-256, and that of the decoded text."""
-
-    def finish(made: DataFrame) -> DataFrame:
-        return made.withColumns(
-            {
-                "n_tokens": (F.octet_length("ids") / 4).cast("long"),
-                "ids_sha256": F.sha2("ids", 256),
-                "decoded_sha256": F.sha2(decode(pairs, F.col("ids")), 256),
-            }
-        ).drop("ids")
-
-    return finish

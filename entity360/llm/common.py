@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +57,15 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def crc_bucket(value: Column, n: int) -> Column:
     """crc32 of a value as text, modulo n: the fold of a labelled row."""
     return F.pmod(F.crc32(F.coalesce(value.cast("string"), F.lit("")).cast("binary")), F.lit(n))
+
+
+def slices(batch: pd.DataFrame, name: str, most: int) -> Iterator[pd.DataFrame]:
+    """The rows in runs whose values in a column are `most` long together; a longer one is alone."""
+    start, size = 0, 0
+    for k, n in enumerate(map(len, batch[name])):
+        if k > start and size + n > most:
+            yield batch.iloc[start:k]
+            start, size = k, 0
+        size += n
+    if start < len(batch):
+        yield batch.iloc[start:]

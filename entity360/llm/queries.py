@@ -100,7 +100,7 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Digests of the ids of every document, and of what they decode to."""
     pairs = BytePairs()
     docs = table(spark, folder, "documents")
-    return bpe_reuse.encode(docs, pairs, finish=bpe_reuse.digests(pairs)).withColumnRenamed("id", "doc_id")
+    return bpe_reuse.encode(docs, pairs, made=bpe_reuse.digests(pairs)).withColumnRenamed("id", "doc_id")
 
 
 def op8_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

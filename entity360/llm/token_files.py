@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from entity360.llm.common import id_and_text, new_path
+from entity360.llm.common import id_and_text, new_path, slices
 from entity360.llm.huffman import CHECKPOINT, Code, code_lengths
-from entity360.llm.tokenizer import BytePairs
+from entity360.llm.tokenizer import BATCH_CHARS, BytePairs
 
 BLOCK_IDS = 1 << 16
+CODED_BYTES = 1 << 20  # of stored ids that are counted or coded at once
 END_ID = 0
 
 BLOCK_ROW = (
@@ -46,10 +47,10 @@ def token_ids(
 
     def tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [
-                _planes(np.append(x, np.uint32(END_ID)).astype(kind)) for x in pairs.encode(batch["text"].tolist())
-            ]
-            yield batch[["id", "tie"]].assign(tokens=pd.Series(found, dtype=object).to_numpy())
+            for part in slices(batch, "text", BATCH_CHARS):
+                ids = pairs.encode(part["text"].tolist())
+                found = [_planes(np.append(x, np.uint32(END_ID)).astype(kind)) for x in ids]
+                yield part[["id", "tie"]].assign(tokens=pd.Series(found, dtype=object).to_numpy())
 
     rows = id_and_text(df, id_col, text_col).withColumn("tie", F.xxhash64("text"))
     return rows.mapInPandas(tokens, "id bigint, tie bigint, tokens binary")
@@ -75,8 +76,8 @@ def global_code(tokens: DataFrame, pairs: BytePairs) -> Code:
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            if len(batch):
-                ids = np.concatenate([_from_planes(raw, kind) for raw in batch["tokens"]])
+            for part in slices(batch, "tokens", CODED_BYTES):
+                ids = np.concatenate([_from_planes(raw, kind) for raw in part["tokens"]])
                 total += np.bincount(ids, minlength=size)
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
@@ -106,16 +107,15 @@ def write_files(
 
     def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = [_from_planes(raw, kind) for raw in batch["tokens"]]
-            if not ids:
-                continue
-            sizes = np.array([len(x) for x in ids])
-            payloads, marks = code.encode(np.concatenate(ids), sizes)
-            yield batch[["id", "tie"]].assign(
-                n=sizes,
-                payload=pd.Series(payloads, dtype=object).to_numpy(),
-                checkpoints=pd.Series([m.tobytes() for m in marks], dtype=object).to_numpy(),
-            )
+            for part in slices(batch, "tokens", CODED_BYTES):
+                ids = [_from_planes(raw, kind) for raw in part["tokens"]]
+                sizes = np.array([len(x) for x in ids])
+                payloads, marks = code.encode(np.concatenate(ids), sizes)
+                yield part[["id", "tie"]].assign(
+                    n=sizes,
+                    payload=pd.Series(payloads, dtype=object).to_numpy(),
+                    checkpoints=pd.Series([m.tobytes() for m in marks], dtype=object).to_numpy(),
+                )
 
     def blocked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block, first, held, total = 0, 0, [], 0

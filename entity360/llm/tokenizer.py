@@ -21,8 +21,8 @@ import tiktoken
 from tokenizers import Tokenizer
 
 DEFAULT_FILE, DEFAULT_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-REMEMBERED = 300_000  # pieces per process
-BATCH_CHARS = 1 << 23  # texts that are encoded together; a longer text is a batch of its own
+REMEMBERED = 100_000  # pieces per process
+BATCH_CHARS = 1 << 20  # texts that are encoded together; a longer text is a batch of its own
 
 _CUT = re.compile(r"(?=\x20(?!\s)(?!$))")
 _UNSAFE = re.compile(r"\x20(?:\s|$)")
