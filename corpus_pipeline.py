@@ -40,7 +40,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Per document: number and digest of its ids, and digest of what they decode to."""
     pairs = BytePairs()
-    return encode(docs, pairs, finish=digests(pairs)).withColumnRenamed("id", "doc_id")
+    return encode(docs, pairs, made=digests(pairs)).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
