@@ -50,8 +50,8 @@ PLAN_LIMIT = 25
 SAMPLE_ID_LIMIT = 20
 REPORT_LIMIT = 100
 
-# A side limited to this many rows may be broadcast without looking at its size.
-BROADCAST_ROWS = 10_000
-
-# Money is added up exactly, at nine decimals, and published as double.
+# Money is added up exactly, at nine decimals, and published as double. Amounts that this type
+# can't hold well (NaN, infinite, beyond its range, or tiny) are added up as doubles.
 MONEY = T.DecimalType(28, 9)
+MONEY_RANGE = 1e19
+MONEY_LEAST = 1e-3

@@ -8,9 +8,13 @@ from entity360.functions.exprs import (
     lowest_of,
     membership_label,
     membership_state,
+    merge_money,
+    money_gap,
+    money_value,
     normalise_status,
     review_flag,
     surrogate_key,
+    times_money,
 )
 
 __all__ = [
@@ -23,9 +27,13 @@ __all__ = [
     "lowest_of",
     "membership_label",
     "membership_state",
+    "merge_money",
+    "money_gap",
+    "money_value",
     "normalise_status",
     "ordered_ids",
     "ranked_structs",
     "review_flag",
     "surrogate_key",
+    "times_money",
 ]

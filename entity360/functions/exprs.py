@@ -82,6 +82,59 @@ def any_flag(*flags: Column) -> Column:
     return reduce(lambda a, b: a | b, [F.coalesce(flag, F.lit(False)) for flag in flags])
 
 
+def _holds(amount: Column) -> Column:
+    """Whether the money type holds an amount; NULL for NULL."""
+    size = F.abs(amount)
+    return (size < C.MONEY_RANGE) & ((size >= C.MONEY_LEAST) | (amount == 0))
+
+
+def _money(exact: Column, rest: Column, rest_rows: Column) -> Column:
+    return F.struct(exact.alias("exact"), rest.alias("rest"), rest_rows.alias("rest_rows"))
+
+
 def exact_sum(amount: Column) -> Column:
-    """Decimal sum, so the total does not depend on how rows were split over tasks."""
-    return F.sum(amount.cast(C.MONEY))
+    """A total in parts: decimal, so it does not depend on how rows were split over tasks, and
+    beside it the sum of the amounts that a decimal can't hold. No amount is lost."""
+    double = amount.cast("double")
+    return _money(
+        F.sum(F.when(_holds(double), double.try_cast(C.MONEY))),
+        F.sum(F.when(~_holds(double), double)),
+        F.count_if(~_holds(double)),
+    )
+
+
+def merge_money(total: Column) -> Column:
+    """Totals of ``exact_sum`` added up further."""
+    return _money(
+        F.sum(total["exact"]), F.sum(total["rest"]), F.coalesce(F.sum(total["rest_rows"]), F.lit(0))
+    )
+
+
+def times_money(total: Column, n: Column) -> Column:
+    """A total ``n`` times over."""
+    exact = F.try_multiply(total["exact"].try_cast("decimal(27,9)"), n.cast("decimal(10,0)"))
+    lost = total["exact"].isNotNull() & exact.isNull()
+    whole = F.when(lost, total["exact"].cast("double") * n)
+    return _money(
+        exact.try_cast("decimal(38,9)"),
+        F.coalesce(total["rest"] * n + F.coalesce(whole, F.lit(0.0)), whole, total["rest"] * n),
+        total["rest_rows"] + F.when(lost, 1).otherwise(0),
+    )
+
+
+def money_value(total: Column, decimals: int | None = None) -> Column:
+    """A total as double, rounded while it is still exact; NULL when there was no amount."""
+
+    def rounded(value: Column) -> Column:
+        return value if decimals is None else F.round(value, decimals)
+
+    whole = F.coalesce(total["exact"].cast("double"), F.lit(0.0)) + total["rest"]
+    return F.when(total["rest_rows"] > 0, rounded(whole)).otherwise(
+        rounded(total["exact"]).cast("double")
+    )
+
+
+def money_gap(a: Column, b: Column) -> Column:
+    """The absolute difference of two amounts, exact where both are held exactly."""
+    exact = F.abs(a.try_cast(C.MONEY) - b.try_cast(C.MONEY)).cast("double")
+    return F.when(_holds(a) & _holds(b), exact).otherwise(F.abs(a - b))

@@ -6,7 +6,6 @@ from entity360.operators.relational import (
     in_period,
     not_deleted,
     smallest_distinct,
-    top_n_structs,
     with_defaults,
 )
 
@@ -19,6 +18,5 @@ __all__ = [
     "in_period",
     "not_deleted",
     "smallest_distinct",
-    "top_n_structs",
     "with_defaults",
 ]

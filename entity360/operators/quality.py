@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from entity360 import constants as C
-from entity360.functions.exprs import review_flag
+from entity360.functions.exprs import exact_sum, money_value, review_flag
 from entity360.operators.relational import associated
 
 
@@ -214,58 +214,52 @@ def duplicate_mappings(bridge: DataFrame, limit: int = C.REPORT_LIMIT) -> DataFr
 def multi_id_groups(bridge: DataFrame, limit: int = C.REPORT_LIMIT) -> DataFrame:
     """Companies with several ids in one system, most ids first, with sample ids.
 
-    Samples are gathered only for the groups reported. Those are broadcast while
-    ``limit`` bounds them to few rows; beyond that the join strategy is left to Spark.
-    A NULL canonical id forms a group of its own.
+    The bridge is reduced once to its ids per company and system. The groups' totals and their
+    smallest ids both come from that: a group limit leaves few ids per group before
+    anything is gathered, so neither a busy company nor the NULL one is gathered whole. A NULL
+    canonical id forms a group of its own.
     """
     keys = ["canonical_company_id", "source_system"]
+    item = ("source_company_id", "review_rows", "confidence")
+    ids = bridge.groupBy(*keys, "source_company_id").agg(
+        F.count_if("requires_manual_review").alias("review_rows"),
+        F.min("match_confidence").alias("confidence"),
+    )
+    order = (
+        F.col("source_company_id_count").desc(),
+        F.col("canonical_company_id").asc_nulls_first(),
+        F.col("source_system").asc_nulls_first(),
+    )
     top = (
-        bridge.groupBy(*keys)
+        ids.groupBy(*keys)
         .agg(
-            F.count_distinct("source_company_id").alias("source_company_id_count"),
-            F.count_if("requires_manual_review").alias("manual_review_rows"),
-            F.min("match_confidence").alias("min_match_confidence"),
+            F.count("source_company_id").alias("source_company_id_count"),
+            F.sum("review_rows").alias("manual_review_rows"),
+            F.min("confidence").alias("min_match_confidence"),
         )
         .where("source_company_id_count > 1")
-        .orderBy(
-            F.col("source_company_id_count").desc(),
-            F.col("canonical_company_id").asc_nulls_first(),
-            F.col("source_system").asc_nulls_first(),
-        )
+        .orderBy(*order)
         .limit(limit)
     )
-    # NULL keys must meet each other, so every key part joins null-safe.
-    wanted = top.select(*[F.col(c).alias(f"_{c}") for c in keys])
-    if limit <= C.BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
-    ids = (
-        bridge.select(*keys, "source_company_id")
-        .where(F.col("source_company_id").isNotNull())
-        .join(wanted, reduce(lambda a, b: a & b, same), "left_semi")
-        .distinct()
-    )
-    window = Window.partitionBy(*keys).orderBy("source_company_id")
+    window = Window.partitionBy(*keys).orderBy(F.col("source_company_id").asc_nulls_last())
     samples = (
         ids.withColumn("_row", F.row_number().over(window))
-        .where(F.col("_row") <= C.SAMPLE_ID_LIMIT)
+        .where((F.col("_row") <= C.SAMPLE_ID_LIMIT) & F.col("source_company_id").isNotNull())
         .groupBy(*[F.col(c).alias(f"_{c}") for c in keys])
-        .agg(F.sort_array(F.collect_list("source_company_id")).alias("sample_source_company_ids"))
+        .agg(F.sort_array(F.collect_list(F.struct(*item))).alias("_samples"))
     )
+    # NULL keys must meet each other, so every key part joins null-safe.
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
     return (
         top.join(samples, reduce(lambda a, b: a & b, same), "left")
         .select(
             *keys,
             "source_company_id_count",
-            "sample_source_company_ids",
+            F.col("_samples.source_company_id").alias("sample_source_company_ids"),
             "manual_review_rows",
             "min_match_confidence",
         )
-        .orderBy(
-            F.col("source_company_id_count").desc(),
-            F.col("canonical_company_id").asc_nulls_first(),
-            F.col("source_system").asc_nulls_first(),
-        )
+        .orderBy(*order)
     )
 
 
@@ -325,12 +319,8 @@ def mapping_coverage(counts: DataFrame, bridge: DataFrame) -> DataFrame:
 # --- Smoke reports on the company mart ------------------------------------------------
 
 
-def null_count(df: DataFrame, col: str) -> DataFrame:
-    return df.agg(F.count_if(F.col(col).isNull()).alias(f"null_{col}_count"))
-
-
 def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``null_count`` of several columns in one scan."""
+    """NULLs per column, in one scan."""
     return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}_count") for c in cols])
 
 
@@ -364,14 +354,14 @@ def review_counts(mart: DataFrame) -> DataFrame:
 
 def status_distribution(mart: DataFrame) -> DataFrame:
     """Companies and current-month totals per membership status."""
-    revenue = F.sum(F.col("current_total_mrr").cast(C.MONEY))
+    revenue = money_value(exact_sum(F.col("current_total_mrr")), 2)
     return (
         mart.groupBy("membership_status")
         .agg(
             F.count(F.lit(1)).alias("company_count"),
             F.sum("current_active_memberships").alias("current_active_memberships"),
             F.sum("current_active_members").alias("current_active_members"),
-            F.round(revenue, 2).cast("double").alias("current_total_mrr"),
+            revenue.alias("current_total_mrr"),
         )
         .orderBy(F.col("company_count").desc())
     )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from entity360 import constants as C
+from entity360.functions.exprs import exact_sum, money_gap, money_value
 
 LEFT, RIGHT = "production", "existing"
 
@@ -106,9 +106,9 @@ def reconcile_summary(
     rows = full_reconcile(left, right, keys, measures, null_safe)
 
     def money(value: Column) -> Column:
-        return F.round(F.sum(value.cast(C.MONEY)), 2).cast("double")
+        return money_value(exact_sum(value), 2)
 
-    revenue = {tag: _zero(f"{tag}_total_mrr").cast(C.MONEY) for tag in (LEFT, RIGHT)}
+    revenue = {tag: _zero(f"{tag}_total_mrr").cast("double") for tag in (LEFT, RIGHT)}
     return rows.agg(
         F.count(F.lit(1)).alias("reconciled_key_rows"),
         *[
@@ -121,5 +121,5 @@ def reconcile_summary(
             for tag in (LEFT, RIGHT)
         ],
         *[money(revenue[tag]).alias(f"{tag}_total_mrr") for tag in (LEFT, RIGHT)],
-        money(F.abs(revenue[LEFT] - revenue[RIGHT])).alias("abs_total_mrr_diff"),
+        money(money_gap(revenue[LEFT], revenue[RIGHT])).alias("abs_total_mrr_diff"),
     )

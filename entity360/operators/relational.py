@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from entity360.functions.collect import ranked_structs
 from entity360.sources.schemas import LEDGER_SCHEMA
 
 PERIODS = ("past_current", "current", "future")
@@ -102,20 +101,6 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
     return df.withColumn("_row", F.row_number().over(window)).where("_row = 1").drop("_row")
 
 
-def top_n_structs(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[Column],
-    n: int,
-    fields: Sequence[str],
-    name: str,
-) -> DataFrame:
-    """One row per key with an array of its first ``n`` rows as structs."""
-    window = Window.partitionBy(*keys).orderBy(*order_by)
-    ranked = df.withColumn("_row", F.row_number().over(window)).where(F.col("_row") <= n)
-    return ranked.groupBy(*keys).agg(ranked_structs(F.col("_row"), n, fields).alias(name))
-
-
 def smallest_distinct(
     df: DataFrame, keys: Sequence[str], columns: Mapping[str, Column], limit: int
 ) -> DataFrame:

@@ -13,8 +13,15 @@ MONTH = "DATE '1999-06-01'"
 
 
 def _exact(value: str) -> str:
-    """Decimal sum, published as the nearest double."""
-    return f"CAST(CAST(SUM({_dec(value)}) AS VARCHAR) AS DOUBLE)"
+    """Decimal sum, published as the nearest double; what a decimal can't hold is added as double."""
+    held = f"CAST(CAST(SUM(TRY_CAST(CAST({value} AS VARCHAR) AS DECIMAL(28,9))) FILTER (WHERE {_held(value)}) AS VARCHAR) AS DOUBLE)"
+    rest = f"FILTER (WHERE NOT {_held(value)})"
+    return f"CASE WHEN count(*) {rest} = 0 THEN {held} ELSE coalesce({held}, 0) + SUM(CAST({value} AS DOUBLE)) {rest} END"
+
+
+def _held(value: str) -> str:
+    size = f"abs(CAST({value} AS DOUBLE))"
+    return f"({size} < 1e19 AND ({size} >= 1e-3 OR {size} = 0))"
 
 
 def _dec(value: str) -> str:
@@ -86,6 +93,7 @@ _BLOCKS: dict[str, str] = {
          c_mktsegment AS industry,
          CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'City ' || CAST(c_custkey % 40 AS VARCHAR) END AS property_city,
          n_name AS property_country, CAST(c_custkey % 500 AS DOUBLE) AS employee_count, c_acctbal AS annual_revenue,
+         (SELECT min(o_orderdate) FROM orders WHERE o_custkey = c_custkey) AS created_at,
          CASE WHEN c_custkey % 23 <> 0 THEN (SELECT max(o_orderdate) FROM orders WHERE o_custkey = c_custkey) END AS updated_at
   FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "src_raw": """
@@ -104,6 +112,7 @@ _BLOCKS: dict[str, str] = {
          CASE s_suppkey % 3 WHEN 0 THEN 'active' WHEN 1 THEN 'inactive' END AS company_status,
          CASE s_suppkey % 2 WHEN 0 THEN 'startup' ELSE 'partner' END AS company_type,
          'tier ' || CAST(s_suppkey % 4 AS VARCHAR) AS company_tier, 'loc-' || CAST(s_suppkey % 5 AS VARCHAR) AS location_id,
+         (SELECT CAST(min(l_shipdate) AS DATE) FROM lineitem WHERE l_suppkey = s_suppkey) AS start_date,
          (SELECT max(l_shipdate) FROM lineitem WHERE l_suppkey = s_suppkey) AS modified_at
   FROM supplier""",
     "src_client": """
@@ -126,12 +135,12 @@ _BLOCKS: dict[str, str] = {
   UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey + 1 AS VARCHAR), 'HUBSPOT_DEFINED', 6 FROM orders WHERE o_orderkey % 4 = 0
   UNION ALL SELECT CAST(o_orderkey AS VARCHAR), CAST(o_custkey + 2 AS VARCHAR), 'USER_DEFINED', 5 FROM orders WHERE o_orderkey % 6 = 0""",
     "src_project": """
-  SELECT o_orderkey AS id, o_custkey, 'Project ' || CAST(o_orderkey AS VARCHAR) AS name, 'Kind ' || CAST(o_orderkey % 5 AS VARCHAR) AS kind,
+  SELECT o_orderkey AS id, o_custkey, 'Project ' || CAST(o_orderkey AS VARCHAR) AS name, o_orderpriority AS kind,
          CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'in progress' END AS state,
          CAST(o_orderdate AS DATE) AS started, CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + 90 END AS ended,
          CASE WHEN o_orderkey % 4 <> 0 THEN 'Studio ' || CAST(o_orderkey % 4 AS VARCHAR) END AS offering,
          o_orderkey % 41 = 0 AS deleted
-  FROM orders WHERE o_orderpriority = '1-URGENT'""",
+  FROM orders""",
     "src_startup": """
   SELECT id, o_custkey AS company FROM src_project UNION ALL SELECT id, o_custkey + 1 FROM src_project WHERE id % 50 = 0""",
     "src_partner": """
@@ -146,10 +155,10 @@ _BLOCKS: dict[str, str] = {
   FROM lineitem""",
     "src_service": """
   SELECT event_id AS project_id, user_id AS client_id, 'Services ' || CAST(event_id AS VARCHAR) AS name,
-         CASE WHEN event_id % 3 <> 0 THEN 'Phase ' || CAST(event_id % 4 AS VARCHAR) END AS phase,
+         CASE WHEN event_id % 3 <> 0 THEN event_type END AS phase,
          CASE WHEN event_id % 9 <> 0 THEN event_id % 2 = 0 END AS inactive, CAST(ts AS DATE) AS started,
          CASE WHEN event_id % 4 <> 0 THEN CAST(ts AS DATE) + 30 END AS ended, value AS budget
-  FROM events WHERE event_type = 'purchase'""",
+  FROM events""",
     "src_month": f"""
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, CAST(l_suppkey AS VARCHAR) AS officernd_company_id,
          l_returnflag AS location_id, 'Location ' || l_returnflag AS location_name, lower(l_returnflag) AS location_code,
@@ -250,7 +259,7 @@ _BLOCKS.update(
         "best_crm": """
   SELECT b.canonical_company_id, b.source_company_id, nullif(c.company_name, '') AS company_name,
          nullif(c.company_domain, '') AS company_domain, c.industry AS hubspot_industry, nullif(c.property_city, '') AS hubspot_city,
-         c.property_country AS hubspot_country, c.employee_count, c.annual_revenue,
+         c.property_country AS hubspot_country, c.employee_count, c.annual_revenue, c.created_at, c.updated_at,
          w.primary_owner_id, w.primary_owner_name, w.primary_owner_email
   FROM src_mapping b JOIN src_crm c ON b.source_company_id = CAST(c.company_id AS VARCHAR) JOIN owned w USING (company_id)
   WHERE b.source_system = 'hubspot' AND b.canonical_company_id IS NOT NULL
@@ -259,7 +268,7 @@ _BLOCKS.update(
         "best_space": """
   SELECT b.canonical_company_id, b.source_company_id, s.company_name, s.company_email AS officernd_company_email,
          s.company_url AS officernd_company_url, s.company_status AS officernd_company_status, s.company_type AS officernd_company_type,
-         s.company_tier AS officernd_company_tier, s.location_id AS officernd_location_id
+         s.company_tier AS officernd_company_tier, s.location_id AS officernd_location_id, s.start_date, s.modified_at
   FROM src_mapping b JOIN src_space s ON b.source_company_id = s.company_id
   WHERE b.source_system = 'officernd' AND b.canonical_company_id IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY b.canonical_company_id
@@ -277,8 +286,8 @@ _BLOCKS.update(
   SELECT r.*, coalesce(h.company_name, o.company_name, t.client_name) AS company_name,
          CASE WHEN h.company_name IS NOT NULL THEN 'hubspot' WHEN o.company_name IS NOT NULL THEN 'officernd'
               WHEN t.client_name IS NOT NULL THEN 'bigtime' END AS company_name_source,
-         h.* EXCLUDE (canonical_company_id, source_company_id, company_name),
-         o.* EXCLUDE (canonical_company_id, source_company_id, company_name),
+         h.* EXCLUDE (canonical_company_id, source_company_id, company_name, created_at, updated_at),
+         o.* EXCLUDE (canonical_company_id, source_company_id, company_name, start_date, modified_at),
          t.* EXCLUDE (canonical_company_id, source_company_id, client_name, is_deleted)
   FROM rollup r LEFT JOIN best_crm h USING (canonical_company_id) LEFT JOIN best_space o USING (canonical_company_id)
        LEFT JOIN best_client t USING (canonical_company_id)""",
@@ -334,6 +343,7 @@ _BLOCKS.update(
          CAST(sum(active_members) AS BIGINT) AS current_active_members, {_exact("total_mrr")} AS current_total_mrr,
          {_exact("total_calculated_list_price")} AS current_total_calculated_list_price,
          {_exact("total_calculated_discount_amount")} AS current_total_calculated_discount_amount,
+         min(min_match_confidence) AS current_membership_min_match_confidence,
          bool_or(has_manual_review_mapping) AS has_current_membership_manual_review_mapping
   FROM status WHERE canonical_company_id IS NOT NULL AND month_start = {MONTH} GROUP BY ALL""",
         "history": f"""
@@ -529,6 +539,15 @@ def _mapped(block: str) -> str:
     return _mapped_events(block)
 
 
+# Amounts a decimal can't hold, by bucket: NaN, infinite, both infinities, huge, tiny, none.
+_ODD_AMOUNT = """CASE CAST(deal_id AS BIGINT) % 7
+  WHEN 1 THEN CASE WHEN deal_amount > 1e5 THEN CAST('NaN' AS DOUBLE) ELSE deal_amount END
+  WHEN 2 THEN CASE WHEN deal_amount > 1e5 THEN CAST('Infinity' AS DOUBLE) ELSE deal_amount END
+  WHEN 3 THEN CASE WHEN deal_amount > 1e5 THEN CAST('Infinity' AS DOUBLE) ELSE CAST('-Infinity' AS DOUBLE) END
+  WHEN 4 THEN CASE WHEN deal_amount > 1e5 THEN CAST(1e20 AS DOUBLE) ELSE CAST(-1e20 AS DOUBLE) END
+  WHEN 5 THEN CAST(1 AS DOUBLE) / 17179869184
+  WHEN 6 THEN NULL ELSE deal_amount END"""
+
 _SELECTS: dict[str, str] = {
     "bridge_source": "SELECT * FROM src_mapping",
     "bridge_lookup": """SELECT s.project_id, CAST(s.client_id AS VARCHAR) AS source_company_id, b.canonical_company_id,
@@ -554,6 +573,8 @@ FROM src_service s LEFT JOIN src_mapping b ON b.source_system = 'bigtime' AND b.
     "membership_history": "SELECT * FROM history",
     "engagement_counts": "SELECT * FROM counts",
     "engagement_amounts": "SELECT * FROM amounts",
+    "money_totals": f"""SELECT bucket, {_exact("odd_amount")} AS total, count(*) AS deals FROM (
+  SELECT CAST(deal_id AS BIGINT) % 7 AS bucket, {_ODD_AMOUNT} AS odd_amount FROM src_deal) GROUP BY ALL""",
     "engagement_timeline": _unnested("engagement_category, engagement_type, " + _PROJECT_ITEM, 20),
     "recent_engagements": _unnested("engagement_type, " + _PROJECT_ITEM, 10),
     "typed_engagements": "SELECT * FROM typed",

@@ -124,6 +124,8 @@ def representative_crm(
             "hubspot_country": blank_to_null(F.col("property_country")),
             "employee_count": F.col("employee_count"),
             "annual_revenue": F.col("annual_revenue"),
+            "created_at": F.col("created_at"),
+            "updated_at": F.col("updated_at"),
             "primary_owner_id": F.col("primary_owner_id"),
             "primary_owner_name": F.col("primary_owner_name"),
             "primary_owner_email": F.col("primary_owner_email"),
@@ -156,6 +158,8 @@ def representative_workspace(bridge: DataFrame, workspace: DataFrame) -> DataFra
             "officernd_company_type": blank_to_null(F.col("company_type")),
             "officernd_company_tier": blank_to_null(F.col("company_tier")),
             "officernd_location_id": F.col("location_id"),
+            "start_date": F.col("start_date"),
+            "modified_at": F.col("modified_at"),
         },
     )
 

@@ -11,7 +11,14 @@ from pyspark.sql.window import Window
 
 from entity360 import constants as C
 from entity360.functions.collect import distinct_sorted, ranked_structs
-from entity360.functions.exprs import any_flag, exact_sum, lowest_of, membership_label
+from entity360.functions.exprs import (
+    any_flag,
+    exact_sum,
+    lowest_of,
+    membership_label,
+    merge_money,
+    money_value,
+)
 from entity360.operators.relational import with_defaults
 from entity360.plans.membership import membership_rollup
 from entity360.sources.schemas import (
@@ -48,8 +55,8 @@ def engagement_totals(ledger: DataFrame) -> DataFrame:
         return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
 
     def amount_of(condition):
-        total = F.sum(F.when(condition, F.col("amount")))
-        return F.coalesce(total, F.lit(0)).cast("double")
+        total = money_value(merge_money(F.when(condition, F.col("amount"))))
+        return F.coalesce(total, F.lit(0.0))
 
     return parts.groupBy("canonical_company_id").agg(
         F.min("first_date").alias("first_engagement_date"),
@@ -61,7 +68,7 @@ def engagement_totals(ledger: DataFrame) -> DataFrame:
         distinct_sorted(F.col("source_system")).alias("engagement_source_systems"),
         distinct_sorted(F.col("engagement_type")).alias("engagement_types"),
         distinct_sorted(F.col("engagement_category")).alias("engagement_categories"),
-        F.sum("amount").cast("double").alias("total_source_reported_engagement_amount"),
+        money_value(merge_money(F.col("amount"))).alias("total_source_reported_engagement_amount"),
         *[amount_of(of_type[name]).alias(f"{name}_amount") for name in of_type],
         F.bool_or("review").alias("has_engagement_manual_review_mapping"),
         F.min("confidence").alias("engagement_min_match_confidence"),

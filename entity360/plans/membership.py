@@ -10,7 +10,14 @@ from pyspark.sql.window import Window
 
 from entity360 import constants as C
 from entity360.functions.collect import ordered_ids
-from entity360.functions.exprs import default_category, exact_sum, review_flag
+from entity360.functions.exprs import (
+    default_category,
+    exact_sum,
+    merge_money,
+    money_value,
+    review_flag,
+    times_money,
+)
 from entity360.operators.bridge import bridge_lookup
 from entity360.operators.relational import first_of_month, in_period, smallest_distinct
 from entity360.sources.schemas import MEMBERSHIP_STATUS_SCHEMA
@@ -101,7 +108,7 @@ def membership_status(
         .groupBy(*SOURCE_GRAIN)
         .agg(
             *[F.max(name).alias(name) for name in ("active_memberships", "active_members")],
-            *[F.sum(name).alias(name) for name in TOTALS],
+            *[merge_money(F.col(name)).alias(name) for name in TOTALS],
             F.sort_array(F.collect_list(observed)).alias("observed_membership_statuses"),
         )
     )
@@ -109,8 +116,10 @@ def membership_status(
     copies = F.col("_copies")
 
     def repeated(name: str) -> Column:
-        many = F.col(name).cast("decimal(27,9)") * copies.cast("decimal(10,0)")
-        return F.when(copies > 1, many).otherwise(F.col(name)).cast("double")
+        total = F.col(name)
+        return F.when(copies > 1, money_value(times_money(total, copies))).otherwise(
+            money_value(total)
+        )
 
     return (
         grain.join(_company_links(bridge), F.col("_id") == F.col("officernd_company_id"), "left")
@@ -201,8 +210,7 @@ def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
         return ordered_ids(value, kind == name)
 
     def total(name: str, when: Column | None = None) -> Column:
-        amount = F.col(name) if when is None else F.when(when, F.col(name))
-        return F.sum(amount).cast("double")
+        return money_value(merge_money(F.col(name) if when is None else F.when(when, F.col(name))))
 
     rollup = (
         _company_values(mapped, month)
@@ -216,6 +224,9 @@ def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
             total("mrr", now).alias("current_total_mrr"),
             total("list_price", now).alias("current_total_calculated_list_price"),
             total("discount", now).alias("current_total_calculated_discount_amount"),
+            F.min(F.when(now, F.col("confidence"))).alias(
+                "current_membership_min_match_confidence"
+            ),
             F.bool_or(F.when(now, F.col("review"))).alias(
                 "has_current_membership_manual_review_mapping"
             ),
@@ -256,6 +267,7 @@ CURRENT_COLUMNS = (
     "current_total_mrr",
     "current_total_calculated_list_price",
     "current_total_calculated_discount_amount",
+    "current_membership_min_match_confidence",
     "has_current_membership_manual_review_mapping",
 )
 HISTORY_COLUMNS = (

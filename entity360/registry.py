@@ -13,7 +13,9 @@ from entity360 import constants as C
 from entity360.functions.collect import distinct_sorted
 from entity360.functions.exprs import (
     blank_to_null,
+    exact_sum,
     membership_state,
+    money_value,
     normalise_status,
     surrogate_key,
 )
@@ -144,6 +146,26 @@ def _deal_status(p: Product) -> DataFrame:
     )
 
 
+_ODD_AMOUNT = """CASE CAST(deal_id AS BIGINT) % 7
+  WHEN 1 THEN IF(deal_amount > 1e5, CAST('NaN' AS DOUBLE), deal_amount)
+  WHEN 2 THEN IF(deal_amount > 1e5, CAST('Infinity' AS DOUBLE), deal_amount)
+  WHEN 3 THEN IF(deal_amount > 1e5, CAST('Infinity' AS DOUBLE), CAST('-Infinity' AS DOUBLE))
+  WHEN 4 THEN IF(deal_amount > 1e5, 1e20D, -1e20D)
+  WHEN 5 THEN 1D / 17179869184D
+  WHEN 6 THEN NULL ELSE deal_amount END"""
+
+
+def _money_totals(p: Product) -> DataFrame:
+    """Totals of deals, in buckets that hold NaN, infinite, huge, tiny and missing amounts."""
+    deals = p.sources["stg_hubspot_deals"].selectExpr(
+        "CAST(deal_id AS BIGINT) % 7 AS bucket", f"{_ODD_AMOUNT} AS odd_amount"
+    )
+    total = deals.groupBy("bucket").agg(
+        exact_sum(F.col("odd_amount")).alias("total"), F.count(F.lit(1)).alias("deals")
+    )
+    return total.withColumn("total", money_value(F.col("total")))
+
+
 def _membership_state(p: Product) -> DataFrame:
     columns = [F.col(n) for n in ("membership_status", "period_start_date", "period_end_date")]
     return p.sources["int_membership_detail"].select(
@@ -273,6 +295,7 @@ QUERIES: dict[str, Callable[[Product], DataFrame]] = {
     "engagement_amounts": lambda p: mart.engagement_totals(p.ledger).select(
         KEY, *_TOTALS, "has_engagement_manual_review_mapping", "engagement_min_match_confidence"
     ),
+    "money_totals": _money_totals,
     "engagement_timeline": lambda p: unnested(
         mart.engagement_lists(p.ledger), "engagement_timeline"
     ),

@@ -242,15 +242,11 @@ def _deal_links(s: SampleSources) -> DataFrame:
     )
 
 
-def _urgent(s: SampleSources) -> DataFrame:
-    return s.table("orders").where("o_orderpriority = '1-URGENT'")
-
-
 def _projects(s: SampleSources) -> DataFrame:
-    return _urgent(s).selectExpr(
+    return s.table("orders").selectExpr(
         "o_orderkey AS id",
         "concat('Project ', CAST(o_orderkey AS STRING)) AS property_project_name",
-        "concat('Kind ', CAST(o_orderkey % 5 AS STRING)) AS property_project_category",
+        "o_orderpriority AS property_project_category",
         "CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'in progress' END "
         "AS property_project_status",
         "o_orderdate AS property_project_start_date",
@@ -268,39 +264,29 @@ def _project_links(s: SampleSources) -> DataFrame:
 
     Partners on line number 7 have no company row.
     """
-    startups = _urgent(s).selectExpr(
+    startups = s.table("orders").selectExpr(
         "o_orderkey AS from_id",
         "explode(array_compact(array(o_custkey, CASE WHEN o_orderkey % 50 = 0 THEN o_custkey + 1 END))) AS to_id",
         "105L AS type_id",
     )
-    lines = s.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber")
-    partners = (
-        _urgent(s)
-        .join(lines, F.expr("l_orderkey = o_orderkey"))
-        .selectExpr(
-            "o_orderkey AS from_id",
-            "CASE WHEN l_linenumber = 7 THEN l_suppkey + 1000000000 ELSE l_suppkey END AS to_id",
-            "107L AS type_id",
-        )
+    partners = s.table("lineitem").selectExpr(
+        "l_orderkey AS from_id",
+        "CASE WHEN l_linenumber = 7 THEN l_suppkey + 1000000000 ELSE l_suppkey END AS to_id",
+        "107L AS type_id",
     )
     return startups.unionByName(partners)
 
 
 def _services_projects(s: SampleSources) -> DataFrame:
-    return (
-        s.table("events")
-        .where("event_type = 'purchase'")
-        .selectExpr(
-            "event_id AS project_id",
-            "user_id AS client_id",
-            "concat('Services ', CAST(event_id AS STRING)) AS project_name",
-            "CASE WHEN event_id % 3 = 0 THEN '' ELSE concat('Phase ', CAST(event_id % 4 AS STRING)) END "
-            "AS production_status_name",
-            "CASE WHEN event_id % 9 != 0 THEN event_id % 2 = 0 END AS is_inactive",
-            "CAST(ts AS DATE) AS start_date",
-            "CASE WHEN event_id % 4 != 0 THEN date_add(CAST(ts AS DATE), 30) END AS end_date",
-            "value AS budget_fees",
-        )
+    return s.table("events").selectExpr(
+        "event_id AS project_id",
+        "user_id AS client_id",
+        "concat('Services ', CAST(event_id AS STRING)) AS project_name",
+        "CASE WHEN event_id % 3 = 0 THEN '' ELSE event_type END AS production_status_name",
+        "CASE WHEN event_id % 9 != 0 THEN event_id % 2 = 0 END AS is_inactive",
+        "CAST(ts AS DATE) AS start_date",
+        "CASE WHEN event_id % 4 != 0 THEN date_add(CAST(ts AS DATE), 30) END AS end_date",
+        "value AS budget_fees",
     )
 
 

@@ -1,6 +1,8 @@
 import hashlib
+import math
 from datetime import date
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -8,12 +10,17 @@ from pyspark.sql import functions as F
 from entity360.functions import (
     any_flag,
     blank_to_null,
+    exact_sum,
     full_name,
     lowest_of,
     membership_label,
     membership_state,
+    merge_money,
+    money_gap,
+    money_value,
     normalise_status,
     surrogate_key,
+    times_money,
 )
 
 AS_OF = date(2024, 6, 15)
@@ -104,3 +111,50 @@ def test_surrogate_key_depends_on_parts_only(spark, rows):
     got = [r["k"] for r in df.select(surrogate_key(F.col("a"), F.col("b")).alias("k")).collect()]
     texts = [f"{'' if a is None else a}|{'' if b is None else b}" for a, b in rows]
     assert got == [hashlib.sha256(t.encode()).hexdigest() for t in texts]
+
+
+@pytest.mark.parametrize(
+    "amounts",
+    [
+        [5.0, float("nan")],
+        [5.0, float("inf")],
+        [5.0, float("-inf")],
+        [float("inf"), float("-inf")],
+        [1e20, 1.0],
+        [1e20, -1e20],
+        [-1e20, 2.5, None],
+        [1e-10, 2e-10],
+        [0.1] * 10,
+        [0.0, -0.0],
+        [None, None],
+        [],
+    ],
+)
+@pytest.mark.parametrize("copies", [1, 3])
+def test_no_amount_is_lost_in_a_total(spark, amounts, copies):
+    rows = spark.createDataFrame([(a,) for a in amounts], "amount double").repartition(3)
+    parts = rows.groupBy(F.spark_partition_id().alias("part")).agg(
+        exact_sum(F.col("amount")).alias("total")
+    )
+    merged = parts.agg(merge_money(F.col("total")).alias("total"))
+    got = merged.select(money_value(times_money(F.col("total"), F.lit(copies))).alias("x")).first().x
+    known = [a for a in amounts if a is not None]
+    if not known:
+        assert got is None
+    elif math.isnan(sum(known)):
+        assert math.isnan(got)
+    else:
+        assert got == pytest.approx(sum(known) * copies, rel=1e-12)
+
+
+def test_a_total_too_large_for_a_decimal_times_its_copies(spark):
+    rows = spark.range(40).select(F.lit(9.9e18).alias("amount"))
+    total = rows.agg(exact_sum(F.col("amount")).alias("total"))
+    got = total.select(money_value(times_money(F.col("total"), F.lit(2))).alias("x")).first().x
+    assert got == pytest.approx(9.9e18 * 80)
+
+
+def test_gaps_of_money_are_exact_where_they_can_be(spark):
+    rows = spark.createDataFrame([(0.3, 0.1), (1e20, 1.0), (float("nan"), 1.0)], "a double, b double")
+    got = [r.x for r in rows.select(money_gap(F.col("a"), F.col("b")).alias("x")).collect()]
+    assert got[:2] == [0.2, 1e20] and math.isnan(got[2])

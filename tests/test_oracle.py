@@ -4,6 +4,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from entity360.oracle import ORACLE_SQL
+from entity360.registry import QUERIES, run
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -27,13 +29,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    df = driver.queries()[name](spark, FOLDER)
-    rel = duck.sql(driver.oracle_sql()[name])
+    df = run(name, spark, FOLDER)
+    rel = duck.sql(ORACLE_SQL[name])
     kinds = {c: str(t) for c, t in zip(rel.columns, rel.types, strict=True)}
     assert {f.name: TYPES[f.dataType.simpleString()] for f in df.schema} == kinds
     columns = sorted(df.columns)

@@ -79,7 +79,7 @@ def test_smoke_reports(spark):
         "has_deal_engagement boolean, has_membership_engagement boolean, has_project_engagement boolean, "
         "deal_engagement_count bigint, membership_engagement_count bigint, project_engagement_count bigint",
     )
-    assert collect(q.null_count(mart, "company_name")) == [{"null_company_name_count": 2}]
+    assert collect(q.null_counts(mart, ["company_name"])) == [{"null_company_name_count": 2}]
     assert collect(q.duplicate_companies(mart)) == [{"canonical_company_id": None, "row_count": 2}]
     assert collect(q.review_counts(mart)) == [
         {"manual_review_company_count": 1, "identity_manual_review_company_count": 2}
