@@ -2,7 +2,7 @@
 
 A text may be cut before a space that a character other than white space follows: the pattern that
 splits words never reaches across such a cut, so the pieces are encoded on their own. The
-distinct pieces of a batch are encoded once. Pieces of common Latin text go through a
+pieces that a process has seen are encoded once. Pieces of common Latin text go through a
 faster library that has the same vocabulary; all others, and texts with the string of a special token, go
 through the tokenizers library itself.
 """
@@ -11,17 +11,17 @@ from __future__ import annotations
 
 import base64
 import re
+from array import array
 from functools import cache, cached_property
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import tiktoken
 from tokenizers import Tokenizer
 
 DEFAULT_FILE, DEFAULT_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-REMEMBERED = 100_000  # pieces per process
+REMEMBERED = 400_000  # pieces per process; then it starts anew
 BATCH_CHARS = 1 << 20  # texts that are encoded together; a longer text is a batch of its own
 
 _CUT = re.compile(r"(?=\x20(?!\s)(?!$))")
@@ -66,20 +66,18 @@ class BytePairs:
             out[token] = added.content.encode()
         return np.array(out, dtype=object)
 
-    def _ids(self, pieces: list[str]) -> list[list[int]]:
-        """The ids of distinct pieces; those of earlier batches are remembered, up to REMEMBERED."""
-        fast, exact, memory = self.fast, self.exact, _memory(self.file)
-        found = list(map(memory.get, pieces))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        common = bool(_LATIN.fullmatch("\n".join(pieces[i] for i in new)))
-        for i in new:
-            if common or _LATIN.fullmatch(pieces[i]):
-                found[i] = fast.encode_ordinary(pieces[i])
+    def _learn(self, pieces: list[str], memory: _Memory) -> None:
+        """Adds the ids of distinct new pieces to the memory."""
+        fast, exact = self.fast, self.exact
+        common = bool(_LATIN.fullmatch("\n".join(pieces)))
+        for piece in pieces:
+            if common or _LATIN.fullmatch(piece):
+                ids = fast.encode_ordinary(piece)
             else:
-                found[i] = exact.encode(pieces[i], add_special_tokens=False).ids
-        if len(memory) + len(new) <= REMEMBERED:
-            memory.update((pieces[i], found[i]) for i in new if len(pieces[i]) <= 24)
-        return found
+                ids = exact.encode(piece, add_special_tokens=False).ids
+            memory.index[piece] = len(memory.sizes)
+            memory.sizes.append(len(ids))
+            memory.flat.extend(ids)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -108,10 +106,15 @@ class BytePairs:
                 pieces.append(first)
                 pieces += [" " + word for word in rest]
             counts.append(len(pieces) - before)
-        codes, distinct = pd.factorize(np.array(pieces, dtype=object))
-        known = self._ids(distinct.tolist())
-        lengths = np.fromiter(map(len, known), dtype=np.int64, count=len(known))
-        flat = np.fromiter(chain.from_iterable(known), dtype=np.uint32, count=lengths.sum())
+        memory = _memory(self.file)
+        if len(memory.sizes) > REMEMBERED:
+            memory.clear()
+        codes = np.fromiter(map(memory.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(codes < 0).tolist()
+        self._learn(list(dict.fromkeys(pieces[i] for i in new)), memory)
+        codes[new] = [memory.index[pieces[i]] for i in new]
+        lengths = np.array(memory.sizes, dtype=np.int64)
+        flat = np.array(memory.flat, dtype=np.uint32)
         starts = np.cumsum(lengths) - lengths
         # Where each piece's ids stand among all ids, and from where they are taken.
         each = lengths[codes] if len(codes) else np.empty(0, np.int64)
@@ -136,9 +139,21 @@ def _exact(file: str) -> Tokenizer:
     return found
 
 
+class _Memory:
+    """Known pieces of a process: their numbers, and the sizes and ids in that order."""
+
+    def __init__(self) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        self.index: dict[str, int] = {}
+        self.sizes = array("i")
+        self.flat = array("I")
+
+
 @cache
-def _memory(file: str) -> dict[str, list[int]]:
-    return {}
+def _memory(file: str) -> _Memory:
+    return _Memory()
 
 
 @cache
