@@ -26,13 +26,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entity360.llm import bloom
 from entity360.llm.common import column, written
 from entity360.llm.html_blocks import ARTICLE, FRAME, Block, blocks
 from entity360.llm.shingles import rolled, word_hashes
 
 RUN = 8  # tokens of the shortest run that counts as repeated
 LEAST_PAGES = 2
-BATCH_TOKENS = 500_000  # of a host's streams in one suffix array
+BATCH_TOKENS = 50_000  # of a host's streams in one suffix array
 
 
 def article_text(found: list[Block]) -> str | None:
@@ -207,21 +208,23 @@ def extract(
 
     def articles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield batch.assign(text=[article_text(blocks(x)) for x in batch["html"]]).assign(
-                html=lambda b: b["html"].where(b["text"].isna(), "")
-            )
+            texts = [article_text(blocks(x)) for x in batch["html"]]
+            yield batch[["id", "url"]].assign(text=texts)
 
     def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [
-                unique_text(blocks(x), np.asarray(m, dtype=bool))
-                for x, m in zip(batch["html"], batch["mask"], strict=True)
-            ]
+            texts = []
+            for page, mask in zip(batch["html"], batch["mask"], strict=True):
+                found = blocks(page)
+                text = article_text(found)
+                texts.append(unique_text(found, np.asarray(mask, bool)) if text is None else text)
             yield batch[["id", "url"]].assign(text=texts)
 
-    parsed = keyed.select("id", "url", "key", "html").mapInPandas(
-        articles, "id bigint, url string, key binary, html string, text string"
+    # Only pages that may lack an article are shuffled, to meet their masks.
+    rows = keyed.select("id", "url", "key", "html")
+    straight, maybe = bloom.split_by(rows, "key", dealt.where("bare").select("key"))
+    schema = "id bigint, url string, text string"
+    met = maybe.join(masks, "key", "left").select("id", "url", "html", "mask")
+    return straight.select("id", "url", "html").mapInPandas(articles, schema).unionByName(
+        met.mapInPandas(rest, schema)
     )
-    with_article = parsed.where("text IS NOT NULL").select("id", "url", "text")
-    without = parsed.where("text IS NULL").join(masks, "key").select("id", "url", "html", "mask")
-    return with_article.unionByName(without.mapInPandas(rest, "id bigint, url string, text string"))
