@@ -316,6 +316,47 @@ def mapping_coverage(counts: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def _coverage(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows, unmapped rows and their share per key."""
+    unmapped = F.count_if(F.col("canonical_company_id").isNull())
+    rows = F.count(F.lit(1))
+    return df.groupBy(*keys).agg(
+        rows.alias("row_count"),
+        unmapped.alias("null_canonical_rows"),
+        F.try_divide(unmapped, rows).alias("null_canonical_rate"),
+        F.count_if(review_flag(F.col("requires_manual_review"))).alias("manual_review_rows"),
+    )
+
+
+def ledger_coverage(ledger: DataFrame) -> DataFrame:
+    """Mapping coverage of the built ledger by source system and engagement type."""
+    return _coverage(ledger, "source_system", "engagement_type")
+
+
+def month_coverage(statuses: Mapping[str, DataFrame]) -> DataFrame:
+    """Mapping coverage of the membership rows of each period."""
+    parts = [
+        status.select(
+            F.lit(period).alias("period"),
+            "canonical_company_id",
+            F.col("has_manual_review_mapping").alias("requires_manual_review"),
+        )
+        for period, status in statuses.items()
+    ]
+    return _coverage(reduce(DataFrame.unionByName, parts), "period")
+
+
+def dimension_health(dim: DataFrame) -> DataFrame:
+    """One row on the dimension: its size, missing ids and names, reviews and sources."""
+    return dim.agg(
+        F.count(F.lit(1)).alias("company_count"),
+        F.count_if(F.col("canonical_company_id").isNull()).alias("null_id_count"),
+        F.count_if(F.coalesce(F.col("company_name"), F.lit("")) == "").alias("blank_name_count"),
+        F.count_if("has_manual_review_mapping").alias("manual_review_count"),
+        F.count_if(F.col("source_system_count") > 1).alias("multi_source_count"),
+    )
+
+
 # --- Smoke reports on the company mart ------------------------------------------------
 
 

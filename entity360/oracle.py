@@ -548,6 +548,16 @@ _ODD_AMOUNT = """CASE CAST(deal_id AS BIGINT) % 7
   WHEN 5 THEN CAST(1 AS DOUBLE) / 17179869184
   WHEN 6 THEN NULL ELSE deal_amount END"""
 
+_COVERAGE = """count(*) AS row_count, count(*) FILTER (WHERE canonical_company_id IS NULL) AS null_canonical_rows,
+  count(*) FILTER (WHERE canonical_company_id IS NULL) / count(*) AS null_canonical_rate,
+  count(*) FILTER (WHERE requires_manual_review) AS manual_review_rows"""
+_RECONCILED = f"""count(*) AS reconciled_key_rows,
+  count(*) FILTER (WHERE production_active_memberships IS NULL) AS missing_from_production,
+  count(*) FILTER (WHERE existing_active_memberships IS NULL) AS missing_from_existing,
+  {", ".join(f"CAST(sum(coalesce({s}_{m}, 0)) AS BIGINT) AS {s}_{m}" for m in _MEASURES[:2] for s in ("production", "existing"))},
+  {_money_total(_LEFT_MRR)} AS production_total_mrr, {_money_total(_RIGHT_MRR)} AS existing_total_mrr,
+  {_money_total(f"abs({_LEFT_MRR} - {_RIGHT_MRR})")} AS abs_total_mrr_diff"""
+
 _SELECTS: dict[str, str] = {
     "bridge_source": "SELECT * FROM src_mapping",
     "bridge_lookup": """SELECT s.project_id, CAST(s.client_id AS VARCHAR) AS source_company_id, b.canonical_company_id,
@@ -609,19 +619,21 @@ HAVING count(*) > 1 ORDER BY row_count DESC, source_system, source_company_id LI
   min(match_confidence) AS min_match_confidence
 FROM src_mapping GROUP BY ALL HAVING count(DISTINCT source_company_id) > 1
 ORDER BY source_company_id_count DESC, canonical_company_id NULLS FIRST, source_system LIMIT 100""",
-    "qa_ledger_null_rates": """SELECT source_system, count(*) AS row_count, count(*) FILTER (WHERE canonical_company_id IS NULL) AS null_canonical_rows,
-  count(*) FILTER (WHERE canonical_company_id IS NULL) / count(*) AS null_canonical_rate,
-  count(*) FILTER (WHERE requires_manual_review) AS manual_review_rows
+    "qa_ledger_null_rates": f"""SELECT source_system, {_COVERAGE}
 FROM ledger WHERE NOT (source_system = 'hubspot' AND engagement_type = 'project') GROUP BY ALL""",
+    "qa_dimension_health": """SELECT count(*) AS company_count, count(*) FILTER (WHERE canonical_company_id IS NULL) AS null_id_count,
+  count(*) FILTER (WHERE coalesce(company_name, '') = '') AS blank_name_count,
+  count(*) FILTER (WHERE has_manual_review_mapping) AS manual_review_count,
+  count(*) FILTER (WHERE source_system_count > 1) AS multi_source_count FROM dim""",
+    "qa_ledger_coverage": f"SELECT source_system, engagement_type, {_COVERAGE} FROM ledger GROUP BY ALL",
+    "qa_month_coverage": f"""SELECT period, {_COVERAGE} FROM (
+  SELECT 'past_current' AS period, canonical_company_id, has_manual_review_mapping AS requires_manual_review FROM status
+  UNION ALL SELECT 'future', canonical_company_id, has_manual_review_mapping FROM status_future) GROUP BY ALL""",
+    "reconcile_current_month": f"SELECT {_RECONCILED} FROM reconciled WHERE month_start = {MONTH}",
     "reconcile_membership": "SELECT * FROM reconciled",
     "reconcile_mismatches": f"""SELECT * FROM reconciled WHERE production_active_memberships IS NULL OR existing_active_memberships IS NULL
   OR {" OR ".join(_differs(m) for m in _MEASURES)}""",
-    "reconcile_summary": f"""SELECT count(*) AS reconciled_key_rows,
-  count(*) FILTER (WHERE production_active_memberships IS NULL) AS missing_from_production,
-  count(*) FILTER (WHERE existing_active_memberships IS NULL) AS missing_from_existing,
-  {", ".join(f"CAST(sum(coalesce({s}_{m}, 0)) AS BIGINT) AS {s}_{m}" for m in _MEASURES[:2] for s in ("production", "existing"))},
-  {_money_total(_LEFT_MRR)} AS production_total_mrr, {_money_total(_RIGHT_MRR)} AS existing_total_mrr,
-  {_money_total(f"abs({_LEFT_MRR} - {_RIGHT_MRR})")} AS abs_total_mrr_diff FROM reconciled""",
+    "reconcile_summary": f"SELECT {_RECONCILED} FROM reconciled",
     "smoke_duplicates": "SELECT canonical_company_id, count(*) AS row_count FROM mart GROUP BY ALL HAVING count(*) > 1",
     "smoke_null_counts": """SELECT count(*) FILTER (WHERE canonical_company_id IS NULL) AS null_canonical_company_id_count,
   count(*) FILTER (WHERE company_name IS NULL) AS null_company_name_count FROM mart""",

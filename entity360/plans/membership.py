@@ -19,7 +19,7 @@ from entity360.functions.exprs import (
     times_money,
 )
 from entity360.operators.bridge import bridge_lookup
-from entity360.operators.relational import first_of_month, in_period, smallest_distinct
+from entity360.operators.relational import first_of_month, in_period
 from entity360.sources.schemas import MEMBERSHIP_STATUS_SCHEMA
 
 # What a row is grouped by before its canonical company is looked up.
@@ -79,35 +79,49 @@ def membership_status(
     pair twice counts its money twice, as a row-level join would; ``_copies`` carries
     that.
 
-    Money and observed states share one branch, pre-aggregated by state; the two
-    distinct counts are the other. Both are partitioned by the grain, so one sort of
-    their union ranks the states and merges the branches. The row of counts has no
-    state and ranks last.
+    The months are read once. Each becomes one row per state, membership and member, of which
+    the state's carries the money, and these are added up per value: distinct counts,
+    totals and states all follow from that, and a group with very many rows is spread over
+    its values. The states are ranked before any is gathered.
     """
-    rows = contracted_months(months, as_of, period)
+    item = "named_struct('kind', '{0}', 'value', {1})"
+    items = [item.format("state", "membership_status")] + [
+        f"IF({name} IS NULL, NULL, {item.format(kind, name)})"
+        for kind, name in (("membership", "membership_id"), ("member", "member_id"))
+    ]
+    rows = contracted_months(months, as_of, period).withColumn(
+        "_item", F.expr(f"explode(array_compact(array({', '.join(items)})))")
+    )
+    kind = F.col("kind")
+
+    def on_state(*names: str) -> Column:
+        return exact_sum(F.when(F.col("_item.kind") == "state", _price(*names)))
 
-    by_state = rows.groupBy(*SOURCE_GRAIN, "membership_status").agg(
-        exact_sum(_price("discounted_price", "price")).alias("total_mrr"),
-        exact_sum(_price("calculated_list_price", "discounted_price", "price")).alias(
+    values = rows.groupBy(
+        *SOURCE_GRAIN, F.col("_item.kind").alias("kind"), F.col("_item.value").alias("value")
+    ).agg(
+        on_state("discounted_price", "price").alias("total_mrr"),
+        on_state("calculated_list_price", "discounted_price", "price").alias(
             "total_calculated_list_price"
         ),
-        exact_sum(_price("calculated_discount_amount")).alias("total_calculated_discount_amount"),
+        on_state("calculated_discount_amount").alias("total_calculated_discount_amount"),
     )
-    counts = rows.groupBy(*SOURCE_GRAIN).agg(
-        F.count_distinct("membership_id").alias("active_memberships"),
-        F.count_distinct("member_id").alias("active_members"),
+    by_state = values.groupBy(
+        *SOURCE_GRAIN, F.when(kind == "state", F.col("value")).alias("membership_status")
+    ).agg(
+        F.count_if(kind == "membership").alias("active_memberships"),
+        F.count_if(kind == "member").alias("active_members"),
+        *[merge_money(F.col(name)).alias(name) for name in TOTALS],
     )
     state_rank = F.row_number().over(
         Window.partitionBy(*SOURCE_GRAIN).orderBy(F.col("membership_status").asc_nulls_last())
     )
     observed = F.when(F.col("_rank") <= C.STATUS_LIMIT, F.col("membership_status"))
     grain = (
-        by_state.repartition(*SOURCE_GRAIN)
-        .unionByName(counts, allowMissingColumns=True)
-        .withColumn("_rank", state_rank)
+        by_state.withColumn("_rank", state_rank)
         .groupBy(*SOURCE_GRAIN)
         .agg(
-            *[F.max(name).alias(name) for name in ("active_memberships", "active_members")],
+            *[F.sum(name).alias(name) for name in ("active_memberships", "active_members")],
             *[merge_money(F.col(name)).alias(name) for name in TOTALS],
             F.sort_array(F.collect_list(observed)).alias("observed_membership_statuses"),
         )
@@ -147,6 +161,7 @@ CURRENT_KINDS = {
     "current_location_codes": "location_code",
     "current_membership_categories": "membership_category",
 }
+CURRENT_PLANS = {"current_plan_ids": "plan_id", "current_plan_names": "plan_name"}
 
 
 def _company_values(status: DataFrame, month: date) -> DataFrame:
@@ -162,7 +177,10 @@ def _company_values(status: DataFrame, month: date) -> DataFrame:
 
     current = f"month_start = DATE '{month.isoformat()}'"
     entries = [entry(k, c) for k, c in HISTORY_KINDS.items()]
-    entries += [f"CASE WHEN {current} THEN {entry(k, c)} END" for k, c in CURRENT_KINDS.items()]
+    entries += [
+        f"CASE WHEN {current} THEN {entry(k, c)} END"
+        for k, c in (CURRENT_KINDS | CURRENT_PLANS).items()
+    ]
     rows = status.withColumn("_entry", F.expr(f"explode(array({', '.join(entries)}))")).where(
         "_entry.value IS NOT NULL"
     )
@@ -192,8 +210,8 @@ def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
     Member counts add up per-group distinct counts, so a member in two plans counts
     twice: the sums are semi-additive. ``has_active_membership`` only says that a row of
     the current month exists. Without such a row the ``current_`` columns are NULL, apart
-    from the arrays, which are empty. Only the limited plan arrays take a second look
-    at the status, and only at its current month.
+    from the arrays, which are empty. Values are ranked per company and kind before they
+    are gathered, so of the plans only the limited number is.
     """
     month = first_of_month(as_of)
     mapped = in_period(
@@ -206,19 +224,25 @@ def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
     now = (kind == "month") & (value == month.isoformat())
     months = F.when(kind == "month", value).cast("date")
 
+    rank = F.row_number().over(Window.partitionBy("canonical_company_id", "kind").orderBy("value"))
+
     def values_of(name: str) -> Column:
-        return ordered_ids(value, kind == name)
+        listed = kind == name
+        if name in CURRENT_PLANS:
+            listed &= F.col("_rank") <= C.PLAN_LIMIT
+        return ordered_ids(value, listed)
 
     def total(name: str, when: Column | None = None) -> Column:
         return money_value(merge_money(F.col(name) if when is None else F.when(when, F.col(name))))
 
-    rollup = (
+    return (
         _company_values(mapped, month)
+        .withColumn("_rank", rank)
         .groupBy("canonical_company_id")
         .agg(
             # Current month.
             F.max(F.when(now, F.lit(True))).alias("has_active_membership"),
-            *[values_of(name).alias(name) for name in CURRENT_KINDS],
+            *[values_of(name).alias(name) for name in CURRENT_KINDS | CURRENT_PLANS],
             F.sum(F.when(now, F.col("memberships"))).alias("current_active_memberships"),
             F.sum(F.when(now, F.col("members"))).alias("current_active_members"),
             total("mrr", now).alias("current_total_mrr"),
@@ -244,13 +268,6 @@ def membership_rollup(status: DataFrame, as_of: date) -> DataFrame:
             F.min("confidence").alias("membership_min_match_confidence"),
         )
     )
-    plans = smallest_distinct(
-        in_period(mapped, "month_start", as_of, "current"),
-        ["canonical_company_id"],
-        {"current_plan_ids": F.col("plan_id"), "current_plan_names": F.col("plan_name")},
-        C.PLAN_LIMIT,
-    )
-    return rollup.join(plans, "canonical_company_id", "left")
 
 
 CURRENT_COLUMNS = (

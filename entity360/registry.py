@@ -26,7 +26,7 @@ from entity360.plans import company_dimension as dimension
 from entity360.plans import company_mart as mart
 from entity360.plans import engagement_ledger as ledger
 from entity360.plans import membership, product
-from entity360.session import tune
+from entity360.session import stored, tune
 from entity360.sources.sample import AS_OF, SampleSources
 
 KEY = "canonical_company_id"
@@ -60,7 +60,11 @@ def unnested(df: DataFrame, array: str) -> DataFrame:
 
 
 class Product:
-    """The models over one folder of test tables, built on demand."""
+    """The models over one folder of test tables, built on demand.
+
+    What several readers need is worked out once and stored, as when it is published: the ledger
+    and the status below the company mart, and all models below the reports on them.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.sources = SampleSources(tune(spark), folder)
@@ -83,7 +87,19 @@ class Product:
 
     @cached_property
     def mart(self) -> DataFrame:
-        return mart.company_mart(self.dim, self.status, self.ledger, AS_OF)
+        return mart.company_mart(self.dim, stored(self.status), stored(self.ledger), AS_OF)
+
+    @cached_property
+    def stored_models(self) -> dict[str, DataFrame]:
+        models = {
+            "bridge_company_source": stored(self.bridge),
+            "dim_company": stored(self.dim),
+            "fct_engagement_ledger": stored(self.ledger),
+            "mart_membership_status": stored(self.status),
+        }
+        parts = (models[n] for n in ("dim_company", "mart_membership_status", "fct_engagement_ledger"))
+        models["company_mart"] = stored(mart.company_mart(*parts, AS_OF))
+        return models
 
     @cached_property
     def reconciled(self) -> tuple[DataFrame, DataFrame]:
@@ -227,15 +243,21 @@ def _orphan_links(p: Product) -> DataFrame:
 
 
 def _expectation_report(p: Product) -> DataFrame:
-    return quality.expectation_report(
-        {
-            "bridge_company_source": p.bridge,
-            "dim_company": p.dim,
-            "fct_engagement_ledger": p.ledger,
-            "mart_membership_status": p.status,
-            "company_mart": p.mart,
-        }
-    )
+    return quality.expectation_report(p.stored_models)
+
+
+def _row_counts(p: Product) -> DataFrame:
+    return quality.row_counts({n: p.stored_models[n] for n in ("company_mart", "dim_company")})
+
+
+def _month_coverage(p: Product) -> DataFrame:
+    future = product.build_status(p.sources, p.bridge, AS_OF, "future")
+    return quality.month_coverage({"past_current": p.status, "future": future})
+
+
+def _current_reconciliation(p: Product) -> DataFrame:
+    sides = (membership.in_period(side, "month_start", AS_OF, "current") for side in p.reconciled)
+    return reconcile.reconcile_summary(*sides)
 
 
 _TOTALS = ("total_source_reported_engagement_amount",) + tuple(
@@ -335,6 +357,10 @@ QUERIES: dict[str, Callable[[Product], DataFrame]] = {
     "qa_duplicate_mappings": _duplicate_mappings,
     "qa_multi_id_groups": lambda p: flat(quality.multi_id_groups(p.bridge)),
     "qa_ledger_null_rates": _coverage,
+    "qa_dimension_health": lambda p: quality.dimension_health(p.dim),
+    "qa_ledger_coverage": lambda p: quality.ledger_coverage(p.ledger),
+    "qa_month_coverage": _month_coverage,
+    "reconcile_current_month": _current_reconciliation,
     "reconcile_membership": lambda p: reconcile.full_reconcile(
         *p.reconciled, reconcile.MEMBERSHIP_KEYS, list(reconcile.MEMBERSHIP_MEASURES)
     ),
@@ -342,7 +368,7 @@ QUERIES: dict[str, Callable[[Product], DataFrame]] = {
     "reconcile_summary": lambda p: reconcile.reconcile_summary(*p.reconciled),
     "smoke_duplicates": lambda p: quality.duplicate_companies(p.mart),
     "smoke_null_counts": lambda p: quality.null_counts(p.mart, [KEY, "company_name"]),
-    "smoke_row_counts": lambda p: quality.row_counts({"company_mart": p.mart, "dim_company": p.dim}),
+    "smoke_row_counts": _row_counts,
     "smoke_review_counts": lambda p: quality.review_counts(p.mart),
     "smoke_status_distribution": lambda p: quality.status_distribution(p.mart),
     "smoke_engagement_distribution": lambda p: quality.engagement_distribution(p.mart),

@@ -1,6 +1,9 @@
 """Runtime settings the models rely on."""
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -17,3 +20,19 @@ def tune(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a temporary one only where none is set, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        folder = f"file://{tempfile.mkdtemp(prefix='entity360-')}"
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written to the scratch folder and read back, so that several readers share them."""
+    path = f"{scratch_folder(df.sparkSession)}/models/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from entity360.operators.quality import expectation_report
 from entity360.plans.company_mart import engagement_lists
 from entity360.plans.engagement_ledger import membership_events
 from entity360.plans.membership import contracted_months, membership_rollup, membership_status
@@ -40,19 +41,37 @@ def test_ranking_is_limited_before_the_shuffle(product, no_broadcast):
     assert "Exchange hashpartitioning" in text[first:last]
 
 
-def test_status_merges_its_branches_without_a_shuffle(product, no_broadcast):
+def test_status_reads_the_months_once(product, no_broadcast):
     text = plan(product.status)
-    merged = text[: text.index("Union")].splitlines()
-    # Above the union: one exchange, for the bridge join on the company.
-    exchanges = [line for line in merged if "Exchange" in line]
-    assert len(exchanges) == 1 and "officernd_company_id" in exchanges[0]
+    assert text.count("FileScan parquet [l_orderkey") == 1
+    # Per value, per state, per row of the grain, and for the bridge join on the company; the
+    # companies' own links have two more.
+    assert text.count("Exchange hashpartitioning") <= 6
+
+
+def test_rollup_reads_the_status_once(spark, product, tmp_path):
+    path = str(tmp_path / "status")
+    product.status.write.parquet(path)
+    assert plan(membership_rollup(spark.read.parquet(path), AS_OF)).count("FileScan") == 1
+
+
+def test_company_mart_works_out_its_inputs_once(product):
+    text = plan(product.mart)
+    assert text.count("FileScan") <= 18
+    assert text.count("FileScan parquet [l_") <= 4
+
+
+def test_reports_read_stored_models(product):
+    report = expectation_report(product.stored_models)
+    text = plan(report)
+    assert text.count("FileScan parquet [l_") == 0 and text.count("FileScan parquet [o_") == 0
 
 
 def test_company_mart_joins_share_one_partitioning(product, no_broadcast):
     text = plan(product.mart)
     joins = [line for line in text.splitlines() if "SortMergeJoin [canonical_company_id" in line]
-    # Dimension with three representatives, membership with plans, engagements with lists.
-    assert len(joins) == 7
+    # Dimension with three representatives, membership, engagements with lists.
+    assert len(joins) == 6
     # No such join's output is shuffled again on its way to the next one.
     nodes = [line for line in text.splitlines() if "Project" not in line and "Sort [" not in line]
     for above, below in zip(nodes, nodes[1:], strict=False):
