@@ -24,13 +24,13 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entity360.llm.common import column, id_and_text
@@ -267,6 +267,16 @@ def leaks(
     return reduce(DataFrame.unionByName, parts) if parts else docs.sparkSession.createDataFrame([], schema)
 
 
+def _clean(index: Index) -> Callable[[Column], Column]:
+    """A function that tells whether a text holds none of the index's items."""
+
+    @F.pandas_udf("boolean")
+    def clean(texts: pd.Series) -> pd.Series:
+        return pd.Series([not m for m in _matches(index, texts.fillna("").tolist())], dtype=bool)
+
+    return clean
+
+
 def drop_leaks(
     df: DataFrame,
     items: DataFrame,
@@ -276,9 +286,5 @@ def drop_leaks(
 ) -> DataFrame:
     """The documents that hold no item, with the columns of `df`."""
     for index in indexes(items, item_id, item_text):
-        @F.pandas_udf("boolean")
-        def clean(texts: pd.Series, index: Index = index) -> pd.Series:
-            return pd.Series([not m for m in _matches(index, texts.fillna("").tolist())], dtype=bool)
-
-        df = df.where(clean(column(df, text_col)))
+        df = df.where(_clean(index)(column(df, text_col)))
     return df
