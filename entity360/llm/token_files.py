@@ -111,7 +111,7 @@ def write_files(
                 ids = [_from_planes(raw, kind) for raw in part["tokens"]]
                 sizes = np.array([len(x) for x in ids])
                 payloads, marks = code.encode(np.concatenate(ids), sizes)
-                yield part[["id", "tie"]].assign(
+                yield part[["part", "id"]].assign(
                     n=sizes,
                     payload=pd.Series(payloads, dtype=object).to_numpy(),
                     checkpoints=pd.Series([m.tobytes() for m in marks], dtype=object).to_numpy(),
@@ -134,7 +134,7 @@ def write_files(
                 }
             )
 
-        for batch in batches:
+        for batch in coded(batches):
             for row in batch.itertuples(index=False):
                 held.append(row)
                 total += row.n
@@ -144,11 +144,11 @@ def write_files(
         if held:
             yield made()
 
+    # Sorted first and coded then: drawing the range bounds reads the stored ids, and codes nothing.
     sorted_rows = (
-        tokens.mapInPandas(coded, "id bigint, tie bigint, n bigint, payload binary, checkpoints binary")
-        .repartitionByRange("id", "tie")
+        tokens.repartitionByRange("id", "tie")
         .sortWithinPartitions("id", "tie")
-        .withColumn("part", F.spark_partition_id())
+        .select(F.spark_partition_id().alias("part"), "id", "tokens")
     )
     sorted_rows.mapInPandas(blocked, BLOCK_ROW).write.option("compression", "none").parquet(
         f"{path}/blocks"
