@@ -40,6 +40,10 @@ def with_comments(df: DataFrame, column_comments: Mapping[str, str]) -> DataFram
     return df
 
 
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -60,7 +64,15 @@ def publish(
     spark = df.sparkSession
     df = with_comments(df, column_comments or {})
     if materialization == VIEW:
-        df.createOrReplaceTempView(name)
+        if not comment:
+            df.createOrReplaceTempView(name)
+            return spark.table(name)
+        rows = f"{name}_rows"  # only a view that is stated in SQL can carry a comment
+        df.createOrReplaceTempView(rows)
+        spark.sql(
+            f"CREATE OR REPLACE TEMPORARY VIEW `{name}` COMMENT '{_quoted(comment)}' "
+            f"AS SELECT * FROM `{rows}`"
+        )
         return spark.table(name)
     if materialization != TABLE:
         raise ValueError(f"materialization must be 'view' or 'table', not {materialization!r}")
@@ -74,6 +86,5 @@ def publish(
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(full)
     if comment:
-        text = comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {full} IS '{text}'")
+        spark.sql(f"COMMENT ON TABLE {full} IS '{_quoted(comment)}'")
     return spark.table(full)

@@ -88,7 +88,7 @@ _BLOCKS: dict[str, str] = {
         ]
     ),
     "src_crm": """
-  SELECT c_custkey AS company_id, CASE WHEN c_custkey % 19 = 0 THEN '' ELSE c_name END AS company_name,
+  SELECT c_custkey AS company_id, CASE WHEN c_custkey % 19 = 0 OR CAST(floor(c_custkey / 3) AS BIGINT) % 17 = 5 THEN '' ELSE c_name END AS company_name,
          CASE WHEN c_custkey % 10 = 0 THEN '' ELSE 'c' || CAST(c_custkey AS VARCHAR) || '.example' END AS company_domain,
          c_mktsegment AS industry,
          CASE WHEN c_custkey % 4 = 1 THEN '' ELSE 'City ' || CAST(c_custkey % 40 AS VARCHAR) END AS property_city,
@@ -124,7 +124,7 @@ _BLOCKS: dict[str, str] = {
   FROM (SELECT DISTINCT user_id FROM events)""",
     "src_deal": """
   SELECT CAST(o_orderkey AS VARCHAR) AS deal_id, 'Deal ' || CAST(o_orderkey AS VARCHAR) AS deal_name, o_orderpriority AS deal_type,
-         CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CASE o_orderstatus WHEN 'F' THEN 'won' WHEN 'O' THEN 'open' ELSE 'other' END END AS deal_status,
+         CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE CASE o_orderstatus WHEN 'F' THEN 'won' WHEN 'O' THEN 'open' ELSE CASE WHEN o_orderkey % 2 = 0 THEN 'lost' ELSE 'other' END END END AS deal_status,
          CAST(CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate WHEN o_orderkey % 10 <> 0 THEN o_orderdate + INTERVAL 10 DAY
               ELSE o_orderdate - INTERVAL 5 DAY END AS DATE) AS started,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderdate AS DATE) + 100 END AS ended,
@@ -161,12 +161,12 @@ _BLOCKS: dict[str, str] = {
   FROM events""",
     "src_month": f"""
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month_start, CAST(l_suppkey AS VARCHAR) AS officernd_company_id,
-         l_returnflag AS location_id, 'Location ' || l_returnflag AS location_name, lower(l_returnflag) AS location_code,
+         CASE WHEN l_partkey % 50 <> 0 THEN l_returnflag END AS location_id, 'Location ' || l_returnflag AS location_name, lower(l_returnflag) AS location_code,
          CASE WHEN l_linestatus = 'O' THEN 'Uncategorized' ELSE l_linestatus END AS membership_category,
          CAST(l_partkey % 10 AS VARCHAR) AS plan_id, 'Plan ' || CAST(l_partkey % 10 AS VARCHAR) AS plan_name,
          {_LINE_STATE} AS membership_status, CAST(l_orderkey AS VARCHAR) AS member_id, {_LINE_ID} AS membership_id,
          {_LIST} AS calculated_list_price, {_NET} AS discounted_price, {_PLAIN} AS price, {_GRANTED} AS calculated_discount_amount,
-         l_discount > CAST(0.01 AS DOUBLE) AS contracted
+         l_discount > CAST(0.01 AS DOUBLE) AND NOT (l_suppkey % 10 = 4 AND l_shipdate >= TIMESTAMP '1999-01-01') AS contracted
   FROM lineitem""",
 }
 
@@ -481,9 +481,123 @@ _REPORT_TABLES = {
 }
 
 
-def _report() -> str:
-    from entity360.operators.quality import ACCEPTED, NOT_NULL, RELATED, UNIQUE, UNIQUE_COMBINATION
+# The expectations, stated apart from those of the Spark code.
+_NOT_NULL = {
+    "bridge_company_source": (
+        "source_system",
+        "source_company_id",
+        "requires_manual_review",
+    ),
+    "dim_company": (
+        "canonical_company_id",
+        "source_system_count",
+        "has_manual_review_mapping",
+    ),
+    "fct_engagement_ledger": (
+        "engagement_event_id",
+        "canonical_company_id_is_null",
+        "source_company_id",
+        "source_system",
+        "engagement_category",
+        "engagement_type",
+        "source_engagement_id",
+        "requires_manual_review",
+    ),
+    "mart_membership_status": (
+        "month_start",
+        "canonical_company_id_is_null",
+        "officernd_company_id",
+        "location_id",
+        "membership_category",
+        "plan_id",
+        "active_memberships",
+        "active_members",
+        "total_mrr",
+        "total_calculated_list_price",
+        "total_calculated_discount_amount",
+        "has_manual_review_mapping",
+    ),
+    "company_mart": (
+        "canonical_company_id",
+        "source_system_count",
+        "is_multi_source_company",
+        "has_identity_manual_review_mapping",
+        "has_any_manual_review_mapping",
+        "membership_status",
+        "has_active_membership",
+        "current_active_memberships",
+        "current_active_members",
+        "current_total_mrr",
+        "has_engagement",
+        "has_deal_engagement",
+        "has_membership_engagement",
+        "has_project_engagement",
+        "total_engagement_count",
+    ),
+}
+_ACCEPTED = {
+    "bridge_company_source": {
+        "source_system": ("hubspot", "officernd", "bigtime"),
+    },
+    "dim_company": {
+        "company_name_source": ("hubspot", "officernd", "bigtime"),
+    },
+    "fct_engagement_ledger": {
+        "source_system": ("hubspot", "officernd", "bigtime"),
+        "engagement_category": ("Business",),
+        "engagement_type": ("deal", "membership", "project"),
+    },
+    "mart_membership_status": {},
+    "company_mart": {
+        "company_name_source": ("hubspot", "officernd", "bigtime"),
+        "membership_status": ("active_member", "former_member", "no_membership_record"),
+        "is_multi_source_company": (True, False),
+        "has_identity_manual_review_mapping": (True, False),
+        "has_any_manual_review_mapping": (True, False),
+        "has_active_membership": (True, False),
+        "has_engagement": (True, False),
+        "has_deal_engagement": (True, False),
+        "has_membership_engagement": (True, False),
+        "has_project_engagement": (True, False),
+    },
+}
+_UNIQUE = {
+    "dim_company": (
+        "canonical_company_id",
+    ),
+    "fct_engagement_ledger": (
+        "engagement_event_id",
+    ),
+    "company_mart": (
+        "canonical_company_id",
+    ),
+}
+_UNIQUE_COMBINATION = {
+    "bridge_company_source": (
+        "canonical_company_id",
+        "source_system",
+        "source_company_id",
+    ),
+    "dim_company": (
+        "canonical_company_id",
+    ),
+    "mart_membership_status": (
+        "month_start",
+        "officernd_company_id",
+        "location_id",
+        "membership_category",
+        "plan_id",
+    ),
+}
+_RELATED = (
+    "bridge_company_source",
+    "fct_engagement_ledger",
+    "mart_membership_status",
+    "company_mart",
+)
 
+
+def _report() -> str:
     rows = []
 
     def add(model: str, kind: str, column: str, count: str) -> None:
@@ -492,9 +606,9 @@ def _report() -> str:
         )
 
     for model, table in _REPORT_TABLES.items():
-        for column in NOT_NULL[model]:
+        for column in _NOT_NULL[model]:
             add(model, "not_null", column, f"SELECT count(*) FROM {table} WHERE {column} IS NULL")
-        for column, values in ACCEPTED[model].items():
+        for column, values in _ACCEPTED[model].items():
             listed = ", ".join(str(v).upper() if isinstance(v, bool) else f"'{v}'" for v in values)
             add(
                 model,
@@ -502,7 +616,7 @@ def _report() -> str:
                 column,
                 f"SELECT count(*) FROM {table} WHERE {column} NOT IN ({listed})",
             )
-        for kind, checks in (("unique", UNIQUE), ("unique_combination", UNIQUE_COMBINATION)):
+        for kind, checks in (("unique", _UNIQUE), ("unique_combination", _UNIQUE_COMBINATION)):
             if model not in checks:
                 continue
             columns = ", ".join(checks[model])
@@ -513,7 +627,7 @@ def _report() -> str:
                 columns,
                 f"SELECT count(*) FROM (SELECT {columns} FROM {table}{skip} GROUP BY ALL HAVING count(*) > 1)",
             )
-        if model in RELATED:
+        if model in _RELATED:
             add(
                 model,
                 "relationship",
@@ -634,7 +748,9 @@ FROM ledger WHERE NOT (source_system = 'hubspot' AND engagement_type = 'project'
     "reconcile_mismatches": f"""SELECT * FROM reconciled WHERE production_active_memberships IS NULL OR existing_active_memberships IS NULL
   OR {" OR ".join(_differs(m) for m in _MEASURES)}""",
     "reconcile_summary": f"SELECT {_RECONCILED} FROM reconciled",
-    "smoke_duplicates": "SELECT canonical_company_id, count(*) AS row_count FROM mart GROUP BY ALL HAVING count(*) > 1",
+    "smoke_duplicates": """SELECT canonical_company_id, count(*) AS row_count FROM (
+  SELECT canonical_company_id FROM mart UNION ALL SELECT canonical_company_id FROM mart WHERE source_system_count = 3)
+GROUP BY ALL HAVING count(*) > 1 ORDER BY canonical_company_id LIMIT 100""",
     "smoke_null_counts": """SELECT count(*) FILTER (WHERE canonical_company_id IS NULL) AS null_canonical_company_id_count,
   count(*) FILTER (WHERE company_name IS NULL) AS null_company_name_count FROM mart""",
     "smoke_row_counts": """SELECT 'company_mart' AS model_name, count(*) AS row_count FROM mart

@@ -31,6 +31,24 @@ _TEXTS = {
     "_resolved_at": "When the mapping was decided.",
     "company_name": "Display name: first of CRM, workspace and services that has one.",
     "company_name_source": "System the display name comes from.",
+    "company_domain": "Web domain in the CRM.",
+    "hubspot_industry": "Industry in the CRM.",
+    "hubspot_city": "City in the CRM.",
+    "hubspot_country": "Country in the CRM.",
+    "employee_count": "Employees, as the CRM has it.",
+    "annual_revenue": "Yearly revenue, as the CRM has it.",
+    "officernd_company_email": "E-mail in the workspace system.",
+    "officernd_company_url": "Web address in the workspace system.",
+    "officernd_company_status": "Status in the workspace system.",
+    "officernd_company_type": "Type in the workspace system.",
+    "officernd_company_tier": "Tier in the workspace system.",
+    "officernd_location_id": "Home location in the workspace system.",
+    "bigtime_client_legal_name": "Legal name in the services system.",
+    "bigtime_client_code": "Client code in the services system.",
+    "bigtime_client_type": "Client type in the services system.",
+    "bigtime_city": "City in the services system.",
+    "bigtime_state": "State in the services system.",
+    "bigtime_country": "Country in the services system.",
     "primary_owner_id": "CRM owner of the company.",
     "primary_owner_name": "Name of the CRM owner.",
     "primary_owner_email": "E-mail of the CRM owner.",

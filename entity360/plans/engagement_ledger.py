@@ -56,7 +56,9 @@ def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
 
 def project_partners(assoc: DataFrame, company: DataFrame) -> DataFrame:
     """Distinct partner ids and names per project, before any join with projects."""
-    partners = assoc.where(F.col("type_id") == C.PROJECT_PARTNER_TYPE).select("from_id", "to_id")
+    partners = (
+        assoc.where(F.col("type_id") == C.PROJECT_PARTNER_TYPE).select("from_id", "to_id").distinct()
+    )
     names = company.select(F.col("id"), F.col("property_name"))
     return (
         partners.join(names, F.col("id") == F.col("to_id"), "left")

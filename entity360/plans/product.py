@@ -61,8 +61,17 @@ def build_status(
     return membership_status(sources["int_membership_months"], bridge, as_of, period)
 
 
+def require_utc(sources: Tables) -> None:
+    """Days are taken from timestamps in the session's zone, so that has to be UTC."""
+    spark = sources["int_membership_months"].sparkSession
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
+        raise ValueError(f"the session's time zone must be UTC, not {zone}: call tune(spark)")
+
+
 def build_models(sources: Tables, as_of: date) -> dict[str, DataFrame]:
     """The models as unexecuted plans; reading the last one works out all of them."""
+    require_utc(sources)
     bridge = build_bridge(sources)
     dim = build_dim(sources, bridge)
     ledger = build_ledger(sources, bridge, as_of)
@@ -88,6 +97,7 @@ def publish_models(
     ``settings`` maps layers to 'view' or 'table'. At scale make the data layer tables:
     the ledger and the status are read twice by the company mart.
     """
+    require_utc(sources)
     published: dict[str, DataFrame] = {}
 
     def put(name: str, df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:

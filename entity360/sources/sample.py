@@ -139,7 +139,7 @@ def _crm_companies(s: SampleSources) -> DataFrame:
         .join(dates, F.expr("o_custkey = c_custkey"), "left")
         .selectExpr(
             "c_custkey AS company_id",
-            "CASE WHEN c_custkey % 19 = 0 THEN '' ELSE c_name END AS company_name",
+            "CASE WHEN c_custkey % 19 = 0 OR c_custkey div 3 % 17 = 5 THEN '' ELSE c_name END AS company_name",
             "CASE WHEN c_custkey % 10 = 0 THEN '' "
             "ELSE concat('c', CAST(c_custkey AS STRING), '.example') END AS company_domain",
             "c_mktsegment AS industry",
@@ -219,7 +219,7 @@ def _deals(s: SampleSources) -> DataFrame:
         "concat('Deal ', CAST(o_orderkey AS STRING)) AS deal_name",
         "o_orderpriority AS deal_type",
         "CASE WHEN o_orderkey % 37 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN 'won' "
-        "WHEN o_orderstatus = 'O' THEN 'open' ELSE 'other' END AS deal_status",
+        "WHEN o_orderstatus = 'O' THEN 'open' WHEN o_orderkey % 2 = 0 THEN 'lost' ELSE 'other' END AS deal_status",
         "CASE WHEN o_orderkey % 5 != 0 THEN o_orderdate END AS work_start_date",
         "CASE WHEN o_orderkey % 10 != 0 THEN o_orderdate + INTERVAL 10 DAYS END AS close_date",
         "o_orderdate - INTERVAL 5 DAYS AS created_at",
@@ -299,6 +299,8 @@ _MEMBERSHIP_ID = (
 _LIST_PRICE = "CASE WHEN l_partkey % 4 != 0 THEN l_extendedprice END"
 _NET_PRICE = "CASE WHEN l_partkey % 8 != 0 THEN l_extendedprice * (1D - l_discount) END"
 _PLAIN_PRICE = "CASE WHEN l_partkey % 16 != 0 THEN l_extendedprice END"
+# Every tenth company left at the end of a year.
+_CONTRACTED = "l_discount > 0.01D AND NOT (l_suppkey % 10 = 4 AND l_shipdate >= '1999-01-01')"
 _GRANTED = "CASE WHEN l_partkey % 6 != 0 THEN l_extendedprice * l_discount END"
 
 _MEMBERSHIP = (
@@ -328,14 +330,14 @@ def _membership_months(s: SampleSources) -> DataFrame:
     return s.table("lineitem").selectExpr(
         *_MEMBERSHIP,
         "trunc(CAST(l_shipdate AS DATE), 'month') AS month_start",
-        "l_returnflag AS location_id",
+        "CASE WHEN l_partkey % 50 != 0 THEN l_returnflag END AS location_id",
         "concat('Location ', l_returnflag) AS location_name",
         "lower(l_returnflag) AS location_code",
         "nullif(l_linestatus, 'O') AS membership_category",
         "CAST(l_partkey % 10 AS STRING) AS plan_id",
         "concat('Plan ', CAST(l_partkey % 10 AS STRING)) AS plan_name",
         f"{_GRANTED} AS calculated_discount_amount",
-        "l_discount > 0.01D AS is_contracted_in_month",
+        f"{_CONTRACTED} AS is_contracted_in_month",
     )
 
 
@@ -345,10 +347,10 @@ def _existing_mart(s: SampleSources) -> DataFrame:
     Company 7 lacks its months of March; company 11 has two members too many; company 13
     has its revenue off by one; company 17 goes by another id.
     """
-    lines = s.table("lineitem").where("l_discount > 0.01D").selectExpr(
+    lines = s.table("lineitem").where(_CONTRACTED).selectExpr(
         "trunc(CAST(l_shipdate AS DATE), 'month') AS month_start",
         "CAST(l_suppkey AS STRING) AS company_id",
-        "l_returnflag AS location_id",
+        "CASE WHEN l_partkey % 50 != 0 THEN l_returnflag END AS location_id",
         "CASE WHEN l_linestatus = 'O' THEN 'Uncategorized' ELSE l_linestatus END AS membership_category",
         "CAST(l_partkey % 10 AS STRING) AS plan_id",
         f"{_MEMBERSHIP_ID} AS membership",

@@ -51,3 +51,11 @@ def test_query_matches_oracle(spark, duck, name):
 def test_entry_runs(spark):
     df = driver.entry(spark)
     assert len(df.columns) == 81 and df.count() > 0
+
+
+def test_oracle_states_the_same_expectations_on_its_own():
+    from entity360 import oracle
+    from entity360.operators import quality
+
+    for name in ("NOT_NULL", "ACCEPTED", "UNIQUE", "UNIQUE_COMBINATION", "RELATED"):
+        assert getattr(oracle, f"_{name}") == getattr(quality, name)
