@@ -1,16 +1,18 @@
 """Main text of web pages: what a host repeats on its pages is boilerplate, the rest is kept.
 
-The words outside the article element of each page (all words, if it has none) form a token stream.
-The streams of a host are put together and their suffixes sorted; suffixes that
-share their first RUN tokens stand side by side in the suffix array, so runs of at least RUN
-tokens that occur on two distinct pages are found, and every token within such a run is covered.
+The words of all blocks of each page form a token stream. The streams of a host are put together and
+their suffixes sorted; suffixes that share their first RUN tokens stand side by side in the suffix
+array, so it shows on how many distinct pages each run of RUN tokens occurs. A run is boilerplate if
+these are at least LEAST_PAGES, and LEAST_SHARE of all distinct pages of the host. Pages with the same
+content (below) are one page here, at whatever addresses and in whatever frames they stand.
 A large host is dealt into batches, each with a suffix array of its own, and the runs of its
 batches are added up, so that a run on pages of two batches counts too.
 
-The text of a page is its article element; without one, it is what stays of its other blocks
-when covered tokens and menus, footers, sidebars, adverts, forms and comments are removed. What
-an article element holds is kept though a host may repeat it: the same article at two addresses is still
-an article. So a page with an article element needs nothing from the others and doesn't move.
+The content of a page is its article element; without one, its blocks outside menus,
+footers, sidebars, adverts, forms and comments. The text is the content without words that boilerplate
+runs cover; an article stays whole. A page of which nothing would be left keeps its content whole, as it
+is a copy. What is no copy word for word but nearly so counts as a page of its own, so what nearly equal pages
+have in common goes where they are LEAST_SHARE of a host.
 
 Null and empty pages and pages without text give the empty text. Rows that repeat address and html
 are one page for the counts and one row each in the result. A null address is a host of its own.
@@ -19,6 +21,7 @@ Pages of any length are read whole. Other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,24 +31,29 @@ from pyspark.sql import functions as F
 
 from entity360.llm import bloom
 from entity360.llm.common import column, written
-from entity360.llm.html_blocks import ARTICLE, FRAME, Block, blocks
+from entity360.llm.html_blocks import ARTICLE, OTHER, Block, blocks
 from entity360.llm.shingles import rolled, word_hashes
 
 RUN = 8  # tokens of the shortest run that counts as repeated
-LEAST_PAGES = 2
+LEAST_PAGES = 3  # two pages may share a quote or be a page and its revision
+LEAST_SHARE = 0.5  # of a host's distinct pages; so its boilerplate is at most twice a mean page long
 BATCH_TOKENS = 50_000  # of a host's streams in one suffix array
 
 
-def article_text(found: list[Block]) -> str | None:
-    """The text of the article element, None if there is none."""
-    inside = [b.text for b in found if b.place == ARTICLE]
-    return "\n\n".join(inside) if inside else None
+def content_place(found: list[Block]) -> str:
+    """The place whose blocks are the content of a page."""
+    return ARTICLE if any(b.place == ARTICLE for b in found) else OTHER
 
 
-def loose_tokens(found: list[Block]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words outside the article, and the number of each word's block."""
-    loose = [b.text.encode("utf-8", "surrogatepass") for b in found if b.place != ARTICLE]
-    return word_hashes(loose)
+def content_text(found: list[Block]) -> str:
+    """The content of a page, whole."""
+    place = content_place(found)
+    return "\n\n".join(b.text for b in found if b.place == place)
+
+
+def all_tokens(found: list[Block]) -> np.ndarray:
+    """Hashes of the words of all blocks."""
+    return word_hashes([b.text.encode("utf-8", "surrogatepass") for b in found])[0]
 
 
 def suffix_ranks(tokens: np.ndarray, length: int) -> np.ndarray:
@@ -105,20 +113,20 @@ def _long_stretches(mask: np.ndarray) -> np.ndarray:
 
 
 def unique_text(found: list[Block], mask: np.ndarray) -> str:
-    """The blocks outside frames without their covered words; mask: of loose_tokens."""
-    kept, at = [], 0
+    """The content without its covered words, or whole if nothing is left; mask: of all_tokens."""
+    kept, at, place = [], 0, content_place(found)
+    if place == ARTICLE:
+        return content_text(found)
     for block in found:
-        if block.place == ARTICLE:
-            continue
         words = block.text.split(" ")
         own = mask[at : at + len(words)]
         at += len(words)
-        if block.place != FRAME:
+        if block.place == place:
             gone = own if own.all() else _long_stretches(own)
             text = " ".join(w for w, c in zip(words, gone, strict=True) if not c)
             if text:
                 kept.append(text)
-    return "\n\n".join(kept)
+    return "\n\n".join(kept) or content_text(found)
 
 
 def host(url: str) -> Column:
@@ -134,97 +142,69 @@ def extract(
         column(df, url_col).alias("url"),
         F.coalesce(column(df, html_col), F.lit("")).alias("html"),
     )
-    keyed = pages.withColumns(
-        {
-            "host": host("url"),
-            "key": F.unhex(F.md5(F.concat_ws("\n", F.coalesce("url", F.lit("")), "html").cast("binary"))),
-        }
-    )
+    placed = pages.withColumn("host", host("url"))
 
     def streamed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             parsed = [blocks(x) for x in batch["html"]]
+            texts = [content_text(p).encode("utf-8", "surrogatepass") for p in parsed]
             yield pd.DataFrame(
                 {
                     "host": batch["host"],
-                    "key": batch["key"],
-                    "bare": [article_text(p) is None for p in parsed],
-                    "tokens": pd.Series(
-                        [loose_tokens(p)[0].view(np.int64) for p in parsed], dtype=object
-                    ).to_numpy(),
+                    "key": [hashlib.sha256(b" ".join(t.split())).digest()[:16] for t in texts],
+                    "tokens": pd.Series([all_tokens(p).view(np.int64) for p in parsed], dtype=object),
                 }
             )
 
     streams = written(
-        keyed.select("host", "key", "html").mapInPandas(
-            streamed, "host string, key binary, bare boolean, tokens array<bigint>"
-        ),
+        placed.select("host", "html").mapInPandas(streamed, "host string, key binary, tokens array<bigint>"),
         "streams",
+    ).where(F.size("tokens") > 0)
+    # Of pages of the same content, the least stream is counted.
+    once = written(streams.groupBy("host", "key").agg(F.min("tokens").alias("tokens")), "distinct-pages")
+    sizes = once.groupBy("host").agg(
+        F.greatest(F.lit(1), F.ceil(F.sum(F.size("tokens")) / BATCH_TOKENS)).cast("int").alias("batches"),
+        F.greatest(F.lit(LEAST_PAGES), F.ceil(F.count(F.lit(1)) * LEAST_SHARE)).alias("least"),
+        F.count(F.lit(1)).alias("all"),
     )
-    sizes = streams.groupBy("host").agg(
-        F.greatest(F.lit(1), F.ceil(F.sum(F.size("tokens")) / BATCH_TOKENS)).cast("int").alias("batches")
-    )
-    once = streams.groupBy("host", "key").agg(F.first("bare").alias("bare"), F.first("tokens").alias("tokens"))
-    dealt = written(
-        once.join(sizes, "host").withColumn(
-            "batch", F.pmod(F.xxhash64("key"), F.col("batches")).cast("int")
-        ),
-        "batches",
+    sizes = written(sizes.where(F.col("all") >= LEAST_PAGES), "hosts")
+    dealt = once.join(sizes, "host").withColumn(
+        "batch", F.pmod(F.xxhash64("key"), F.col("batches")).cast("int")
     )
 
     def counted(group: pd.DataFrame) -> pd.DataFrame:
         runs, pages_of = repeated_runs([np.asarray(t).view(np.uint64) for t in group["tokens"]])
-        return pd.DataFrame(
-            {
-                "host": group["host"].iloc[0],
-                "batch": group["batch"].iloc[0],
-                "run": runs.view(np.int64),
-                "pages": pages_of,
-            }
-        )
-
-    found = written(
-        dealt.groupBy("host", "batch").applyInPandas(
-            counted, "host string, batch int, run bigint, pages bigint"
-        ),
-        "runs",
-    )
-    often = found.groupBy("host", "run").agg(F.sum("pages").alias("pages")).where(
-        F.col("pages") >= LEAST_PAGES
-    )
-    wanted = found.select("host", "batch", "run").join(often.select("host", "run"), ["host", "run"])
-
-    def masked(group: pd.DataFrame, runs: pd.DataFrame) -> pd.DataFrame:
-        known = np.sort(runs["run"].to_numpy().astype(np.int64).view(np.uint64))
-        masks = [covered(np.asarray(t).view(np.uint64), known) for t in group["tokens"]]
-        return pd.DataFrame({"key": group["key"], "mask": pd.Series([m.tolist() for m in masks], dtype=object)})
-
-    masks = (
-        dealt.where("bare")
-        .groupBy("host", "batch")
-        .cogroup(wanted.groupBy("host", "batch"))
-        .applyInPandas(masked, "key binary, mask array<boolean>")
+        host_name = group["host"].iloc[0]
+        return pd.DataFrame({"host": host_name, "run": runs.view(np.int64), "pages": pages_of})
+
+    often = (
+        dealt.groupBy("host", "batch")
+        .applyInPandas(counted, "host string, run bigint, pages bigint")
+        .groupBy("host", "run")
+        .agg(F.sum("pages").alias("pages"))
+        .join(sizes.select("host", "least"), "host")
+        .where(F.col("pages") >= F.col("least"))
     )
+    # LEAST_SHARE bounds the list of a host.
+    lists = written(often.groupBy("host").agg(F.sort_array(F.collect_list("run")).alias("runs")), "boilerplate")
 
-    def articles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts = [article_text(blocks(x)) for x in batch["html"]]
-            yield batch[["id", "url"]].assign(text=texts)
+            yield batch[["id", "url"]].assign(text=[content_text(blocks(x)) for x in batch["html"]])
 
-    def rest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def freed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = []
-            for page, mask in zip(batch["html"], batch["mask"], strict=True):
+            for page, runs in zip(batch["html"], batch["runs"], strict=True):
                 found = blocks(page)
-                text = article_text(found)
-                texts.append(unique_text(found, np.asarray(mask, bool)) if text is None else text)
+                known = np.sort(np.asarray(() if runs is None else runs, np.int64).view(np.uint64))
+                texts.append(unique_text(found, covered(all_tokens(found), known)))
             yield batch[["id", "url"]].assign(text=texts)
 
-    # Only pages that may lack an article are shuffled, to meet their masks.
-    rows = keyed.select("id", "url", "key", "html")
-    straight, maybe = bloom.split_by(rows, "key", dealt.where("bare").select("key"))
+    # Only pages of hosts that have boilerplate are shuffled, to meet it.
+    straight, maybe = bloom.split_by(placed, "host", lists.select("host"))
     schema = "id bigint, url string, text string"
-    met = maybe.join(masks, "key", "left").select("id", "url", "html", "mask")
-    return straight.select("id", "url", "html").mapInPandas(articles, schema).unionByName(
-        met.mapInPandas(rest, schema)
+    met = maybe.join(lists, "host", "left").select("id", "url", "html", "runs")
+    return straight.select("id", "url", "html").mapInPandas(whole, schema).unionByName(
+        met.mapInPandas(freed, schema)
     )

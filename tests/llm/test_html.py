@@ -76,3 +76,22 @@ def test_query_returns_every_page_with_its_article(spark):
         row = rows[p.page_id]
         assert row.url == p.url and row.n_chars == len(row.text)
         assert " ".join(row.text.split("\n\n")[1:]) in texts
+
+
+def _texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    return {r.id: r.text for r in extract(pages).collect()}
+
+
+def test_copies_and_shared_passages_without_an_article_are_kept(spark):
+    page = "<div>The whole text of a page that stands at more than one address here</div>"
+    quote = "to be or not to be that is the question"
+    rows = [(k, f"http://copies/{k}", page) for k in range(4)]
+    rows += [(10 + k, f"http://quotes/{k}", f"<div>Page{k} says {quote} and{k} ends{k}</div>") for k in range(2)]
+    rows += [(20 + k, f"http://host/{k}", p) for k, p in enumerate(_site(8))]
+    rows += [(30 + k, f"http://host/q{k}", f"<div>Own{k} word{k}</div><div>{quote}</div>") for k in range(3)]
+    found = _texts(spark, rows)
+    assert {found[k] for k in range(4)} == {page[5:-6]}
+    assert [found[10 + k] for k in range(2)] == [f"Page{k} says {quote} and{k} ends{k}" for k in range(2)]
+    assert [found[20 + k] for k in range(8)] == [f"Story {k} begins{k} here{k} and{k}\n\ngoes{k} on{k} until its end{k}" for k in range(8)]
+    assert [found[30 + k] for k in range(3)] == [f"Own{k} word{k}\n\n{quote}" for k in range(3)]
