@@ -10,7 +10,7 @@ batches are added up, so that a run on pages of two batches counts too.
 
 The content of a page is its article element; without one, its blocks outside menus,
 footers, sidebars, adverts, forms and comments. The text is the content without words that boilerplate
-runs cover; an article stays whole. A page of which nothing would be left keeps its content whole, as it
+runs cover, within an article too. A page of which nothing would be left keeps its content whole, as it
 is a copy. What is no copy word for word but nearly so counts as a page of its own, so what nearly equal pages
 have in common goes where they are LEAST_SHARE of a host.
 
@@ -115,8 +115,6 @@ def _long_stretches(mask: np.ndarray) -> np.ndarray:
 def unique_text(found: list[Block], mask: np.ndarray) -> str:
     """The content without its covered words, or whole if nothing is left; mask: of all_tokens."""
     kept, at, place = [], 0, content_place(found)
-    if place == ARTICLE:
-        return content_text(found)
     for block in found:
         words = block.text.split(" ")
         own = mask[at : at + len(words)]

@@ -95,3 +95,14 @@ def test_copies_and_shared_passages_without_an_article_are_kept(spark):
     assert [found[10 + k] for k in range(2)] == [f"Page{k} says {quote} and{k} ends{k}" for k in range(2)]
     assert [found[20 + k] for k in range(8)] == [f"Story {k} begins{k} here{k} and{k}\n\ngoes{k} on{k} until its end{k}" for k in range(8)]
     assert [found[30 + k] for k in range(3)] == [f"Own{k} word{k}\n\n{quote}" for k in range(3)]
+
+
+def test_what_a_host_repeats_goes_from_its_articles_too(spark):
+    notice = "<div>Get our weekly letter with all the best new stories for free</div>"
+    rows = [(k, f"http://host/{k}", f"<nav>n{k}</nav><main><p>Story{k} of{k} this{k} page{k}</p>{notice}</main>") for k in range(4)]
+    rows += [(9, "http://host/copy", rows[0][2].replace("n0", "other frame"))]
+    article = "<article>One article that is the same at each of its many addresses</article>"
+    rows += [(20 + k, f"http://copies/{k}", f"<nav>Menu{k}</nav>{article}") for k in range(4)]
+    found = _texts(spark, rows)
+    assert [found[k] for k in (0, 1, 2, 3, 9)] == [f"Story{k} of{k} this{k} page{k}" for k in (0, 1, 2, 3, 0)]
+    assert {found[20 + k] for k in range(4)} == {article[9:-10]}
