@@ -106,3 +106,24 @@ def test_what_a_host_repeats_goes_from_its_articles_too(spark):
     found = _texts(spark, rows)
     assert [found[k] for k in (0, 1, 2, 3, 9)] == [f"Story{k} of{k} this{k} page{k}" for k in (0, 1, 2, 3, 0)]
     assert {found[20 + k] for k in range(4)} == {article[9:-10]}
+
+
+def test_a_frame_word_around_an_article_does_not_lose_it():
+    story = "<article><p>The story</p><div class=comments>No</div></article>"
+    more = "<div class=related><article>Teaser</article></div><div id=comments><article class=comment>First</article></div>"
+    for page in (
+        f'<body class="has-sidebar">{story}{more}',
+        f'<body class="sidebar widget">{story}{more}',
+        f'<div class="page no-comments">{story}{more}</div>',
+        f'<div class="fixed-header"><div id="sidebar-left">{story}</div>{more}</div>',
+        f"<form action=x><nav>Menu</nav>{story}{more}</form>",
+        f'<div class="menu-open"><form><nav>Menu</nav>{story}<footer>Foot</footer></form></div>',
+        '<main class="sidebar-left"><p>The story</p></main>',
+        '<div class="banner"><div itemprop="articleBody">The story</div></div>',
+    ):
+        assert [b.text for b in blocks(page) if b.place == "article"] == ["The story"], page
+    bare = "<p>A story that stands in no article</p>"
+    for page in (f'<body class="has-sidebar widget">{bare}', f'<div class="no-comments">{bare}', f"<form><nav>M</nav>{bare}</form>"):
+        assert [b.text for b in blocks(page) if b.place == "other"] == [bare[3:-4]], page
+    page = f"<div>{bare}</div><div id=comments><article>First</article></div><nav><article>No</article></nav>"
+    assert [(b.place, b.text) for b in blocks(page)] == [("other", bare[3:-4]), ("frame", "First"), ("frame", "No")]
