@@ -92,7 +92,8 @@ class Tally(dict):
                 for number, h, n in zip(found[hit].tolist(), hashes[hit].tolist(), times[hit].tolist(), strict=True):
                     word = word_of[number]
                     at = h % len(word)
-                    self.counts[self[word[:at] + word[at + 1 :]]] += n
+                    less = self[word[:at] + word[at + 1 :]]  # may put a longer array into its place
+                    self.counts[less] += n
                 found, times = found[~hit], times[~hit]
         self.counts[found] += times
 
