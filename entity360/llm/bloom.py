@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from entity360.llm.common import free_name
+
 BITS_PER_KEY = 16
 BLOCK_BITS = 32_768  # of one bitmap of bitmap_construct_agg
 MAX_BITS = 1 << 28  # 32 MB, so a filter may be sent to all executors; beyond, more keys pass it
@@ -42,22 +44,20 @@ def _bit(bitmap: str, position: str) -> Column:
     )
 
 
-def tested(rows: DataFrame, key: str, bloom: DataFrame, bits: int) -> DataFrame:
-    """The rows with a boolean `__maybe`: false where the filter proves the key to be absent."""
+def tested(rows: DataFrame, key: str, bloom: DataFrame, bits: int, flag: str = "__maybe") -> DataFrame:
+    """The rows with a boolean `flag`: false where the filter proves the key to be absent.
+
+    flag: no column of `rows`; the other names used on the way give way to those of `rows`.
+    """
     small = F.broadcast(bloom)  # at most MAX_BITS
-    out = rows.withColumns(
-        {f"__p{k}": p for k, p in enumerate(_positions(F.col(key), bits))}
-    )
+    taken = [*rows.columns, flag]
+    position, block, bitmap = ([free_name(f"__{c}{k}", taken) for k in (0, 1)] for c in ("p", "block", "bitmap"))
+    out = rows.withColumns(dict(zip(position, _positions(F.col(key), bits), strict=True)))
     for k in (0, 1):
-        block = small.select(
-            F.col("block").alias(f"__block{k}"), F.col("bitmap").alias(f"__bitmap{k}")
-        )
-        on = F.floor(F.col(f"__p{k}") / BLOCK_BITS) == F.col(f"__block{k}")
-        out = out.join(block, on, "left")
-    maybe = _bit("__bitmap0", "__p0") & _bit("__bitmap1", "__p1")
-    return out.withColumn("__maybe", maybe).drop(
-        "__p0", "__p1", "__block0", "__block1", "__bitmap0", "__bitmap1"
-    )
+        part = small.select(F.col("block").alias(block[k]), F.col("bitmap").alias(bitmap[k]))
+        out = out.join(part, F.floor(F.col(position[k]) / BLOCK_BITS) == F.col(block[k]), "left")
+    maybe = _bit(bitmap[0], position[0]) & _bit(bitmap[1], position[1])
+    return out.withColumn(flag, maybe).drop(*position, *block, *bitmap)
 
 
 def split_by(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -65,6 +65,6 @@ def split_by(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, Dat
 
     Only the second part has to be shuffled to find out more.
     """
-    bits = bits_for(keys.count())
-    marked = tested(rows, key, filter_of(keys, key, bits), bits)
-    return marked.where("NOT __maybe").drop("__maybe"), marked.where("__maybe").drop("__maybe")
+    bits, flag = bits_for(keys.count()), free_name("__maybe", rows.columns)
+    marked = tested(rows, key, filter_of(keys, key, bits), bits, flag)
+    return marked.where(~F.col(flag)).drop(flag), marked.where(F.col(flag)).drop(flag)
