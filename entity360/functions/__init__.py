@@ -10,6 +10,7 @@ from entity360.functions.exprs import (
     membership_state,
     merge_money,
     money_gap,
+    money_limbs,
     money_value,
     normalise_status,
     review_flag,
@@ -29,6 +30,7 @@ __all__ = [
     "membership_state",
     "merge_money",
     "money_gap",
+    "money_limbs",
     "money_value",
     "normalise_status",
     "ordered_ids",

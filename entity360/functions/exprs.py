@@ -88,38 +88,88 @@ def _holds(amount: Column) -> Column:
     return (size < C.MONEY_RANGE) & ((size >= C.MONEY_LEAST) | (amount == 0))
 
 
-def _money(exact: Column, rest: Column, rest_rows: Column) -> Column:
-    return F.struct(exact.alias("exact"), rest.alias("rest"), rest_rows.alias("rest_rows"))
+# A total is a sum of longs in three units, so rows are added up without any decimal, and merged the same way.
+_UNITS = ("giga", "whole", "nano")  # 10**9, 1 and 10**-9
+_GIGA = 10**9
 
 
-def exact_sum(amount: Column) -> Column:
-    """A total in parts: decimal, so it does not depend on how rows were split over tasks, and
-    beside it the sum of the amounts that a decimal can't hold. No amount is lost."""
+def money_limbs(amount: Column) -> Column:
+    """An amount as a struct of longs in the three units, or as ``rest`` where it doesn't fit; NULL for NULL.
+
+    The longs are its shortest decimal text, rounded half up to nine decimals.
+
+    1. Below 2**22 that text is within a quarter of a unit of the binary value, so rounding the value gives the same
+       unless it lies near the middle between two units.
+    2. An amount of up to four decimals and fifteen digits is found by dividing them again.
+    3. Only the rest takes the way over a decimal.
+
+    Put it into a column of its own where several sums follow, so that it is worked out once a row.
+    """
     double = amount.cast("double")
-    return _money(
-        F.sum(F.when(_holds(double), double.try_cast(C.MONEY))),
-        F.sum(F.when(~_holds(double), double)),
-        F.count_if(~_holds(double)),
+    size = F.abs(double)
+    sign = F.when(double < 0, F.lit(-1)).otherwise(F.lit(1)).cast("bigint")
+    floor = F.floor(size)
+    scaled = (size - floor) * float(_GIGA)
+    nano = F.rint(scaled)
+    near = (size < float(1 << 22)) & (F.abs(scaled - nano) < 0.25)
+    cents = F.rint(size * 1e4)
+    short = (cents < 1e15) & (cents / 1e4 == size)
+    digits = cents.try_cast("bigint")
+    decimal = size.try_cast(C.MONEY)
+    whole = F.floor(decimal)
+    giga = F.lit(_GIGA).cast("decimal(10,0)")
+
+    def limbs(*parts: Column) -> Column:
+        named = zip(_UNITS, parts, strict=True)
+        longs = [(sign * part.try_cast("bigint")).alias(unit) for unit, part in named]
+        return F.struct(*longs, F.lit(None).cast("double").alias("rest"))
+
+    nothing = [F.lit(None).cast("bigint").alias(unit) for unit in _UNITS]
+    return (
+        F.when(~_holds(double), F.struct(*nothing, double.alias("rest")))
+        .when(near, limbs(F.lit(0), floor, nano))
+        .when(short, limbs(F.lit(0), F.floor(cents / 1e4), (digits % 10_000) * 100_000))
+        .when(size.isNotNull(), limbs(F.floor(whole / giga), whole % giga, (decimal - whole) * giga))
     )
 
 
+def _money(limbs: list[Column], rest: Column) -> Column:
+    named = zip(_UNITS, limbs, strict=True)
+    return F.struct(*[limb.alias(unit) for unit, limb in named], rest.alias("rest"))
+
+
+def exact_sum(amount: Column) -> Column:
+    """A total in parts: sums of longs, so it does not depend on how rows were split over tasks, and beside
+    them the sum of the amounts that don't fit, NULL if there are none. No amount is lost.
+
+    A group may have some 9 * 10**9 rows; beyond, Spark reports the overflow of a sum and gives no wrong one.
+    """
+    return merge_money(money_limbs(amount))
+
+
 def merge_money(total: Column) -> Column:
-    """Totals of ``exact_sum`` added up further."""
-    return _money(
-        F.sum(total["exact"]), F.sum(total["rest"]), F.coalesce(F.sum(total["rest_rows"]), F.lit(0))
-    )
+    """Amounts from ``money_limbs``, or totals of ``exact_sum``, added up."""
+    return _money([F.sum(total[unit]) for unit in _UNITS], F.sum(total["rest"]))
+
+
+def _exact_part(total: Column) -> Column:
+    """The sums of longs as one decimal; NULL when there was no amount, or when a decimal can't hold it."""
+    wide = "decimal(36,9)"
+    giga = (total["giga"].cast("decimal(19,0)") * F.lit(_GIGA).cast("decimal(10,0)")).try_cast(wide)
+    nano = total["nano"].cast("decimal(19,0)") / F.lit(_GIGA).cast("decimal(10,0)")
+    return (giga + total["whole"].cast(wide) + nano.cast(wide)).try_cast("decimal(38,9)")
 
 
 def times_money(total: Column, n: Column) -> Column:
     """A total ``n`` times over."""
-    exact = F.try_multiply(total["exact"].try_cast("decimal(27,9)"), n.cast("decimal(10,0)"))
-    lost = total["exact"].isNotNull() & exact.isNull()
-    whole = F.when(lost, total["exact"].cast("double") * n)
-    return _money(
-        exact.try_cast("decimal(38,9)"),
-        F.coalesce(total["rest"] * n + F.coalesce(whole, F.lit(0.0)), whole, total["rest"] * n),
-        total["rest_rows"] + F.when(lost, 1).otherwise(0),
+    products = [F.try_multiply(total[unit], n.cast("bigint")) for unit in _UNITS]
+    fits = reduce(lambda a, b: a & b, [product.isNotNull() for product in products])
+    lost = total["whole"].isNotNull() & ~fits
+    whole = F.when(lost, _exact_part(total).cast("double") * n)
+    rest = F.when(
+        total["rest"].isNotNull() | lost, F.coalesce(total["rest"] * n, F.lit(0.0)) + F.coalesce(whole, F.lit(0.0))
     )
+    return _money([F.when(fits, product) for product in products], rest)
 
 
 def money_value(total: Column, decimals: int | None = None) -> Column:
@@ -128,10 +178,9 @@ def money_value(total: Column, decimals: int | None = None) -> Column:
     def rounded(value: Column) -> Column:
         return value if decimals is None else F.round(value, decimals)
 
-    whole = F.coalesce(total["exact"].cast("double"), F.lit(0.0)) + total["rest"]
-    return F.when(total["rest_rows"] > 0, rounded(whole)).otherwise(
-        rounded(total["exact"]).cast("double")
-    )
+    exact = _exact_part(total)
+    whole = F.coalesce(exact.cast("double"), F.lit(0.0)) + total["rest"]
+    return F.when(total["rest"].isNotNull(), rounded(whole)).otherwise(rounded(exact).cast("double"))
 
 
 def money_gap(a: Column, b: Column) -> Column:

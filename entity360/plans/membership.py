@@ -12,8 +12,8 @@ from entity360 import constants as C
 from entity360.functions.collect import ordered_ids
 from entity360.functions.exprs import (
     default_category,
-    exact_sum,
     merge_money,
+    money_limbs,
     money_value,
     review_flag,
     times_money,
@@ -89,23 +89,28 @@ def membership_status(
         f"IF({name} IS NULL, NULL, {item.format(kind, name)})"
         for kind, name in (("membership", "membership_id"), ("member", "member_id"))
     ]
-    rows = contracted_months(months, as_of, period).withColumn(
-        "_item", F.expr(f"explode(array_compact(array({', '.join(items)})))")
+    prices = {
+        "total_mrr": _price("discounted_price", "price"),
+        "total_calculated_list_price": _price("calculated_list_price", "discounted_price", "price"),
+        "total_calculated_discount_amount": _price("calculated_discount_amount"),
+    }
+    rows = (
+        contracted_months(months, as_of, period)
+        .select(
+            *SOURCE_GRAIN,
+            *[money_limbs(price).alias(name) for name, price in prices.items()],
+            F.expr(f"array_compact(array({', '.join(items)}))").alias("_items"),
+        )
+        .withColumn("_item", F.explode("_items"))
     )
     kind = F.col("kind")
 
-    def on_state(*names: str) -> Column:
-        return exact_sum(F.when(F.col("_item.kind") == "state", _price(*names)))
+    def on_state(name: str) -> Column:
+        return merge_money(F.when(F.col("_item.kind") == "state", F.col(name))).alias(name)
 
     values = rows.groupBy(
         *SOURCE_GRAIN, F.col("_item.kind").alias("kind"), F.col("_item.value").alias("value")
-    ).agg(
-        on_state("discounted_price", "price").alias("total_mrr"),
-        on_state("calculated_list_price", "discounted_price", "price").alias(
-            "total_calculated_list_price"
-        ),
-        on_state("calculated_discount_amount").alias("total_calculated_discount_amount"),
-    )
+    ).agg(*[on_state(name) for name in TOTALS])
     by_state = values.groupBy(
         *SOURCE_GRAIN, F.when(kind == "state", F.col("value")).alias("membership_status")
     ).agg(
@@ -181,14 +186,20 @@ def _company_values(status: DataFrame, month: date) -> DataFrame:
         f"CASE WHEN {current} THEN {entry(k, c)} END"
         for k, c in (CURRENT_KINDS | CURRENT_PLANS).items()
     ]
-    rows = status.withColumn("_entry", F.expr(f"explode(array({', '.join(entries)}))")).where(
-        "_entry.value IS NOT NULL"
+    limbs = {name: money_limbs(F.col(name)) for name in TOTALS}
+    rows = (
+        status.withColumns(limbs)
+        .withColumn("_entry", F.expr(f"explode(array({', '.join(entries)}))"))
+        .where("_entry.value IS NOT NULL")
     )
     measured = F.col("_entry.kind") == "month"
 
     def on_month(name: str) -> Column:
         return F.when(measured, F.col(name))
 
+    def money(name: str, alias: str) -> Column:
+        return merge_money(on_month(name)).alias(alias)
+
     return rows.groupBy(
         "canonical_company_id",
         F.col("_entry.kind").alias("kind"),
@@ -196,9 +207,9 @@ def _company_values(status: DataFrame, month: date) -> DataFrame:
     ).agg(
         F.sum(on_month("active_memberships")).alias("memberships"),
         F.sum(on_month("active_members")).alias("members"),
-        exact_sum(on_month("total_mrr")).alias("mrr"),
-        exact_sum(on_month("total_calculated_list_price")).alias("list_price"),
-        exact_sum(on_month("total_calculated_discount_amount")).alias("discount"),
+        money("total_mrr", "mrr"),
+        money("total_calculated_list_price", "list_price"),
+        money("total_calculated_discount_amount", "discount"),
         F.bool_or(on_month("has_manual_review_mapping")).alias("review"),
         F.min(on_month("min_match_confidence")).alias("confidence"),
     )

@@ -1,5 +1,7 @@
+import decimal
 import hashlib
 import math
+import random
 from datetime import date
 
 import pytest
@@ -158,3 +160,37 @@ def test_gaps_of_money_are_exact_where_they_can_be(spark):
     rows = spark.createDataFrame([(0.3, 0.1), (1e20, 1.0), (float("nan"), 1.0)], "a double, b double")
     got = [r.x for r in rows.select(money_gap(F.col("a"), F.col("b")).alias("x")).collect()]
     assert got[:2] == [0.2, 1e20] and math.isnan(got[2])
+
+
+def test_totals_hold_what_the_amounts_are_as_decimals(spark):
+    """Each amount alone against Spark's own cast, and all together against Python's decimals."""
+    rng = random.Random(4)
+    amounts = [0.1, -0.1, 0.0015, 123.4567890125, 846.7292000000001, 4194303.9999999995, 8388608.1, 1e8 + 0.1, 99999999999.9999]
+    amounts += [1e15 + 0.3, -9.999999999e18, 2.0**53, 4.5e15 + 0.5, 12345678.123456789, 0.0010000005, 262144.0000000005]
+    amounts += [round(rng.uniform(-1e7, 1e7), rng.randint(0, 12)) for _ in range(300)]
+    amounts += [rng.uniform(-1, 1) * 10 ** rng.randint(-2, 18) for _ in range(300)]
+    amounts += [rng.randint(1, 10**9) / 3 for _ in range(100)]
+    amounts = [a for a in amounts if abs(a) >= 1e-3]
+    rows = spark.createDataFrame(list(enumerate(amounts)), "i int, amount double").repartition(3)
+    each = rows.groupBy("i").agg(
+        exact_sum(F.col("amount")).alias("t"), F.first(F.col("amount").cast("decimal(28,9)")).alias("want")
+    )
+    with decimal.localcontext(decimal.Context(prec=60)):
+        total = decimal.Decimal(0)
+        for r in each.collect():
+            got = decimal.Decimal(r.t.giga * 10**9 + r.t.whole) + decimal.Decimal(r.t.nano).scaleb(-9)
+            assert got == r.want, amounts[r.i]
+            total += r.want
+    whole = rows.agg(exact_sum(F.col("amount")).alias("t"))
+    assert whole.select(money_value(F.col("t")).alias("x")).first().x == float(total)
+    rounded = whole.select(money_value(F.col("t"), 2).alias("x")).first().x
+    assert rounded == pytest.approx(float(total), rel=1e-15)
+
+
+def test_totals_are_sums_of_longs(spark):
+    rows = spark.range(9).select((F.col("id") / 7).alias("amount"))
+    plan = rows.agg(exact_sum(F.col("amount")).alias("t"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "decimal(38" not in plan
+    assert rows.agg(exact_sum(F.col("amount")).alias("t")).dtypes == [
+        ("t", "struct<giga:bigint,whole:bigint,nano:bigint,rest:double>")
+    ]
