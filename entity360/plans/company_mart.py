@@ -30,6 +30,34 @@ from entity360.sources.schemas import (
 )
 
 
+# What the roll-ups read of the ledger.
+LEDGER_COLUMNS = tuple(
+    dict.fromkeys(
+        (
+            "canonical_company_id",
+            "engagement_event_id",
+            "source_system",
+            "engagement_type",
+            "engagement_category",
+            "start_date",
+            "end_date",
+            "amount",
+            "requires_manual_review",
+            "match_confidence",
+            *TIMELINE_ITEM.fieldNames(),
+            *PROJECT_ITEM.fieldNames(),
+            *EVENT_ITEM.fieldNames(),
+            *RECENT_ITEM.fieldNames(),
+        )
+    )
+)
+
+
+def mapped_events(ledger: DataFrame) -> DataFrame:
+    """The ledger's part that the roll-ups read."""
+    return ledger.where(F.col("canonical_company_id").isNotNull()).select(*LEDGER_COLUMNS)
+
+
 def engagement_totals(ledger: DataFrame) -> DataFrame:
     """Counts, amounts, dates and vocabularies per mapped company.
 
