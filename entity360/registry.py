@@ -113,6 +113,12 @@ class Product:
         )
         return reconcile.membership_side(self.status), existing
 
+    @cached_property
+    def stored_sides(self) -> tuple[DataFrame, DataFrame]:
+        """Both sides as published tables are, since digests read them several times."""
+        left, right = self.reconciled
+        return stored(left), stored(right.select(*left.columns))
+
 
 def _bridge_lookup(p: Product) -> DataFrame:
     projects = p.sources["stg_bigtime_projects"].select(
@@ -267,7 +273,7 @@ def _month_coverage(p: Product) -> DataFrame:
 
 
 def _current_reconciliation(p: Product) -> DataFrame:
-    sides = (membership.in_period(side, "month_start", AS_OF, "current") for side in p.reconciled)
+    sides = (membership.in_period(side, "month_start", AS_OF, "current") for side in p.stored_sides)
     return reconcile.reconcile_summary(*sides)
 
 
@@ -375,8 +381,8 @@ QUERIES: dict[str, Callable[[Product], DataFrame]] = {
     "reconcile_membership": lambda p: reconcile.full_reconcile(
         *p.reconciled, reconcile.MEMBERSHIP_KEYS, list(reconcile.MEMBERSHIP_MEASURES)
     ),
-    "reconcile_mismatches": lambda p: reconcile.reconcile_mismatches(*p.reconciled),
-    "reconcile_summary": lambda p: reconcile.reconcile_summary(*p.reconciled),
+    "reconcile_mismatches": lambda p: reconcile.reconcile_mismatches(*p.stored_sides),
+    "reconcile_summary": lambda p: reconcile.reconcile_summary(*p.stored_sides),
     "smoke_duplicates": _duplicate_companies,
     "smoke_null_counts": lambda p: quality.null_counts(p.narrow_mart, [KEY, "company_name"]),
     "smoke_row_counts": _row_counts,
