@@ -8,9 +8,11 @@ white space). Texts with equal sets are one node. Nodes that share a band hash m
    population count of the exclusive or of two bitmaps estimates their similarity. The same
    bitmap over the whole set gives a bound: its count is never above the symmetric difference.
 3. What is left is confirmed on the full sets, and components are formed.
-4. Buckets whose nodes are still in different components are searched in full, in blocks of
-   bounded size: pairs between components are sifted in the same way, and confirmed. So no link
-   is lost to the choice of the least node, and copies within a component are never paired.
+4. Buckets whose nodes are still in different components are searched in full, in pieces of work of
+   bounded size. Nodes with a partner in another component that the sieves let pass get their full sets sent to the
+   piece, which joins its parts link by link: pairs within a part are left out, the others are confirmed there, and
+   only a link that joins two parts leaves it, so a piece puts out fewer links than it has nodes. So no
+   connection is lost to the choice of the least node, and pairs never become rows.
 
 With 32 bands of 4 samples a pair of similarity 0.8 shares no bucket with a chance of 5e-8; the sieves
 stand five standard deviations below what such a pair gives.
@@ -42,6 +44,7 @@ SAMPLES, BAND_ROWS = 128, 4
 SKETCH_WORDS, PARITY_WORDS = 4, 16  # of 64 bits
 SIGMAS = 5.0
 BLOCK = 2_048  # nodes of a bucket that are compared in one task with as many others
+BLOCK_SHINGLES = 1 << 21  # the shingles of those nodes, about
 
 
 def text_key(text: Column) -> Column:
@@ -149,25 +152,28 @@ def sifted(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.drop("node_a", "node_b").mapInPandas(sift, "a binary, b binary")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
-    """The pairs whose full sets are similar enough.
-
-    Only texts that a Bloom filter of the wanted ones lets pass are shuffled.
-    """
-    pairs = written(pairs, "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = written(nodes.select("node", "text_key").join(ends, "node"), "wanted")
+def texts_of(wanted: DataFrame, nodes: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """(node, text) of some nodes. Only texts that a Bloom filter of the wanted ones lets pass are shuffled."""
+    keys = written(nodes.select("node", "text_key").join(wanted.select("node").distinct(), "node"), "wanted")
     texts = df.select(F.coalesce(column(df, text_col), F.lit("")).alias("text")).select(
         text_key(F.col("text")).alias("key"), "text"
     )
-    _, some = bloom.split_by(texts, "key", wanted.select(F.col("text_key").alias("key")))
-    of_node = (
-        some.groupBy("key")
-        .agg(F.first("text").alias("text"))
-        .join(wanted, F.col("key") == F.col("text_key"))
-        .select("node", "text")
-    )
-    of_node = written(of_node, "texts")
+    _, some = bloom.split_by(texts, "key", keys.select(F.col("text_key").alias("key")))
+    found = some.groupBy("key").agg(F.first("text").alias("text"))
+    return found.join(keys, F.col("key") == F.col("text_key")).select("node", "text")
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether two full sets are linked."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= SHARE * (len(a) + len(b) - shared)
+
+
+def confirmed(pairs: DataFrame, nodes: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    pairs = written(pairs, "pairs")
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    of_node = written(texts_of(ends, nodes, df, text_col), "texts")
     sides = [of_node.select(F.col("node").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"]
     both = pairs.join(sides[0], "a").join(sides[1], "b")
 
@@ -179,11 +185,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, df: DataFrame, text_col: str)
                 new = new[[x not in sets for x in new[side]]]
                 made = shingle_sets(new[f"text_{side}"].tolist(), WIDTH)
                 sets.update(zip(new[side], made, strict=True))
-            keep = []
-            for a, b in zip(batch["a"], batch["b"], strict=True):
-                shared = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
-                union = len(sets[a]) + len(sets[b]) - shared
-                keep.append(100 * shared >= SHARE * union)
+            keep = [similar(sets[a], sets[b]) for a, b in zip(batch["a"], batch["b"], strict=True)]
             yield batch[["a", "b"]][keep]
 
     return both.mapInPandas(confirm, "a binary, b binary")
@@ -204,11 +206,43 @@ def _whole_runs(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd
         yield rest
 
 
-def between_components(crowded: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs from different components that share a bucket and whose sketches allow a link.
+_PIECE = ["band", "i", "j"]
+_NODE = ["block", "node", "component", "n", "sketch", "parity"]
+_WORK = (
+    "band bigint, i int, j int, block int, node binary, component binary, n bigint, sketch binary, parity binary"
+)
 
-    crowded: (band, node, center, size). A bucket above BLOCK nodes is dealt into blocks, and each pair of
-    blocks is one piece of work.
+
+def _candidates(run: pd.DataFrame, codes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Per node of a piece of work the later nodes of other components that the sieves let pass; codes: the
+    component of each. In a piece of two blocks only nodes of different blocks are paired."""
+    n, block = run["n"].to_numpy(), run["block"].to_numpy()
+    sketch, parity = _words(run["sketch"]), _words(run["parity"])
+    apart = run["i"].iloc[0] != run["j"].iloc[0]
+    for k in range(len(run) - 1):
+        rest = codes[k + 1 :] != codes[k]
+        if apart:
+            rest &= block[k + 1 :] != block[k]
+        at = np.flatnonzero(rest) + k + 1
+        if len(at):
+            me = slice(k, k + 1)
+            hits = at[may_link(n[me], n[at], sketch[me], sketch[at], parity[me], parity[at])]
+            if len(hits):
+                yield k, hits
+
+
+def _largest_last(run: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray]:
+    """The nodes and the codes of their components, those of the largest one last, as it is not searched."""
+    codes, _ = pd.factorize(run["component"])
+    order = np.argsort(np.bincount(codes)[codes], kind="stable")
+    return run.iloc[order], codes[order]
+
+
+def work_between(crowded: DataFrame, labels: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes of each piece of work that have a partner in another component there, as _WORK.
+
+    crowded: (band, node, n, center, size, shingles). A bucket above BLOCK nodes or BLOCK_SHINGLES shingles is dealt into
+    blocks, and each pair of blocks is one piece of work.
     """
     labelled = crowded.where("size > 2").join(
         labels.select("node", "component"), "node", "left"
@@ -219,7 +253,7 @@ def between_components(crowded: DataFrame, labels: DataFrame, nodes: DataFrame)
         .where("low != high")
         .select("band")
     )
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     dealt = (
         labelled.join(open_bands, "band")
         .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
@@ -233,44 +267,60 @@ def between_components(crowded: DataFrame, labels: DataFrame, nodes: DataFrame)
             "component",
         )
     )
-    work = dealt.join(nodes.select("node", "n", "sketch", "parity"), "node")
-    keys = ["band", "i", "j"]
+    work = dealt.join(nodes.select("node", "n", "sketch", "parity"), "node").select(*_PIECE, *_NODE)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for run in _whole_runs(batches, keys):
-            codes, _ = pd.factorize(run["component"])
-            sizes = np.bincount(codes)
-            if len(sizes) < 2:
-                continue
-            order = np.argsort(sizes[codes], kind="stable")  # the largest component comes last
-            last = len(run) - sizes.max() if (sizes == sizes.max()).sum() == 1 else len(run) - 1
-            run, codes = run.iloc[order], codes[order]
-            n, block = run["n"].to_numpy(), run["block"].to_numpy()
-            sketch, parity = _words(run["sketch"]), _words(run["parity"])
-            apart = run["i"].iloc[0] != run["j"].iloc[0]
-            found_a, found_b = [], []
-            for k in range(last):
-                rest = codes[k + 1 :] != codes[k]
-                if apart:
-                    rest &= block[k + 1 :] != block[k]
-                at = np.flatnonzero(rest) + k + 1
-                if not len(at):
-                    continue
-                me = slice(k, k + 1)
-                hits = at[may_link(n[me], n[at], sketch[me], sketch[at], parity[me], parity[at])]
-                found_a += [k] * len(hits)
-                found_b += hits.tolist()
-            if found_a:
-                node = run["node"].to_numpy()
-                yield pd.DataFrame({"a": node[found_a], "b": node[found_b]})
-
-    return (
-        work.repartition(*keys)
-        .sortWithinPartitions(*keys)
-        .mapInPandas(compare, "a binary, b binary")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
+        for run in _whole_runs(batches, _PIECE):
+            run, codes = _largest_last(run)
+            needed = np.zeros(len(run), dtype=bool)
+            for k, hits in _candidates(run, codes):
+                needed[k] = True
+                needed[hits] = True
+            if needed.any():
+                yield run[needed]
+
+    return work.repartition(*_PIECE).sortWithinPartitions(*_PIECE).mapInPandas(compare, _WORK)
+
+
+def joining_links(run: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links that join the components of a piece of work as far as its links do; run: _WORK and `hashes`, full sets."""
+    run, codes = _largest_last(run)
+    part = list(range(int(codes.max()) + 1))
+
+    def root(code: int) -> int:
+        while part[code] != code:
+            part[code] = part[part[code]]
+            code = part[code]
+        return code
+
+    node = run["node"].tolist()
+    sets = [np.frombuffer(raw, dtype=np.uint64) for raw in run["hashes"]]
+    out = []
+    for k, hits in _candidates(run, codes):
+        for h in hits.tolist():
+            one, other = root(int(codes[k])), root(int(codes[h]))
+            if one != other and similar(sets[k], sets[h]):
+                part[one] = other
+                out.append((min(node[k], node[h]), max(node[k], node[h])))
+    return out
+
+
+def links_between(
+    crowded: DataFrame, labels: DataFrame, nodes: DataFrame, df: DataFrame, text_col: str
+) -> DataFrame:
+    """Confirmed links that join the components as far as any link of the buckets does."""
+    work = written(work_between(crowded, labels, nodes), "work")
+
+    def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sets = [x.tobytes() for x in shingle_sets(batch["text"].tolist(), WIDTH)]
+            yield pd.DataFrame({"node": batch["node"], "hashes": pd.Series(sets, dtype=object)})
+
+    def join(run: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(joining_links(run), columns=["a", "b"])
+
+    sets = written(texts_of(work, nodes, df, text_col).mapInPandas(hashed, "node binary, hashes binary"), "sets")
+    return work.join(sets, "node").groupBy(*_PIECE).applyInPandas(join, "a binary, b binary").distinct()
 
 
 def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -285,10 +335,10 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
         ),
         "nodes",
     )
-    members = nodes.select(F.explode("bands").alias("band"), "node")
+    members = nodes.select(F.explode("bands").alias("band"), "node", "n")
     centers = (
         members.groupBy("band")
-        .agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"))
+        .agg(F.min("node").alias("center"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"))
         .where("size > 1")
     )
     crowded = written(members.join(centers, "band"), "buckets")
@@ -297,7 +347,7 @@ def near_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
     first = written(confirmed(sifted(stars.distinct(), nodes), nodes, df, text_col), "links")
     labels = written(components(first), "labels")
-    more = confirmed(between_components(crowded, labels, nodes), nodes, df, text_col)
+    more = links_between(crowded, labels, nodes, df, text_col)
     labels = components(first.unionByName(more))
     grouped = rows.select("id", "text_key", F.col("n").alias("n_shingles"), "node").join(
         labels, "node", "left"

@@ -7,7 +7,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 
 SEED = 20_240_615
-PIECE_BYTES = 1 << 21  # of text that is hashed at once; a longer text is one piece
+PIECE_BYTES = 1 << 18  # of text that is hashed at once; a longer text is hashed in steps
 _U = np.uint64
 _P = _U(0x9E3779B97F4A7C15)  # odd, so powers of it have inverses modulo 2**64
 
@@ -40,7 +40,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-_CACHE: list[tuple[np.ndarray, np.ndarray]] = [_powers(1 << 16)]
+_POWER, _INVERSE = _powers(PIECE_BYTES)
+
+
+def _words(raw: np.ndarray, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first bytes of the words of a text; a word that a step cuts goes on in the next one."""
+    hashes, firsts = [], []
+    open_sum, open_length, open_start = 0, 0, 0
+    for at in range(0, len(raw), PIECE_BYTES):
+        part = raw[at : at + PIECE_BYTES]
+        inside = np.concatenate(([False], ~separators[part], [False]))
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[0::2], edges[1::2]
+        added = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[_LOWER[part]] * _POWER[: len(part)], out=added[1:])
+        sums = (added[ends] - added[starts]) * _INVERSE[starts]
+        lengths, starts = (ends - starts).astype(np.uint64), starts + at
+        if open_length:
+            if len(starts) and starts[0] == at:
+                shift = pow(int(_P), open_length, 1 << 64)
+                sums[0] = _U((open_sum + shift * int(sums[0])) % (1 << 64))
+                lengths[0] += _U(open_length)
+                starts[0] = open_start
+            else:
+                sums = np.concatenate(([_U(open_sum)], sums))
+                lengths = np.concatenate(([_U(open_length)], lengths))
+                starts = np.concatenate(([open_start], starts))
+            open_length = 0
+        if len(ends) and ends[-1] == len(part) and at + len(part) < len(raw):
+            open_sum, open_length, open_start = int(sums[-1]), int(lengths[-1]), int(starts[-1])
+            sums, lengths, starts = sums[:-1], lengths[:-1], starts[:-1]
+        hashes.append(mixed(sums + lengths))
+        firsts.append(starts)
+    return np.concatenate(hashes), np.concatenate(firsts)
 
 
 def word_hashes(
@@ -54,16 +86,7 @@ def word_hashes(
     raw = np.frombuffer(joined, dtype=np.uint8)
     if not len(raw):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    space = separators[raw]
-    inside = np.concatenate(([False], ~space, [False]))
-    edges = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = edges[0::2], edges[1::2]
-    if len(_CACHE[0][0]) <= len(raw):
-        _CACHE[0] = _powers(len(raw) + len(raw) // 4)
-    power, inverse = _CACHE[0]
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[_LOWER[raw]] * power[: len(raw)], out=sums[1:])
-    hashes = mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
+    hashes, starts = _words(raw, separators)
     firsts = np.cumsum([0] + [len(t) + 1 for t in texts])
     return hashes, np.searchsorted(firsts, starts, side="right") - 1
 

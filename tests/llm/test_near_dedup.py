@@ -4,9 +4,11 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 
+from entity360.llm import near_dedup, shingles
 from entity360.llm.graph import components
-from entity360.llm.near_dedup import drop_near_copies, most_differing, near_groups
+from entity360.llm.near_dedup import drop_near_copies, joining_links, most_differing, near_groups
 from entity360.llm.queries import QUERIES
 from entity360.llm.shingles import shingle_sets
 from tests.llm.cases import FOLDER, documents, empty, messy, messy_rows, table_of
@@ -116,3 +118,50 @@ def test_the_sieve_lies_above_what_similar_sets_give():
             sum(c % 2 for c in np.bincount([random.randrange(1_024) for _ in range(differ)])) for _ in range(200)
         )
         assert worst <= bound
+
+
+def test_texts_hashed_in_steps_give_the_same_words(monkeypatch):
+    random.seed(3)
+    texts = ["".join(random.choices("ab \n", weights=[9, 9, 2, 1], k=k)) for k in (0, 1, 7, 8, 9, 40, 200)]
+    texts += ["x" * 50, " " * 20 + "y" * 33 + " z", "Ä" * 30]
+    whole = [s.tolist() for s in shingle_sets(texts, 2)]
+    for size in (1, 2, 7, 8, 64):
+        monkeypatch.setattr(shingles, "PIECE_BYTES", size)
+        assert [s.tolist() for s in shingle_sets(texts, 2)] == whole
+
+
+def _family(rng, members):
+    """Texts around one, some of which are linked with few of the others."""
+    base = [f"w{i}" for i in range(120)]
+    out = []
+    for i in range(members):
+        words = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 6)):
+            words[at] = f"new{i}-{at}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def test_groups_of_many_parts_lose_no_connection_in_small_pieces(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = _family(rng, 120)
+    for name, size in (("BLOCK", 9), ("BLOCK_SHINGLES", 900)):
+        monkeypatch.setattr(near_dedup, name, size)
+    got = near_groups(table_of(spark, rows)).collect()
+    _check(rows, [(r.id, r.n_shingles, r.component_id) for r in got])
+
+
+def test_a_piece_puts_out_fewer_links_than_it_has_nodes():
+    rng = random.Random(8)
+    rows = _family(rng, 60)
+    minhash, made = near_dedup.MinHash(near_dedup.SAMPLES), []
+    for i, hashes in enumerate(shingle_sets([t for _, t in rows], near_dedup.WIDTH)):
+        samples = minhash.samples(hashes)
+        sketch = near_dedup.odd_sketch(samples, near_dedup.SKETCH_WORDS).tobytes()
+        parity = near_dedup.parity_of(hashes, near_dedup.PARITY_WORDS).tobytes()
+        made.append((1, 0, 0, 0, bytes([i]), bytes([i]), len(hashes), sketch, parity, hashes.tobytes()))
+    names = [field.split()[0] for field in near_dedup._WORK.split(", ")]
+    links = joining_links(pd.DataFrame(made, columns=[*names, "hashes"]))
+    _, roots = _expected(rows)
+    assert len(links) == 60 - len(set(roots))
+    assert all(roots[a[0]] == roots[b[0]] for a, b in links)
