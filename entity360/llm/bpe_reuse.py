@@ -209,6 +209,7 @@ def encode(
             for part in slices(batch, "content", BATCH_CHARS):
                 ids = [_little(x) for x in pairs.encode(part["content"].tolist())]
                 yield part[["chunk"]].assign(ids=pd.Series(ids, dtype=object).to_numpy())
+        pairs.forget()
 
     once = written(
         texts.select("text")
@@ -237,12 +238,14 @@ def encode(
                     }
                     out.append(made.values(reuse.ids(text, ids)))
                 yield _with(part[["key"]], names, out)
+        pairs.forget()
 
     def straight(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for part in slices(batch, "text", BATCH_CHARS):
                 out = [made.values(x) for x in pairs.encode(part["text"].tolist())]
                 yield _with(part[["id"]], names, out)
+        pairs.forget()
 
     by_text = written(
         texts.join(known, "key", "left").mapInPandas(assembled, f"key binary, {made.columns}"),

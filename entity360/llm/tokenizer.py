@@ -2,7 +2,7 @@
 
 A text may be cut before a space that a character other than white space follows: the pattern that
 splits words never reaches across such a cut, so the pieces are encoded on their own. The
-pieces that a process has seen are encoded once. Pieces of common Latin text go through a
+pieces that a task has seen are encoded once, within a bound. Pieces of common Latin text go through a
 faster library that has the same vocabulary; all others, and texts with the string of a special token, go
 through the tokenizers library itself.
 """
@@ -21,7 +21,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 DEFAULT_FILE, DEFAULT_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
-REMEMBERED = 400_000  # pieces per process; then it starts anew
+REMEMBERED, REMEMBERED_CHARS = 150_000, 4 << 20  # pieces and their characters per task; then it starts anew
 BATCH_CHARS = 1 << 20  # texts that are encoded together; a longer text is a batch of its own
 
 _CUT = re.compile(r"(?=\x20(?!\s)(?!$))")
@@ -76,6 +76,7 @@ class BytePairs:
             else:
                 ids = exact.encode(piece, add_special_tokens=False).ids
             memory.index[piece] = len(memory.sizes)
+            memory.chars += len(piece)
             memory.sizes.append(len(ids))
             memory.flat.extend(ids)
 
@@ -107,7 +108,7 @@ class BytePairs:
                 pieces += [" " + word for word in rest]
             counts.append(len(pieces) - before)
         memory = _memory(self.file)
-        if len(memory.sizes) > REMEMBERED:
+        if len(memory.sizes) > REMEMBERED or memory.chars > REMEMBERED_CHARS:
             memory.clear()
         codes = np.fromiter(map(memory.index.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(codes < 0).tolist()
@@ -126,6 +127,10 @@ class BytePairs:
             whole[i] if i in whole else ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))
         ]
 
+    def forget(self) -> None:
+        """Frees what the process has remembered; to be called at the end of a task, whose worker goes on living."""
+        _memory(self.file).clear()
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, special tokens included; broken characters are replaced."""
         return b"".join(self.bytes_of[ids]).decode("utf-8", "replace")
@@ -149,6 +154,7 @@ class _Memory:
         self.index: dict[str, int] = {}
         self.sizes = array("i")
         self.flat = array("I")
+        self.chars = 0
 
 
 @cache
