@@ -1,9 +1,12 @@
 """Main text of pages: hand-made pages, and the suffix array against plain counting."""
 
+import math
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
+from entity360.llm import html_extract
 from entity360.llm.html_blocks import blocks
 from entity360.llm.html_extract import RUN, covered, extract, repeated_runs
 from entity360.llm.queries import QUERIES
@@ -127,3 +130,41 @@ def test_a_frame_word_around_an_article_does_not_lose_it():
         assert [b.text for b in blocks(page) if b.place == "other"] == [bare[3:-4]], page
     page = f"<div>{bare}</div><div id=comments><article>First</article></div><nav><article>No</article></nav>"
     assert [(b.place, b.text) for b in blocks(page)] == [("other", bare[3:-4]), ("frame", "First"), ("frame", "No")]
+
+
+@pytest.mark.parametrize("batch_tokens, list_bytes", [(10**6, 1 << 25), (60, 1 << 25), (60, 0)])
+def test_batches_and_parts_do_not_change_what_is_boilerplate(spark, monkeypatch, batch_tokens, list_bytes):
+    monkeypatch.setattr(html_extract, "BATCH_TOKENS", batch_tokens)
+    random = np.random.default_rng(4)
+    lines = [" ".join(f"l{k}w{j}" for j in range(10)) for k in range(6)]
+    rows = []
+    for site, n in (("a", 40), ("b", 7), ("c", 2)):
+        for k in range(n):
+            shown = [x for i, x in enumerate(lines) if random.random() < (i + 1) / 7]
+            shown.insert(random.integers(len(shown) + 1), f"own{site}{k} word")
+            rows.append((len(rows), f"http://{site}/{k}", "".join(f"<p>{x}</p>" for x in shown)))
+    rows += [(len(rows) + i, f"http://a/again{i}", rows[0][2]) for i in range(30)]
+
+    windows = {i: [w[j : j + RUN] for j in range(len(w) - RUN + 1)] for i, _, p in rows for w in [p[3:-4].replace("</p><p>", " ").split()]}
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.id: r.text for r in extract(pages, list_bytes=list_bytes).collect()}
+    for site in "abc":
+        ids = [i for i, url, _ in rows if url.startswith(f"http://{site}/")]
+        on = defaultdict(set)
+        for i in ids:
+            for w in windows[i]:
+                on[tuple(w)].add(rows[i][2])
+        least = max(3, math.ceil(len({rows[i][2] for i in ids}) / 2))
+        for i in ids:
+            words = rows[i][2][3:-4].replace("</p><p>", " ").split()
+            mask = np.zeros(len(words), bool)
+            for j, w in enumerate(windows[i]):
+                if len(on[tuple(w)]) >= least:
+                    mask[j : j + RUN] = True
+            assert found[i] == html_extract.unique_text(blocks(rows[i][2]), mask)
+
+
+def test_tokens_are_packed_without_loss():
+    codes = html_extract.all_tokens(blocks("<p>some words and ßome more"))
+    assert len(codes) == 5 and np.array_equal(html_extract.unpacked(html_extract.packed(codes)), codes)
+    assert len(html_extract.unpacked(b"")) == 0 and html_extract.packed(codes[:0]) == b""
