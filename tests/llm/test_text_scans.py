@@ -94,6 +94,57 @@ def test_secrets_by_kind_and_order():
     assert secrets.all_spans("")[:2] == ([], [])
 
 
+@pytest.mark.parametrize(
+    "hide",
+    [
+        lambda s: base64.b64encode(b"a\0b " + s).decode(),
+        lambda s: base64.b64encode(b"\xff " + s + b" \xfe").decode(),
+        lambda s: base64.b64encode(s.decode().encode("utf-16")).decode(),
+        lambda s: base64.b64encode(b"x" + s.decode().encode("utf-16-be")).decode(),
+        lambda s: base64.b64encode(zlib.compress(s.decode().encode("utf-16-le"))).decode(),
+        lambda s: "%ff%20" + "".join(f"%{c:02x}" for c in s),
+        lambda s: base64.b64encode(gzip.compress(b"first") + gzip.compress(s)).decode(),
+        lambda s: base64.b64encode(bz2.compress(b"first") + b"then " + s).decode(),
+        lambda s: base64.b64encode(gzip.compress(b"first " + s)[:-6] + b"broken").decode(),
+        lambda s: "\\ud800\\u0020" + "".join(f"\\u{c:04x}" for c in s),
+    ],
+)
+def test_no_layer_is_dropped_for_a_bad_byte(hide):
+    hidden = hide(SECRET.encode())
+    text = f"é😀 {hidden} end"
+    base, spans, _ = secrets.all_spans(text)
+    assert base == []
+    assert [k for *_, k in spans] == ["assign"]
+    start, end, _ = spans[0]
+    assert 3 <= start < end <= 3 + len(hidden)
+
+
+def test_spans_after_bad_bytes_are_exact():
+    bare = "password=abcdefghijklmnop"
+    for lead in ("%ff%fe%c3%a9%20", "%e2%82%20", "%f0%9f%98%80%20"):
+        text = lead + "".join(f"%{c:02x}" for c in bare.encode())
+        assert secrets.all_spans(text)[1] == [(len(lead), len(text), "assign")]
+    run = base64.b64encode(b"\xff\xfe\xfd" + bare.encode() + b"\0").decode()
+    (start, end, _), = secrets.all_spans(run)[1]
+    assert start == 4 and end == (3 + len(bare)) * 8 // 6 + ((3 + len(bare)) % 3 > 0)
+
+
+def test_a_base64_run_goes_on_in_step_over_a_window(monkeypatch):
+    monkeypatch.setattr(secrets, "WINDOW", 2000)
+    monkeypatch.setattr(secrets, "OVERLAP", 200)
+    random = np.random.default_rng(1)
+    noise = bytes(random.integers(1, 9, 900, dtype=np.uint8))
+    for lead in range(4):
+        for before in (2500, 2501, 5000, 5002):
+            inner = b"y" * before + b" " + base64.b64encode(noise * 4 + b" " + SECRET.encode() + noise)
+            packed = base64.b64encode(gzip.compress(b"." * lead + b" " + inner)).decode()
+            assert [k for *_, k in secrets.all_spans(packed)[1]] == ["assign"]
+    # A compressed stream in a run of several windows is held until it ends.
+    bulk = bytes(random.integers(0, 256, 9000, dtype=np.uint8)) + b" " + SECRET.encode()
+    packed = base64.b64encode(gzip.compress(b"lead " + base64.b64encode(gzip.compress(bulk)) + b" tail")).decode()
+    assert "assign" in [k for *_, k in secrets.all_spans(packed)[1]]
+
+
 def test_a_broken_or_endless_stream_ends():
     cut = base64.b64encode(zlib.compress(SECRET.encode() * 50)[:-9]).decode()
     secrets.all_spans(cut)
