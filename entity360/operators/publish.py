@@ -1,13 +1,22 @@
-"""Publish models as session views or as tables, with descriptions."""
+"""Publish models as views or as tables, with descriptions.
+
+A table is replaced as a whole, or partition by partition where these differ. It can be laid out in
+buckets, so that joins on the bucket columns move only their other side.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from entity360.session import stored
+
 VIEW, TABLE = "view", "table"
+_SECOND = 1  # makes a second hash of the same columns
 
 # A layer without a setting of its own takes the next one's; the last resort is a view.
 LAYER_FALLBACK = {
@@ -44,6 +53,39 @@ def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def publish_view(
+    spark: SparkSession,
+    name: str,
+    query: str,
+    *,
+    namespace: str,
+    comment: str | None = None,
+    column_comments: Mapping[str, str] | None = None,
+) -> DataFrame:
+    """Publish a query over catalog tables as a view of the catalog, which outlives the session.
+
+    The catalog keeps the text, so it must not name views of the session. Descriptions go into
+    the catalog too; those of unknown columns are an error.
+    """
+    ensure_namespace(spark, namespace)
+    df = with_comments(spark.sql(query), column_comments or {})
+    described = ", ".join(
+        f"`{f.name}`" + (f" COMMENT '{_quoted(f.metadata['comment'])}'" if "comment" in f.metadata else "")
+        for f in df.schema.fields
+    )
+    note = f" COMMENT '{_quoted(comment)}'" if comment else ""
+    full = f"`{namespace}`.`{name}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {full} ({described}){note} AS {query}")
+    return spark.table(full)
+
+
+class Buckets(NamedTuple):
+    """A layout by the hash of columns, sorted within each bucket."""
+
+    number: int
+    columns: Sequence[str]
+
+
 def publish(
     df: DataFrame,
     name: str,
@@ -53,6 +95,8 @@ def publish(
     comment: str | None = None,
     column_comments: Mapping[str, str] | None = None,
     partition_by: Sequence[str] = (),
+    buckets: Buckets | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Publish and return what readers will see.
 
@@ -60,6 +104,9 @@ def publish(
     replaced as a whole, and reading it back cuts the lineage, so a lost executor costs
     a re-read instead of a rebuild. A partitioned table is rebalanced on its partition
     columns first: few files per partition, and AQE splits a partition that is too big.
+    A bucketed one is dealt by its bucket columns, one file per bucket; that is for columns whose
+    values have few rows each, as a bucket is read by one task. ``watch`` sees the rows of a
+    table last before they are written.
     """
     spark = df.sparkSession
     df = with_comments(df, column_comments or {})
@@ -81,10 +128,93 @@ def publish(
     full = f"{namespace}.{name}" if namespace else name
     if partition_by:
         df = df.hint("rebalance", *[F.col(name) for name in partition_by])
-    writer = df.write.mode("overwrite").format("parquet")
+    elif buckets:
+        df = df.repartition(buckets.number, *buckets.columns)
+    writer = (watch(df) if watch else df).write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets.number, *buckets.columns).sortBy(*buckets.columns)
     writer.saveAsTable(full)
     if comment:
         spark.sql(f"COMMENT ON TABLE {full} IS '{_quoted(comment)}'")
     return spark.table(full)
+
+
+class Replaced(NamedTuple):
+    """What a partition-wise replacement did, as values of the partition column."""
+
+    written: list
+    dropped: list
+    kept: int
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def _digests(df: DataFrame, by: str, tag: str) -> DataFrame:
+    """Per partition a digest of its rows that does not depend on their order."""
+    columns = sorted(set(df.columns) - {by})
+    rows = df.select(
+        F.col(by), F.xxhash64(*columns).alias("_one"), F.xxhash64(F.lit(_SECOND), *columns).alias("_two")
+    )
+    return rows.groupBy(F.col(by).alias(f"{tag}_key")).agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor("_one").alias("mixed"),
+            F.sum(F.col("_two").bitwiseAND(F.lit(0xFFFFFFFF))).alias("added"),
+        ).alias(tag)
+    )
+
+
+def replace_partitions(
+    df: DataFrame,
+    name: str,
+    by: str,
+    *,
+    namespace: str | None = None,
+    watch: Callable[[DataFrame], DataFrame] | None = None,
+) -> Replaced:
+    """Bring a table that ``publish`` partitioned by ``by`` to the rows of ``df``, partition by partition.
+
+    Partitions whose digests agree are left as they are, files included; others are overwritten, and
+    those without rows dropped. The rows are stored once, as they are compared and then written, and may
+    come from the table itself. The table's columns must be those of ``df``, in any order. Only digests,
+    one per partition, come to the driver; the partitions of a table are held there anyway. ``watch`` sees all
+    rows, those of unchanged partitions too, last before they are stored.
+    """
+    spark = df.sparkSession
+    full = f"{namespace}.{name}" if namespace else name
+    old = spark.table(full)
+    if dict(old.dtypes) != dict(df.dtypes):
+        raise ValueError(f"{full} has other columns: publish it as a whole")
+    rows = stored(watch(df) if watch else df)
+    both = _digests(rows, by, "new").join(
+        _digests(old, by, "old"), F.col("new_key").eqNullSafe(F.col("old_key")), "full"
+    )
+    found = both.select(
+        F.coalesce("new_key", "old_key").alias("key"),
+        F.col("new").isNull().alias("gone"),
+        F.col("new").eqNullSafe(F.col("old")).alias("same"),
+    ).collect()
+    dropped = [r.key for r in found if r.gone]
+    changed = [r.key for r in found if not r.gone and not r.same]
+    if changed:
+        wanted = F.col(by).isin([k for k in changed if k is not None])
+        if None in changed:
+            wanted = wanted | F.col(by).isNull()
+        news = rows.where(wanted).select(*old.columns).hint("rebalance", F.col(by))
+        with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            news.write.insertInto(full, overwrite=True)
+    for key in dropped:
+        value = "NULL" if key is None else f"'{_quoted(str(key))}'"
+        spark.sql(f"ALTER TABLE {full} DROP IF EXISTS PARTITION (`{by}` = {value})")
+    spark.catalog.refreshTable(full)
+    return Replaced(changed, dropped, len(found) - len(changed) - len(dropped))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -48,6 +48,56 @@ def expect_relationship(
     return rows.join(keys, F.col(col) == F.col("_parent"), "left_anti")
 
 
+def row_checks(
+    not_null: Sequence[str] = (), accepted: Mapping[str, Sequence[Any]] | None = None
+) -> list[tuple[str, str, Column]]:
+    """(expectation, column, what a failing row fulfils) of all row-wise expectations."""
+    checks = [("not_null", col, F.col(col).isNull()) for col in not_null]
+    return checks + [
+        ("accepted_values", col, ~F.col(col).isin(*values))
+        for col, values in (accepted or {}).items()
+    ]
+
+
+class WriteChecks:
+    """Row-wise expectations that are counted while a model is written, so they cost no scan.
+
+    ``watch`` the rows that are written, as the last step before the write: a stage that writes
+    counts each partition once, however often its tasks are tried. ``rows`` waits for the write.
+    """
+
+    def __init__(self, model: str):
+        self.model = model
+        self.checks = row_checks(NOT_NULL[model], ACCEPTED[model])
+        self.seen = Observation(f"checks of {model}")
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        counts = [F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(self.checks)]
+        return df.observe(self.seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    @property
+    def row_count(self) -> int:
+        return self.seen.get["rows"]
+
+    def rows(self) -> list[tuple[str, str, str, int]]:
+        """(model, expectation, column, failing rows)."""
+        found = self.seen.get
+        return [
+            (self.model, kind, col, found[f"c{i}"]) for i, (kind, col, _) in enumerate(self.checks)
+        ]
+
+
+class ExpectationFailed(Exception):
+    """What was built does not hold what is expected of it."""
+
+
+def require_passed(report: Iterable[Sequence[Any]]) -> None:
+    """Fail the build if a row (model, expectation, column, failing rows) counts any failure."""
+    failed = [f"{m}: {kind}({col}) fails on {n} rows" for m, kind, col, n in report if n]
+    if failed:
+        raise ExpectationFailed("; ".join(failed))
+
+
 def check_table(
     df: DataFrame,
     model: str,
@@ -55,11 +105,7 @@ def check_table(
     accepted: Mapping[str, Sequence[Any]] | None = None,
 ) -> DataFrame:
     """Failing-row counts of all row-wise expectations of a table, in one scan."""
-    checks = [("not_null", col, F.col(col).isNull()) for col in not_null]
-    checks += [
-        ("accepted_values", col, ~F.col(col).isin(*values))
-        for col, values in (accepted or {}).items()
-    ]
+    checks = row_checks(not_null, accepted)
     counts = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(checks)])
     entries = [
         F.struct(
@@ -175,15 +221,19 @@ RELATED = (
 )
 
 
-def expectation_report(models: Mapping[str, DataFrame]) -> DataFrame:
+def expectation_report(
+    models: Mapping[str, DataFrame], checked: Iterable[str] = ()
+) -> DataFrame | None:
     """Failing-row counts of all expectations, for the models given by name.
 
-    Row-wise checks take one scan per model; only uniqueness and relationships shuffle.
-    Relationship checks need ``dim_company`` among the models.
+    Row-wise checks take one scan per model, and none for the models in ``checked``, which were
+    watched as they were written; only uniqueness and relationships shuffle. Relationship
+    checks need ``dim_company`` among the models. None if there is nothing to check.
     """
-    parts = []
+    parts, checked = [], set(checked)
     for model, df in models.items():
-        parts.append(check_table(df, model, NOT_NULL[model], ACCEPTED[model]))
+        if model not in checked:
+            parts.append(check_table(df, model, NOT_NULL[model], ACCEPTED[model]))
         if model in UNIQUE:
             found = expect_unique(df, UNIQUE[model])
             parts.append(_failures(found, model, "unique", ", ".join(UNIQUE[model])))
@@ -195,7 +245,7 @@ def expectation_report(models: Mapping[str, DataFrame]) -> DataFrame:
             key = "canonical_company_id"
             found = expect_relationship(df.select(key), key, models["dim_company"], key)
             parts.append(_failures(found, model, "relationship", key))
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
 # --- Bridge and coverage reports ------------------------------------------------------

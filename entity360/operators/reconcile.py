@@ -223,3 +223,18 @@ def reconcile_summary(
         *[money(revenue[tag]).alias(f"{tag}_total_mrr") for tag in (LEFT, RIGHT)],
         money(money_gap(revenue[LEFT], revenue[RIGHT])).alias("abs_total_mrr_diff"),
     )
+
+
+class NotReconciled(Exception):
+    """Two tables that should agree do not."""
+
+
+def require_reconciled(mismatches: DataFrame, examples: int = 5) -> None:
+    """Fail the build if there is a mismatch; the message shows a few of them.
+
+    Only the examples are read, so the first rows that differ end the search.
+    """
+    found = mismatches.limit(examples).collect()
+    if found:
+        shown = "; ".join(str(row.asDict()) for row in found)
+        raise NotReconciled(f"at least {len(found)} rows do not agree: {shown}")
