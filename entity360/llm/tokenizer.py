@@ -12,8 +12,9 @@ from __future__ import annotations
 import base64
 import re
 from array import array
+from collections.abc import Sequence
 from functools import cache, cached_property
-from itertools import repeat
+from itertools import count, repeat
 
 import numpy as np
 import public_tokenizers
@@ -27,6 +28,7 @@ BATCH_CHARS = 1 << 20  # texts that are encoded together; a longer text is a bat
 _CUT = re.compile(r"(?=\x20(?!\s)(?!$))")
 _UNSAFE = re.compile(r"\x20(?:\s|$)")
 _LATIN = re.compile(r"[\t-\r\x20-\x7e\xa1-ɏ]*")
+_WORD = re.compile(r"\x20[\x21-\x7e\xa1-ɏ]+")
 
 
 class BytePairs:
@@ -66,19 +68,28 @@ class BytePairs:
             out[token] = added.content.encode()
         return np.array(out, dtype=object)
 
+    @cached_property
+    def width_of(self) -> np.ndarray:
+        """The number of bytes of each id."""
+        return np.array([len(x) for x in self.bytes_of], dtype=np.int64)
+
     def _learn(self, pieces: list[str], memory: _Memory) -> None:
         """Adds the ids of distinct new pieces to the memory."""
-        fast, exact = self.fast, self.exact
-        common = bool(_LATIN.fullmatch("\n".join(pieces)))
-        for piece in pieces:
-            if common or _LATIN.fullmatch(piece):
-                ids = fast.encode_ordinary(piece)
-            else:
-                ids = exact.encode(piece, add_special_tokens=False).ids
-            memory.index[piece] = len(memory.sizes)
-            memory.chars += len(piece)
-            memory.sizes.append(len(ids))
-            memory.flat.extend(ids)
+        # Words that a space opens are encoded as one text; byte counts tell their ids apart again.
+        words = [p for p in pieces if _WORD.fullmatch(p)]
+        if words:
+            ids = np.array(self.fast.encode_ordinary("".join(words)), dtype=np.uint32)
+            ends = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)))
+            reached = np.searchsorted(np.cumsum(self.width_of[ids]), ends) + 1
+            memory.add(words, np.diff(reached, prepend=0), ids)
+        others = [p for p in pieces if p not in memory.index]
+        found = [
+            self.fast.encode_ordinary(p)
+            if _LATIN.fullmatch(p)
+            else self.exact.encode(p, add_special_tokens=False).ids
+            for p in others
+        ]
+        memory.add(others, [len(ids) for ids in found], [x for ids in found for x in ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -150,6 +161,12 @@ class _Memory:
     def __init__(self) -> None:
         self.clear()
 
+    def add(self, pieces: list[str], sizes: Sequence[int], ids: Sequence[int]) -> None:
+        self.index.update(zip(pieces, count(len(self.sizes))))
+        self.chars += sum(map(len, pieces))
+        self.sizes.frombytes(np.asarray(sizes, dtype=np.int32).tobytes())
+        self.flat.frombytes(np.asarray(ids, dtype=np.uint32).tobytes())
+
     def clear(self) -> None:
         self.index: dict[str, int] = {}
         self.sizes = array("i")
