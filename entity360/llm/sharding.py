@@ -2,11 +2,11 @@
 
 A sample of keys, drawn with a chance in proportion to the size of a record, gives quantile
 boundaries that cut the key space into many small ranges. The exact bytes of each range are summed;
-ranges that came out overfull are sampled again, more densely, and cut once more. Shard boundaries
-then fall at exact byte positions within a few ranges, found by a running sum inside each.
+ranges that came out overfull are sampled again, more densely, and cut once more, until none is or all
+further cuts would split a row. Shard boundaries then fall at exact byte positions within a few ranges, found by a running sum inside each.
 
-The key is (hash of the text, id), so copies stand side by side and a text that holds a third of all
-rows is still cut by id. A group of copies that a shard boundary would cut stays whole if it is at
+The key is (hash of the text, id, number of the row), so copies stand side by side and a text that holds a
+third of all rows is still cut by id, and rows that repeat text and id, or have no id, by their number. A group of copies that a shard boundary would cut stays whole if it is at
 most `whole_share` of a shard; a larger group is cut where the bytes say, because the law
 is near equal bytes. Null texts have no bytes and the checksum of the empty text; a null id sorts
 first; repeated rows each get a slot; an empty table gives an empty result. Other columns are not
@@ -15,6 +15,8 @@ looked at.
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -25,20 +27,19 @@ RECORD_BYTES = 16
 SAMPLES_PER_SHARD = 256  # keys drawn; the sample doesn't grow with the data
 RANGES_PER_SHARD = 32
 OVERFULL = 2.0  # times the mean bytes of a range
-ROUNDS = 4
 WHOLE_SHARE = 0.01
 
-Key = tuple[int, int]
+Key = tuple[int, int, int]
 
 
 def _drawn(rows: DataFrame, rate: float, seed: int) -> DataFrame:
     """Keys drawn with a chance of size * rate, the same ones on every run."""
     lot = F.pmod(F.xxhash64("h", "k", "row", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    return rows.where(lot < F.col("size") * rate).select("h", "k")
+    return rows.where(lot < F.col("size") * rate).select("h", "k", "row")
 
 
 def _range_of(splitters: list[Key]) -> Column:
-    """The number of splitters that are not above the key (h, k), by binary search."""
+    """The number of splitters that are not above the key (h, k, row), by binary search."""
     if not splitters:
         return F.lit(0)
     steps, step = [], 1
@@ -46,11 +47,11 @@ def _range_of(splitters: list[Key]) -> Column:
         steps.insert(0, step)
         step *= 2
     listed = lambda i: "array(" + ",".join(f"cast('{s[i]}' AS long)" for s in splitters) + ")"
-    hs, ks = listed(0), listed(1)
     at = "lo + step - 1"
+    sh, sk, sr = (f"get({listed(i)}, {at})" for i in range(3))
     return F.expr(
         f"aggregate(array({','.join(map(str, steps))}), 0, (lo, step) -> "
-        f"if(get({hs}, {at}) < h OR (get({hs}, {at}) = h AND get({ks}, {at}) <= k), lo + step, lo))"
+        f"if({sh} < h OR ({sh} = h AND ({sk} < k OR ({sk} = k AND {sr} <= row))), lo + step, lo))"
     )
 
 
@@ -62,10 +63,10 @@ def splitters_for(rows: DataFrame, total: int, shards: int) -> list[Key]:
     """
     n = shards * SAMPLES_PER_SHARD
     keep_each = SAMPLES_PER_SHARD // RANGES_PER_SHARD
-    keys = sorted((r.h, r.k) for r in _drawn(rows, n / total, 0).collect())
+    keys = sorted((r.h, r.k, r.row) for r in _drawn(rows, n / total, 0).collect())
     splitters = sorted(set(keys[keep_each - 1 :: keep_each]))
     fair = total / (shards * RANGES_PER_SHARD)
-    for turn in range(1, ROUNDS):
+    for turn in count(1):
         ranged = rows.withColumn("range", _range_of(splitters))
         over = [
             (r.range, r.bytes)
@@ -78,7 +79,7 @@ def splitters_for(rows: DataFrame, total: int, shards: int) -> list[Key]:
             break
         dense = min(1.0, n / sum(b for _, b in over) / 2)
         inside = ranged.where(F.col("range").isin([r for r, _ in over]))
-        drawn = sorted((r.h, r.k) for r in _drawn(inside, dense, turn).collect())
+        drawn = sorted((r.h, r.k, r.row) for r in _drawn(inside, dense, turn).collect())
         each = max(1, int(dense * fair))
         more = sorted(set(splitters) | set(drawn[each - 1 :: each]))
         if len(more) == len(splitters):

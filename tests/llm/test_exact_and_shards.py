@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from entity360.llm import bloom
+from entity360.llm import bloom, sharding
 from entity360.llm.exact_dedup import drop_copies, exact_groups
 from entity360.llm.queries import QUERIES
 from entity360.llm.sharding import shard_by_bytes
@@ -90,6 +90,20 @@ def test_shards_have_near_equal_bytes_and_gapless_slots(spark, shards):
     assert all(abs(b - total / shards) <= largest + 0.01 * total / shards for b in sums.values())
 
 
+def test_ranges_cut_rows_that_repeat_text_and_id(spark):
+    docs = spark.range(3_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("again and again").alias("text"))
+    rows = shard_by_bytes(docs, 5).collect()
+    counts = Counter(r.shard for r in rows)
+    assert set(counts) == set(range(5)) and max(counts.values()) - min(counts.values()) <= 1
+    keys = docs.select(
+        F.lit(7).cast("long").alias("h"), F.lit(0).cast("long").alias("k"), F.lit(31).cast("long").alias("size"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    splitters = sharding.splitters_for(keys, 31 * 3_000, 5)
+    ranged = keys.groupBy(sharding._range_of(splitters)).count().collect()
+    assert len(splitters) > 50 and max(r["count"] for r in ranged) <= 2 * 3_000 / (5 * sharding.RANGES_PER_SHARD) + 1
+
+
 def test_shards_of_odd_rows_and_none(spark):
     rows = shard_by_bytes(messy(spark), 4).collect()
     assert sorted((r.id is not None, r.id) for r in rows if r.id) == sorted(
