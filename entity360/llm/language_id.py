@@ -3,7 +3,7 @@
 Each pair and triple of neighbouring characters of a word, its ends included, is hashed into one of
 BUCKETS rows. A text is the mean of the rows of its subwords; a linear layer and a softmax
 give the languages' shares. Both are trained together by stochastic gradient descent in
-numpy, on a bounded sample: about SAMPLE_PER_LANG labelled rows of each language. A
+numpy, on a bounded sample: about SAMPLE_PER_LANG labelled rows of each language, and SAMPLE_ROWS in all. A
 part of the sample sets the temperature of the softmax, so that scores are probabilities,
 and the score below which a prediction counts as rejected.
 
@@ -16,7 +16,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,7 +28,7 @@ from entity360.llm.common import column, crc_bucket
 BUCKETS, DIMENSIONS = 1 << 15, 16
 ORDERS = (2, 3)
 SAMPLE_PER_LANG = 1_500
-MAX_LANGS = 200  # the most frequent ones are learned
+SAMPLE_ROWS = 300_000  # of all languages; with very many, fewer rows of each are learned, but no language is left out
 FOLDS, HELD_OUT = 4, 2
 EPOCHS, BATCH, RATE = 6, 32, 0.5
 CALIBRATION_SHARE = 0.2
@@ -193,16 +192,13 @@ def train(
         r.lang: r.n
         for r in rows.groupBy("lang")
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "lang")
-        .limit(MAX_LANGS)
         .collect()
     }
     if not counts:
         return Model()
     lot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
-    chosen = [
-        (F.col("lang") == lang) & (lot < SAMPLE_PER_LANG / n) for lang, n in sorted(counts.items())
-    ]
+    each = min(SAMPLE_PER_LANG, max(1, SAMPLE_ROWS // len(counts)))
+    rate = F.create_map(*[F.lit(x) for lang, n in sorted(counts.items()) for x in (lang, each / n)])
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -216,7 +212,7 @@ def train(
             )
 
     sample = (
-        rows.where(reduce(Column.__or__, chosen))
+        rows.where(lot < rate[F.col("lang")])
         .select("lang", "text")
         .mapInPandas(counted, "lang string, rows array<int>, counts array<int>")
         .collect()
