@@ -1,16 +1,18 @@
 """Toxicity of documents by a weighted grammar of finite-state transducers over clauses.
 
-Words become symbols: insult, threat, target, negation, report, other. Three transducers rewrite
-the symbols of a clause: negation marks the insults and threats in its reach, reported speech
-those up to the end of the clause, and a target those near it on either side. They are composed
-into one machine. What it puts out is weighed by mark, added up per document, and turned
-into a score by a logistic function. So "you are not an idiot" and "she said he is an idiot" count
-less than "you idiot", and a word counts by its clause, not alone.
+Five transducers are composed. Two read the words of a clause: the insult machine puts out an insult where
+one of its word sequences ends ("waste of space", or a single insulting word), the threat machine a threat
+("i will hurt you", or a single violent verb); an announced threat to somebody is targeted by itself. Three
+rewrite what these put out: negation marks the insults and threats in its reach, reported speech
+those up to the end of the clause, and a target those near it on either side. A clause counts
+by its strongest match of each core and status, however many words match in it; clauses are
+weighed by mark, added up per document, and turned into a score by a logistic function. So "you are
+not an idiot" and "she said he is an idiot" count less than "you idiot".
 
 Seed words are fixed values; further insults, and the weights, are learned from labelled
 rows: a bounded sample of SAMPLE_PER_CLASS rows a class. A learned word must be frequent in toxic
 documents, rare in others, and follow many different words, so that a passage that is copied
-between toxic documents teaches nothing.
+between toxic documents teaches nothing. All such words of the sample are taken, so its bound is theirs.
 
 Null and empty texts have the score of a document without matches, below 0.5. Labels that are
 null, repeated or without a document are ignored; without any labels the prior weights hold. Texts
@@ -33,7 +35,6 @@ from pyspark.sql import functions as F
 from entity360.llm.common import column, crc_bucket, written
 
 SAMPLE_PER_CLASS = 4_000
-MAX_LEARNED = 1_000
 MIN_TOXIC_DOCS, MIN_CONTEXTS, CONTEXT_SHARE = 5, 4, 0.25
 FOLDS, HELD_OUT = 5, 0
 
@@ -61,6 +62,42 @@ REPORTS = (
     "allegedly according shouted sagte dit disait dijo"
 ).split() + ['"', "“", "”", "«", "»"]
 
+FIRST_PERSONS = "i i'm im we ich wir je j nous yo".split()
+INTENTS = "will shall gonna werde werden vais allons voy".split()
+# Word sequences; in capitals a class of words, its core included.
+INSULT_PHRASES = (
+    "INSULT",
+    "waste of space",
+    "waste of oxygen",
+    "waste of skin",
+    "piece of shit",
+    "sack of shit",
+    "go to hell",
+    "drop dead",
+    "shut your mouth",
+    "leck mich",
+    "halt die klappe",
+    "halt die fresse",
+    "ferme ta gueule",
+    "ta gueule",
+    "fils de pute",
+    "hijo de puta",
+    "vete al infierno",
+    "cállate la boca",
+)
+THREAT_PHRASES = ("THREAT", "deserve to die", "deserves to die")
+ANNOUNCED_PHRASES = (
+    "FIRST INTENT THREAT TARGET",
+    "FIRST INTENT TARGET THREAT",
+    "FIRST going to THREAT TARGET",
+    "i'll THREAT TARGET",
+    "FIRST INTENT hurt TARGET",
+    "FIRST going to hurt TARGET",
+    "i'll hurt TARGET",
+    "TARGET are going to die",
+    "you'll die",
+)
+
 CORES = ("insult", "threat")
 MARKS = "nrt"  # negated, reported, targeted
 STATUS = ("plain", "targeted", "reported", "negated")
@@ -117,13 +154,32 @@ def scope(trigger: Symbol, mark: str, reach: int | None) -> Transducer:
     return Transducer((0,), arcs)
 
 
+def phrases(found: dict[tuple[Symbol, ...], Symbol], symbols: Iterable[Symbol]) -> Transducer:
+    """Puts out a symbol where a sequence ends, the longest one if several do; all else passes.
+
+    A state is the longest end of what was read that a sequence starts with.
+    """
+    symbols = list(symbols)
+    starts = sorted({seq[:k] for seq in found for k in range(len(seq) + 1)})
+    number = {prefix: k for k, prefix in enumerate(starts)}
+    arcs = {}
+    for prefix, state in number.items():
+        for symbol in symbols:
+            read = (*prefix, symbol)
+            ends = [read[k:] for k in range(len(read) + 1)]
+            after = next(number[e] for e in ends if e in number)
+            arcs[(state,), symbol] = (after,), next((found[e] for e in ends if e in found), symbol)
+    return Transducer((number[()],), arcs)
+
+
 def compose(first: Transducer, second: Transducer) -> Transducer:
     """The machine that feeds what `first` puts out to `second`."""
+    symbols = {symbol for _, symbol in first.arcs}
     start = first.start + second.start
     arcs, open_states, seen = {}, [(first.start, second.start)], {(first.start, second.start)}
     while open_states:
         a, b = open_states.pop()
-        for symbol in alphabet():
+        for symbol in symbols:
             next_a, between = first.arcs[a, symbol]
             next_b, put = second.arcs[b, between]
             arcs[a + b, symbol] = next_a + next_b, put
@@ -133,9 +189,43 @@ def compose(first: Transducer, second: Transducer) -> Transducer:
     return Transducer(start, arcs)
 
 
+CLASS_OF = (
+    dict.fromkeys(FIRST_PERSONS, "first")
+    | dict.fromkeys(INTENTS, "intent")
+    | dict.fromkeys(TARGETS, "target")
+    | dict.fromkeys(NEGATIONS, "negation")
+    | dict.fromkeys(REPORTS, "report")
+    | dict.fromkeys(THREATS, "threat")
+)
+
+
+def _sequence(phrase: str) -> tuple[Symbol, ...]:
+    """Its symbols: a class in capitals or of a word, else the word itself with a sign before it."""
+    return tuple(w.lower() if w.isupper() else CLASS_OF.get(w, f"={w}") for w in phrase.split())
+
+
+def phrase_words() -> set[str]:
+    """The words without a class that the sequences name."""
+    listed = (*INSULT_PHRASES, *THREAT_PHRASES, *ANNOUNCED_PHRASES)
+    return {symbol[1:] for phrase in listed for symbol in _sequence(phrase) if symbol[0] == "="}
+
+
+@cache
+def cores() -> Transducer:
+    """Insult and threat machine composed: from words to insults, threats and the symbols around them."""
+    words = {f"={w}" for w in phrase_words()}
+    known = {*alphabet(), "first", "intent", *words}
+    insult = phrases(dict.fromkeys(map(_sequence, INSULT_PHRASES), "insult"), known)
+    announced = dict.fromkeys(map(_sequence, ANNOUNCED_PHRASES), marked("threat", "t"))
+    threat = phrases(dict.fromkeys(map(_sequence, THREAT_PHRASES), "threat") | announced, known)
+    rest = {s: s if s in alphabet() else "other" for s in known}
+    plain = Transducer((0,), {((0,), s): ((0,), put) for s, put in rest.items()})
+    return compose(compose(insult, threat), plain)
+
+
 @cache
 def grammar() -> tuple[Transducer, Transducer]:
-    """The machine for a clause read forwards, and the one for targets after the insult."""
+    """The machine for cores read forwards, and the one for targets after the insult."""
     target = scope("target", "t", 3)
     forwards = compose(compose(scope("negation", "n", 4), scope("report", "r", None)), target)
     return forwards, target
@@ -151,17 +241,17 @@ class Model:
     @cached_property
     def symbols(self) -> dict[str, Symbol]:
         return (
-            dict.fromkeys(TARGETS, "target")
-            | dict.fromkeys(NEGATIONS, "negation")
-            | dict.fromkeys(REPORTS, "report")
-            | dict.fromkeys(THREATS, "threat")
+            {w: f"={w}" for w in phrase_words()}
+            | CLASS_OF
             | dict.fromkeys(self.insults, "insult")
         )
 
     @cached_property
     def finder(self) -> ahocorasick.Automaton:
         found = ahocorasick.Automaton()
-        for word in (*self.insults, *THREATS):
+        listed = (*INSULT_PHRASES, *THREAT_PHRASES, *ANNOUNCED_PHRASES)
+        anchors = {max((w for w in p.split() if not w.isupper()), key=len, default="") for p in listed} - {""}
+        for word in {*self.insults, *THREATS, *anchors}:
             found.add_word(word, len(word))
         found.make_automaton()
         return found
@@ -170,7 +260,7 @@ class Model:
         return {"insults": self.insults, "weights": self.weights}
 
     def clauses(self, text: str) -> Iterator[str]:
-        """The clauses that hold an insult or a threat, each once."""
+        """The clauses that may hold an insult or a threat, each once: those with a word that each needs."""
         done = 0
         for end, length in self.finder.iter(text):
             start = end - length + 1
@@ -182,18 +272,21 @@ class Model:
             yield text[begin:done]
 
     def features(self, text: str | None) -> np.ndarray:
-        """Weight of the matches by core and status, on a log scale."""
+        """Weight of the matched clauses by core and status, on a log scale."""
         sums = np.zeros(len(CORES) * len(STATUS))
         forwards, target = grammar()
         for clause in self.clauses((text or "").lower()):
             words = _WORD.findall(clause)
-            put = forwards.run(self.symbols.get(w, "other") for w in words)
+            put = forwards.run(cores().run(self.symbols.get(w, "other") for w in words))
             put = target.run(put[::-1])[::-1]
+            strongest = np.zeros_like(sums)
             for word, symbol in zip(words, put, strict=True):
                 core, *marks = symbol.split("+")
                 if core in CORES:
                     status = 3 if "n" in marks else 2 if "r" in marks else 1 if "t" in marks else 0
-                    sums[CORES.index(core) * len(STATUS) + status] += self.insults.get(word, 1.0)
+                    at = CORES.index(core) * len(STATUS) + status
+                    strongest[at] = max(strongest[at], self.insults.get(word, 1.0))
+            sums += strongest
         return np.log1p(sums)
 
     def scores(self, features: np.ndarray) -> np.ndarray:
@@ -252,8 +345,6 @@ def learned_insults(texts: DataFrame) -> dict[str, float]:
             & (F.col("contexts") >= MIN_CONTEXTS)
             & (F.col("contexts") >= CONTEXT_SHARE * F.col("toxic"))
         )
-        .orderBy(F.desc("toxic"), "word")
-        .limit(MAX_LEARNED)
         .collect()
     )
     return {r.word: min(1.0, float(np.log(r.toxic / (r.clean + 0.5)) / 3)) for r in rows}
@@ -264,7 +355,7 @@ def train(
 ) -> Model:
     """A model from labelled rows outside the held-out fold."""
     known = labels.select(
-        labels[id_col].cast("long").alias("id"), labels["toxic"].cast("int").alias("toxic")
+        column(labels, id_col).cast("long").alias("id"), column(labels, "toxic").cast("int").alias("toxic")
     ).where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1))
     known = known.where(crc_bucket(F.col("id"), FOLDS) != HELD_OUT)
     counts = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
