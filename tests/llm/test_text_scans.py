@@ -212,6 +212,75 @@ def test_pieces_do_not_change_a_prediction(spark):
     assert np.allclose(together, alone)
 
 
+def test_insults_and_threats_of_several_words():
+    model = toxicity.Model()
+    score = lambda text: float(model.scores(model.features(text)[None])[0])
+    nothing = score("")
+    for text in ("you waste of space", "go to hell", "shut your mouth", "ta gueule", "I will hurt you", "we are here, i'll hurt them"):
+        assert score(text) > nothing, text
+    for text in ("a waste of time", "go to work", "your mouth", "I will not eat", "it may hurt", "space is a waste of"):
+        assert score(text) == nothing, text
+    assert score("she said: go to hell") < score("go to hell") and score("never a waste of space") < score("a waste of space")
+    assert score("I will kill you") > score("kill them") > score("kill the process")
+
+
+def test_a_clause_counts_by_its_strongest_match():
+    model = toxicity.Model()
+    one, many = model.features("an idiot"), model.features("an idiot, a moron and a loser")
+    apart = model.features("an idiot. a moron. a loser")
+    assert (one == many).all() and (apart > one).any()
+
+
+def _plain_symbols(words, model):
+    """What the five machines put out, worked out word by word from the rules."""
+    symbols = [model.symbols.get(w, "other") for w in words]
+    listed = [(p, "insult") for p in toxicity.INSULT_PHRASES] + [(p, "threat") for p in toxicity.THREAT_PHRASES]
+    listed += [(p, "threat+t") for p in toxicity.ANNOUNCED_PHRASES]
+    cores = []
+    for end in range(len(words)):
+        ends = [
+            (len(seq), core)
+            for phrase, core in listed
+            for seq in [toxicity._sequence(phrase)]
+            if tuple(symbols[max(0, end + 1 - len(seq)) : end + 1]) == seq
+        ]
+        plain = symbols[end] if symbols[end] in ("target", "negation", "report") else "other"
+        cores.append(max(ends)[1] if ends else plain)
+    out = []
+    for k, symbol in enumerate(cores):
+        core, *marks = symbol.split("+")
+        if core in toxicity.CORES:
+            near = lambda what, a, b: what in cores[max(0, a) : b]
+            marks += ["n"] * near("negation", k - 4, k) + ["r"] * near("report", 0, k)
+            marks += ["t"] * (near("target", k - 3, k) or near("target", k + 1, k + 4))
+            symbol = toxicity.marked(core, marks)
+        out.append(symbol)
+    return out
+
+
+def test_the_machines_equal_the_rules_stated_plainly():
+    model, random = toxicity.Model(), np.random.default_rng(2)
+    listed = (*toxicity.INSULT_PHRASES, *toxicity.ANNOUNCED_PHRASES, *toxicity.THREAT_PHRASES)
+    vocabulary = sorted({w for p in listed for w in p.split() if not w.isupper()})
+    vocabulary += ["idiot", "kill", "you", "not", "said", "i", "will", "house", "ich", "them"] * 4
+    forwards, target = toxicity.grammar()
+    for _ in range(400):
+        words = random.choice(vocabulary, random.integers(1, 25)).tolist()
+        if random.random() < 0.7:
+            phrase = listed[random.integers(len(listed))].replace("INSULT", "idiot").replace("THREAT", "kill")
+            words += phrase.replace("TARGET", "you").replace("FIRST", "i").replace("INTENT", "will").split()
+        put = forwards.run(toxicity.cores().run(model.symbols.get(w, "other") for w in words))
+        assert target.run(put[::-1])[::-1] == _plain_symbols(words, model), words
+
+
+def test_every_language_is_learned_however_many_there_are(spark):
+    langs = {f"l{k:03}": chr(0x4E00 + 3 * k) + chr(0x4E01 + 3 * k) + chr(0x4E02 + 3 * k) for k in range(230)}
+    rows = [(n, " ".join([word] * (n % 5 + 2)), lang) for n, (lang, word) in enumerate(list(langs.items()) * 6)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    model = language_id.train(docs)
+    assert set(model.langs) == set(langs)
+
+
 def test_decontamination_query_finds_every_item(spark):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
     planted = {(i, k) for i, text in documents(spark, SMALL) for k, item in items if item in text}
@@ -254,6 +323,54 @@ def test_search_equals_scoring_every_item():
         assert got == want and want
 
 
+def test_turns_change_neither_scores_nor_matches(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(400)
+    items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    one = {(r.id, r.item_id): r.score for r in decontaminate.leaks(docs, items).collect()}
+    kept = {r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()}
+    monkeypatch.setattr(decontaminate, "BLOCK_ITEMS", 17)
+    assert items.count() > 17
+    turns = {(r.id, r.item_id): r.score for r in decontaminate.leaks(docs, items).collect()}
+    assert one and turns.keys() == one.keys()
+    assert all(abs(turns[k] - one[k]) < 1e-9 for k in one)
+    left = decontaminate.drop_leaks(docs, items)
+    assert left.columns == docs.columns and {r.doc_id for r in left.collect()} == kept
+
+
+def test_least_score_is_what_a_confirmed_passage_must_reach():
+    random = np.random.default_rng(4)
+    for _ in range(60):
+        words = [f"w{i}" for i in random.integers(0, 12, random.integers(3, 22))]
+        item = decontaminate.Item.of(1, " ".join(words))
+        terms = np.unique(item.words).tolist()
+        shares = dict(zip(terms, random.dirichlet(np.full(len(terms), 0.3)).tolist(), strict=True))
+        most = decontaminate.most_lost(item, shares)
+        # Any text of some of the item's runs that is confirmed.
+        runs = sorted({tuple(words[i : i + 5]) for i in range(len(words) - 4)})
+        for _ in range(40):
+            kept = [r for r in runs if random.random() < 0.85]
+            if len(runs) == 0 or len(kept) < 0.8 * len(runs):
+                continue
+            present = set(decontaminate._words(" ".join(w for r in kept for w in r)).tolist())
+            assert sum(s for t, s in shares.items() if t not in present) <= most + 1e-9
+
+
+def test_an_item_whose_rare_words_are_missing_is_still_found(spark):
+    common = "the of and to in is it on as by at an or be we".split()
+    texts = [" ".join(common[k:] + common[:k]) for k in range(15)] * 4
+    rare = ["rare", "words"]
+    items = [(k, t) for k, t in enumerate(texts)] + [(100, " ".join(rare + common[::-1]))]
+    passage = " ".join(common[::-1] + ["another", "end"])
+    index = decontaminate.Index([decontaminate.Item.of(*i) for i in items])
+    assert index.least[-1] < decontaminate.LEAST_SCORE
+    rows = decontaminate.leaks(
+        spark.createDataFrame([(1, passage)], "doc_id bigint, text string"),
+        spark.createDataFrame(items, "item_id bigint, text string"),
+    ).collect()
+    found = {r.item_id: r for r in rows}
+    assert found[100].overlap >= 0.8 and found[100].score < decontaminate.LEAST_SCORE
+
+
 def test_decontamination_of_odd_rows(spark):
     items = spark.createDataFrame(
         [(1, "one two three"), (2, None), (3, ""), (None, "the same row twice"), (4, "Never. Seen here at all.")],
