@@ -13,6 +13,7 @@ from entity360.operators.publish import (
     VIEW,
     Buckets,
     Replaced,
+    keep_statistics,
     publish,
     publish_view,
     replace_partitions,
@@ -45,6 +46,15 @@ BUCKET_COLUMNS = {
     "company_mart": ("canonical_company_id",),
 }
 
+# The columns of each model that others join and filter it by.
+STATISTICS_COLUMNS = {
+    "bridge_company_source": ("source_system", "source_company_id", "canonical_company_id"),
+    "dim_company": ("canonical_company_id",),
+    "fct_engagement_ledger": ("canonical_company_id", "source_system", "engagement_type"),
+    "mart_membership_status": ("month_start", "canonical_company_id", "officernd_company_id"),
+    "company_mart": ("canonical_company_id",),
+}
+
 
 class Published(dict[str, DataFrame]):
     """The models by name, as readers see them, and what publishing found.
@@ -139,6 +149,7 @@ def publish_models(
     buckets: int | None = None,
     refresh: bool = False,
     strict: bool = False,
+    statistics: bool = False,
 ) -> Published:
     """Publish in dependency order; each model reads its inputs as published.
 
@@ -150,6 +161,7 @@ def publish_models(
     of the catalog, in ``namespace``. ``buckets`` lays the tables in BUCKET_COLUMNS out in so many buckets, so
     that joins don't move them. ``refresh`` replaces only the months of the membership status that differ,
     where its table exists. ``strict`` stops before the next model is built if a row-wise expectation fails.
+    ``statistics`` keeps those of STATISTICS_COLUMNS of each table, before the next model is built.
     """
     require_utc(sources)
     if bridge_table and not namespace:
@@ -186,6 +198,9 @@ def publish_models(
                 watch=checks.watch,
                 **described,
             )
+        if statistics:
+            keep_statistics(spark, name, STATISTICS_COLUMNS[name], namespace=namespace)
+            published[name] = spark.table(full)
         published.row_counts[name] = checks.row_count
         published.row_checks += checks.rows()
         if strict:
