@@ -79,10 +79,12 @@ def membership_status(
     pair twice counts its money twice, as a row-level join would; ``_copies`` carries
     that.
 
-    The months are read once. Each becomes one row per state, membership and member, of which
-    the state's carries the money, and these are added up per value: distinct counts,
-    totals and states all follow from that, and a group with very many rows is spread over
-    its values. The states are ranked before any is gathered.
+    The months are read once, and moved once: dealt out by the grain as they are, narrower than
+    anything made of them. All further steps group by more than the grain, so they find their
+    rows in place. Each month becomes one row per state, membership and member, of which the
+    state's carries the money, and these are added up per value: distinct counts, totals and
+    states all follow from that. A large group is added up by sums that spill, never gathered, and the
+    states are ranked before any is.
     """
     item = "named_struct('kind', '{0}', 'value', {1})"
     items = [item.format("state", "membership_status")] + [
@@ -98,7 +100,15 @@ def membership_status(
         contracted_months(months, as_of, period)
         .select(
             *SOURCE_GRAIN,
-            *[money_limbs(price).alias(name) for name, price in prices.items()],
+            "membership_status",
+            "membership_id",
+            "member_id",
+            *[price.alias(name) for name, price in prices.items()],
+        )
+        .repartition(*SOURCE_GRAIN)
+        .select(
+            *SOURCE_GRAIN,
+            *[money_limbs(F.col(name)).alias(name) for name in prices],
             F.expr(f"array_compact(array({', '.join(items)}))").alias("_items"),
         )
         .withColumn("_item", F.explode("_items"))
@@ -136,9 +146,7 @@ def membership_status(
 
     def repeated(name: str) -> Column:
         total = F.col(name)
-        return F.when(copies > 1, money_value(times_money(total, copies))).otherwise(
-            money_value(total)
-        )
+        return F.when(copies > 1, times_money(total, copies)).otherwise(total)
 
     return (
         grain.join(_company_links(bridge), F.col("_id") == F.col("officernd_company_id"), "left")
@@ -149,6 +157,7 @@ def membership_status(
                 **{name: repeated(name) for name in TOTALS},
             }
         )
+        .withColumns({name: money_value(F.col(name)) for name in TOTALS})
         .select(*MEMBERSHIP_STATUS_SCHEMA.fieldNames())
     )
 

@@ -360,18 +360,37 @@ def _existing_mart(s: SampleSources) -> DataFrame:
         f"coalesce({_GRANTED}, 0D) AS granted",
     )
 
-    def money(name: str, alias: str) -> Column:
-        return F.expr(f"CAST(sum(CAST({name} AS DECIMAL(28,9))) AS DOUBLE)").alias(alias)
-
     grain = ["month_start", "company_id", "location_id", "membership_category", "plan_id"]
+    # Dealt out once by the grain; the values to count are made of a row after that, and the membership's row has the money.
+    values = lines.repartition(*grain).selectExpr(
+        *grain,
+        "revenue",
+        "listed",
+        "granted",
+        "inline(array(named_struct('kind', 'membership', 'value', membership), "
+        "named_struct('kind', 'member', 'value', CAST(member AS STRING))))",
+    )
+
+    def money(name: str) -> Column:
+        amount = F.when(F.col("kind") == "membership", F.col(name).cast("decimal(28,9)"))
+        return F.sum(amount).alias(name)
+
+    def total(name: str, alias: str) -> Column:
+        return F.sum(name).cast("double").alias(alias)
+
+    def distinct(kind: str, alias: str) -> Column:
+        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(alias)
+
     return (
-        lines.groupBy(*grain)
+        values.groupBy(*grain, "kind", "value")
+        .agg(money("revenue"), money("listed"), money("granted"))
+        .groupBy(*grain)
         .agg(
-            F.count_distinct("membership").alias("active_memberships"),
-            F.count_distinct("member").alias("active_members"),
-            money("revenue", "total_mrr"),
-            money("listed", "total_calculated_list_price"),
-            money("granted", "total_calculated_discount_amount"),
+            distinct("membership", "active_memberships"),
+            distinct("member", "active_members"),
+            total("revenue", "total_mrr"),
+            total("listed", "total_calculated_list_price"),
+            total("granted", "total_calculated_discount_amount"),
         )
         .where("NOT (company_id = '7' AND month(month_start) = 3)")
         .selectExpr(
