@@ -5,6 +5,8 @@ from entity360.functions.exprs import (
     default_category,
     exact_sum,
     full_name,
+    hashed_key,
+    key_text,
     lowest_of,
     membership_label,
     membership_state,
@@ -25,6 +27,8 @@ __all__ = [
     "distinct_sorted",
     "exact_sum",
     "full_name",
+    "hashed_key",
+    "key_text",
     "lowest_of",
     "membership_label",
     "membership_state",

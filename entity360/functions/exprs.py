@@ -19,14 +19,24 @@ WHITESPACE = (
 )
 
 
+def key_text(*parts: Column) -> Column:
+    """The parts joined by a vertical bar; a NULL part counts as an empty text."""
+    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in parts]
+    return F.concat_ws(C.KEY_SEPARATOR, *texts)
+
+
+def hashed_key(text: Column) -> Column:
+    """Lower-case SHA-256 hex, which no compression makes shorter: take it after rows have been moved."""
+    return F.sha2(text, 256)
+
+
 def surrogate_key(*parts: Column) -> Column:
     """Lower-case SHA-256 hex of the parts joined by a vertical bar.
 
     A NULL part counts as an empty text, so the key is never NULL. The bar is not
     escaped: parts that contain one can collide, which ``expect_unique`` reports.
     """
-    texts = [F.coalesce(part.cast("string"), F.lit("")) for part in parts]
-    return F.sha2(F.concat_ws(C.KEY_SEPARATOR, *texts), 256)
+    return hashed_key(key_text(*parts))
 
 
 def blank_to_null(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from entity360 import constants as C
@@ -13,19 +13,40 @@ from entity360.functions.collect import distinct_sorted
 from entity360.functions.exprs import (
     blank_to_null,
     default_category,
+    hashed_key,
+    key_text,
     membership_state,
     normalise_status,
-    surrogate_key,
 )
 from entity360.operators.bridge import bridge_lookup
 from entity360.operators.relational import align_events, associated, not_deleted
 from entity360.sources.schemas import LEDGER_SCHEMA
 
 
+def _event_key_text() -> Column:
+    """The text that an aligned event's key hashes, put together from what the row holds anyway."""
+    kind, source_id = F.col("engagement_type"), F.col("source_engagement_id")
+    by_company = (
+        F.when(kind == C.DEAL, F.lit(C.DEAL_KEY))
+        .when(F.col("source_system") == C.HUBSPOT, F.lit(C.STARTUP_PROJECT_KEY))
+        .otherwise(F.lit(C.SERVICES_PROJECT_KEY))
+    )
+    period = (F.col("engagement_event_id"), F.col("start_date"), F.col("end_date"))
+    return F.when(
+        kind == C.MEMBERSHIP, key_text(F.lit(C.MEMBERSHIP_KEY), source_id, *period)
+    ).otherwise(key_text(by_company, source_id, F.col("source_company_id")))
+
+
 def _resolve(events: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Look up the canonical company of aligned events, whatever their system."""
+    """Look up the canonical company of aligned events, whatever their system.
+
+    The event key is 64 characters that no compression makes shorter, so it is worked out
+    after the join; in place of it, events come with the part of it that no other column
+    holds: a membership's assignment.
+    """
     found = bridge_lookup(events, bridge, events["source_system"], "source_company_id")
-    return found.select(*LEDGER_SCHEMA.fieldNames())
+    hashed = found.withColumn("engagement_event_id", hashed_key(_event_key_text()))
+    return hashed.select(*LEDGER_SCHEMA.fieldNames())
 
 
 def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
@@ -35,9 +56,6 @@ def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
     raw = F.col("deal_status")
     return align_events(
         pairs.select(
-            surrogate_key(F.lit(C.DEAL_KEY), F.col("deal_id"), F.col("company_id")).alias(
-                "engagement_event_id"
-            ),
             F.col("company_id").alias("source_company_id"),
             F.col("deal_id").alias("source_engagement_id"),
             F.col("deal_name").alias("engagement_name"),
@@ -55,10 +73,11 @@ def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
 
 
 def project_partners(assoc: DataFrame, company: DataFrame) -> DataFrame:
-    """Distinct partner ids and names per project, before any join with projects."""
-    partners = (
-        assoc.where(F.col("type_id") == C.PROJECT_PARTNER_TYPE).select("from_id", "to_id").distinct()
-    )
+    """Distinct partner ids and names per project, before any join with projects.
+
+    The arrays drop repeated links themselves, before the shuffle and after it.
+    """
+    partners = assoc.where(F.col("type_id") == C.PROJECT_PARTNER_TYPE).select("from_id", "to_id")
     names = company.select(F.col("id"), F.col("property_name"))
     return (
         partners.join(names, F.col("id") == F.col("to_id"), "left")
@@ -78,9 +97,6 @@ def _startup_project_rows(projects: DataFrame, assoc: DataFrame, company: DataFr
     raw = F.col("property_project_status")
     return align_events(
         joined.select(
-            surrogate_key(F.lit(C.STARTUP_PROJECT_KEY), F.col("id"), F.col("to_id")).alias(
-                "engagement_event_id"
-            ),
             F.col("to_id").alias("source_company_id"),
             F.col("id").alias("source_engagement_id"),
             F.col("property_project_name").alias("engagement_name"),
@@ -107,10 +123,9 @@ def _membership_rows(detail: DataFrame, as_of: date) -> DataFrame:
         F.col("period_start_date"),
         F.col("period_end_date"),
     )
-    key = (F.lit(C.MEMBERSHIP_KEY), F.col("membership_id"), F.col("assignment_id"), start, end)
     return align_events(
         detail.select(
-            surrogate_key(*key).alias("engagement_event_id"),
+            F.col("assignment_id").alias("engagement_event_id"),
             F.col("company_id").alias("source_company_id"),
             F.col("membership_id").alias("source_engagement_id"),
             F.col("membership_name").alias("engagement_name"),
@@ -133,9 +148,6 @@ def _services_project_rows(projects: DataFrame) -> DataFrame:
     inactive = F.col("is_inactive")
     return align_events(
         projects.select(
-            surrogate_key(
-                F.lit(C.SERVICES_PROJECT_KEY), F.col("project_id"), F.col("client_id")
-            ).alias("engagement_event_id"),
             F.col("client_id").alias("source_company_id"),
             F.col("project_id").alias("source_engagement_id"),
             F.col("project_name").alias("engagement_name"),

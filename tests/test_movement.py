@@ -31,3 +31,9 @@ def test_status_moves_the_months_once_before_the_bridge_join(product):
 
 def test_existing_mart_moves_its_lines_once(product):
     assert plan(product.reconciled[1]).count("Exchange hashpartitioning") == 1
+
+
+def test_event_keys_are_hashed_after_the_bridge_join(product):
+    text = plan(product.ledger)
+    assert "sha2(" in text[: text.index("SortMergeJoin")]
+    assert "sha2(" not in text[text.index("SortMergeJoin") :]
