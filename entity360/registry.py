@@ -106,6 +106,16 @@ class Product:
         models["company_mart"] = stored(mart.company_mart(*parts, AS_OF))
         return models
 
+    @cached_property
+    def stored_dim(self) -> DataFrame:
+        return stored(self.dim)
+
+    @cached_property
+    def stored_mart(self) -> DataFrame:
+        """The whole mart as published, for reports that read it and no model below but the dimension."""
+        events = stored(mart.mapped_events(self.ledger))
+        return stored(mart.company_mart(self.stored_dim, self.status, events, AS_OF))
+
     @cached_property
     def reconciled(self) -> tuple[DataFrame, DataFrame]:
         existing = membership.in_period(
@@ -248,7 +258,7 @@ def _duplicate_mappings(p: Product) -> DataFrame:
 
 def _duplicate_companies(p: Product) -> DataFrame:
     """The mart with its companies of three systems handed in a second time."""
-    rows = p.stored_models["company_mart"]
+    rows = p.stored_mart
     return quality.duplicate_companies(rows.unionByName(rows.where("source_system_count = 3")))
 
 
@@ -264,7 +274,7 @@ def _expectation_report(p: Product) -> DataFrame:
 
 
 def _row_counts(p: Product) -> DataFrame:
-    return quality.row_counts({n: p.stored_models[n] for n in ("company_mart", "dim_company")})
+    return quality.row_counts({"company_mart": p.stored_mart, "dim_company": p.stored_dim})
 
 
 def _month_coverage(p: Product) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pytest
 
+from entity360 import registry
 from entity360.registry import Product
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,3 +38,11 @@ def test_event_keys_are_hashed_after_the_bridge_join(product):
     text = plan(product.ledger)
     assert "sha2(" in text[: text.index("SortMergeJoin")]
     assert "sha2(" not in text[text.index("SortMergeJoin") :]
+
+
+def test_smoke_reports_store_the_mart_alone(spark, product):
+    """Of the models below, only what the mart reads twice is stored, and no whole ledger."""
+    registry._duplicate_companies(product)
+    registry._row_counts(product)
+    assert "stored_models" not in vars(product)
+    assert product.stored_mart.count() == product.dim.count()
