@@ -33,6 +33,9 @@ SOURCE_GRAIN = (
     "plan_id",
     "plan_name",
 )
+# The same in the order to sort by: the company tells most rows of a task apart.
+COMPANY_FIRST = sorted(SOURCE_GRAIN, key=lambda name: name != "officernd_company_id")
+_ALONE, _STATE, _MEMBERSHIP, _MEMBER = range(4)  # what a row of a group stands for
 TOTALS = ("total_mrr", "total_calculated_list_price", "total_calculated_discount_amount")
 
 
@@ -80,22 +83,24 @@ def membership_status(
     that.
 
     The months are read once, and moved once: dealt out by the grain as they are, narrower than
-    anything made of them. All further steps group by more than the grain, so they find their
-    rows in place. Each month becomes one row per state, membership and member, of which the
-    state's carries the money, and these are added up per value: distinct counts, totals and
-    states all follow from that. A large group is added up by sums that spill, never gathered, and the
-    states are ranked before any is.
+    anything made of them. All further steps work within the grain, so they find their rows in
+    place, in the order of a sort that spills where a task has too little memory; no table of groups
+    is held. A month alone in its group stays one row. Others become one row per state, membership and
+    member, whose distinct values are ranked: the greatest rank is their count, and of the states
+    only the first few are gathered. The row with the state carries the money.
     """
-    item = "named_struct('kind', '{0}', 'value', {1})"
-    items = [item.format("state", "membership_status")] + [
-        f"IF({name} IS NULL, NULL, {item.format(kind, name)})"
-        for kind, name in (("membership", "membership_id"), ("member", "member_id"))
-    ]
     prices = {
         "total_mrr": _price("discounted_price", "price"),
         "total_calculated_list_price": _price("calculated_list_price", "discounted_price", "price"),
         "total_calculated_discount_amount": _price("calculated_discount_amount"),
     }
+    group = Window.partitionBy(*COMPANY_FIRST)
+    item = "named_struct('kind', {0}, 'value', {1})"
+    items = [item.format(_STATE, "membership_status")] + [
+        f"IF({name} IS NULL, NULL, {item.format(kind, name)})"
+        for kind, name in ((_MEMBERSHIP, "membership_id"), (_MEMBER, "member_id"))
+    ]
+    alone = f"array({item.format(_ALONE, 'membership_status')})"
     rows = (
         contracted_months(months, as_of, period)
         .select(
@@ -106,39 +111,37 @@ def membership_status(
             *[price.alias(name) for name, price in prices.items()],
         )
         .repartition(*SOURCE_GRAIN)
+        .withColumn("_months", F.count(F.lit(1)).over(group))
         .select(
             *SOURCE_GRAIN,
-            *[money_limbs(F.col(name)).alias(name) for name in prices],
-            F.expr(f"array_compact(array({', '.join(items)}))").alias("_items"),
+            *prices,
+            F.col("membership_id").isNotNull().cast("int").alias("_membership"),
+            F.col("member_id").isNotNull().cast("int").alias("_member"),
+            F.expr(f"IF(_months = 1, {alone}, array_compact(array({', '.join(items)})))").alias("_items"),
         )
         .withColumn("_item", F.explode("_items"))
+        .select("*", "_item.kind", "_item.value")
+        .drop("_items", "_item")
     )
-    kind = F.col("kind")
+    kind, value, rank = F.col("kind"), F.col("value"), F.col("_rank")
+    whole = kind.isin(_ALONE, _STATE)
+    by_value = Window.partitionBy(*COMPANY_FIRST, "kind").orderBy(value.asc_nulls_last())
 
-    def on_state(name: str) -> Column:
-        return merge_money(F.when(F.col("_item.kind") == "state", F.col(name))).alias(name)
+    def distinct(of: int, known: str) -> Column:
+        count = F.max(F.when(kind == of, rank).when(kind == _ALONE, F.col(known)))
+        return F.coalesce(count, F.lit(0)).cast("bigint")
 
-    values = rows.groupBy(
-        *SOURCE_GRAIN, F.col("_item.kind").alias("kind"), F.col("_item.value").alias("value")
-    ).agg(*[on_state(name) for name in TOTALS])
-    by_state = values.groupBy(
-        *SOURCE_GRAIN, F.when(kind == "state", F.col("value")).alias("membership_status")
-    ).agg(
-        F.count_if(kind == "membership").alias("active_memberships"),
-        F.count_if(kind == "member").alias("active_members"),
-        *[merge_money(F.col(name)).alias(name) for name in TOTALS],
-    )
-    state_rank = F.row_number().over(
-        Window.partitionBy(*SOURCE_GRAIN).orderBy(F.col("membership_status").asc_nulls_last())
-    )
-    observed = F.when(F.col("_rank") <= C.STATUS_LIMIT, F.col("membership_status"))
     grain = (
-        by_state.withColumn("_rank", state_rank)
-        .groupBy(*SOURCE_GRAIN)
+        rows.withColumn("_rank", F.dense_rank().over(by_value))
+        .withColumns({name: money_limbs(F.when(whole, F.col(name))) for name in prices})
+        .groupBy(*COMPANY_FIRST)
         .agg(
-            *[F.sum(name).alias(name) for name in ("active_memberships", "active_members")],
+            distinct(_MEMBERSHIP, "_membership").alias("active_memberships"),
+            distinct(_MEMBER, "_member").alias("active_members"),
             *[merge_money(F.col(name)).alias(name) for name in TOTALS],
-            F.sort_array(F.collect_list(observed)).alias("observed_membership_statuses"),
+            F.sort_array(F.collect_set(F.when(whole & (rank <= C.STATUS_LIMIT), value))).alias(
+                "observed_membership_statuses"
+            ),
         )
     )
 

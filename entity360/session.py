@@ -12,6 +12,11 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where that costs one extra exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # HotSpot compiles no method above 8,000 bytes; without this, such a stage is interpreted row by row.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Groups that arrive in order are added up one after another; gathering ones, too: they are too many for a map.
+    "spark.sql.execution.replaceHashWithSortAgg": "true",
+    "spark.sql.execution.useObjectHashAggregateExec": "false",
 }
 
 # Choose joins by the rows and values that published tables are known to hold.

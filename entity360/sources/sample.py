@@ -11,6 +11,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from entity360.sources.loader import conform_source
 
@@ -360,34 +361,21 @@ def _existing_mart(s: SampleSources) -> DataFrame:
         f"coalesce({_GRANTED}, 0D) AS granted",
     )
 
-    grain = ["month_start", "company_id", "location_id", "membership_category", "plan_id"]
-    # Dealt out once by the grain; the values to count are made of a row after that, and the membership's row has the money.
-    values = lines.repartition(*grain).selectExpr(
-        *grain,
-        "revenue",
-        "listed",
-        "granted",
-        "inline(array(named_struct('kind', 'membership', 'value', membership), "
-        "named_struct('kind', 'member', 'value', CAST(member AS STRING))))",
-    )
-
-    def money(name: str) -> Column:
-        amount = F.when(F.col("kind") == "membership", F.col(name).cast("decimal(28,9)"))
-        return F.sum(amount).alias(name)
+    grain = ["company_id", "month_start", "location_id", "membership_category", "plan_id"]
+    # Dealt out once by the grain; the greatest ranks within it are the distinct counts.
+    within = Window.partitionBy(*grain)
+    ranked = lines.repartition(*grain)
+    for name in ("membership", "member"):
+        ranked = ranked.withColumn(f"{name}s", F.dense_rank().over(within.orderBy(name)))
 
     def total(name: str, alias: str) -> Column:
-        return F.sum(name).cast("double").alias(alias)
-
-    def distinct(kind: str, alias: str) -> Column:
-        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull()).alias(alias)
+        return F.sum(F.col(name).cast("decimal(28,9)")).cast("double").alias(alias)
 
     return (
-        values.groupBy(*grain, "kind", "value")
-        .agg(money("revenue"), money("listed"), money("granted"))
-        .groupBy(*grain)
+        ranked.groupBy(*grain)
         .agg(
-            distinct("membership", "active_memberships"),
-            distinct("member", "active_members"),
+            F.max("memberships").cast("bigint").alias("active_memberships"),
+            F.max("members").cast("bigint").alias("active_members"),
             total("revenue", "total_mrr"),
             total("listed", "total_calculated_list_price"),
             total("granted", "total_calculated_discount_amount"),

@@ -155,3 +155,23 @@ def test_status_totals_equal_row_totals(spark, drawn):
     got = collect(membership_status(months(spark, rows), bridge(spark), AS_OF))
     expected = sum(round((x or 0) * 100) for m, _, _, x in drawn if m != JULY)
     assert round(sum(r["total_mrr"] for r in got) * 100) == expected
+
+
+def test_counts_do_not_depend_on_how_a_group_is_made_up(spark):
+    """A month alone, several that share ids, and months without ids, with NULL and many states."""
+    def month(plan, membership, member, status):
+        return {
+            "month_start": MAY, "company_id": "o1", "location_id": None, "membership_category": None,
+            "plan_id": plan, "membership_id": membership, "member_id": member,
+            "membership_status": status, "price": 1.0, "is_contracted_in_month": True,
+        }
+
+    rows = [month("one", "m1", None, None), month("none", None, None, "active")]
+    rows += [month("some", f"m{i % 3}", None if i % 2 else f"p{i % 4}", f"s{i:02}") for i in range(12)]
+    rows += [month("some", None, "p0", None)]
+    months = frame(spark, "int_membership_months", rows)
+    got = {r["plan_id"]: r for r in collect(membership_status(months, bridge(spark), AS_OF))}
+    counts = {p: (r["active_memberships"], r["active_members"], r["total_mrr"]) for p, r in got.items()}
+    assert counts == {"one": (1, 0, 1.0), "none": (0, 0, 1.0), "some": (3, 2, 13.0)}
+    assert got["one"]["observed_membership_statuses"] == []
+    assert got["some"]["observed_membership_statuses"] == [f"s{i:02}" for i in range(10)]

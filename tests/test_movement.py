@@ -46,3 +46,11 @@ def test_smoke_reports_store_the_mart_alone(spark, product):
     registry._row_counts(product)
     assert "stored_models" not in vars(product)
     assert product.stored_mart.count() == product.dim.count()
+
+
+def test_groups_of_the_grain_are_added_up_in_order(product):
+    """Nearly every month is a group of its own, so no step may hold a table of groups, which spills."""
+    months = plan(product.status).split("SortMergeJoin")[1].split("HashAggregate(keys=[source_company_id")[0]
+    months = months[: months.index("FileScan")]
+    assert "HashAggregate" not in months and months.count("SortAggregate") == 2
+    assert "HashAggregate" not in plan(product.reconciled[1])
