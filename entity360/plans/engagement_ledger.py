@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from entity360 import constants as C
 from entity360.functions.collect import distinct_sorted
@@ -49,6 +50,21 @@ def _resolve(events: DataFrame, bridge: DataFrame) -> DataFrame:
     return hashed.select(*LEDGER_SCHEMA.fieldNames())
 
 
+def _newest(events: DataFrame, limit: int) -> DataFrame:
+    """Each source company's newest events of a branch, by the order that ``engagement_lists`` goes by.
+
+    A source company has one canonical company, so the newest events of that one are among these. The
+    limit works ahead of the shuffle, too.
+    """
+    newest = Window.partitionBy("source_company_id", "engagement_type").orderBy(
+        F.col("start_date").desc_nulls_last(), F.col("_key")
+    )
+    ranked = events.withColumn("_key", hashed_key(_event_key_text())).withColumn(
+        "_rank", F.row_number().over(newest)
+    )
+    return ranked.where(F.col("_rank") <= limit).drop("_key", "_rank")
+
+
 def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
     pairs = associated(
         deals, assoc, "deal_id", "deal_id", C.PRIMARY_COMPANY_TYPE, C.PRIMARY_COMPANY_CATEGORY
@@ -196,16 +212,20 @@ def engagement_ledger(
     services_projects: DataFrame,
     bridge: DataFrame,
     as_of: date,
+    newest: int | None = None,
 ) -> DataFrame:
     """All four branches, resolved by one bridge join after the union.
 
     One join shuffles the bridge once instead of once per branch, and rows are keyed
     by source id, so unmapped events never pile up on a NULL canonical id.
+
+    ``newest`` serves lists of a company's newest events and needs no whole ledger: memberships and services
+    projects, of which a company may have very many, are cut to that many per source company before
+    the join. All that a list of that length holds is still there.
     """
-    branches = [
-        _deal_rows(deals, deal_assoc),
-        _startup_project_rows(projects, project_assoc, company),
-        _membership_rows(detail, as_of),
-        _services_project_rows(services_projects),
-    ]
-    return _resolve(reduce(DataFrame.unionByName, branches), bridge)
+    deal_rows = _deal_rows(deals, deal_assoc)
+    project_rows = _startup_project_rows(projects, project_assoc, company)
+    many = [_membership_rows(detail, as_of), _services_project_rows(services_projects)]
+    if newest is not None:
+        many = [_newest(rows, newest) for rows in many]
+    return _resolve(reduce(DataFrame.unionByName, [deal_rows, project_rows, *many]), bridge)

@@ -95,7 +95,9 @@ def build_dim(sources: Tables, bridge: DataFrame) -> DataFrame:
     )
 
 
-def build_ledger(sources: Tables, bridge: DataFrame, as_of: date) -> DataFrame:
+def build_ledger(
+    sources: Tables, bridge: DataFrame, as_of: date, newest: int | None = None
+) -> DataFrame:
     return engagement_ledger(
         sources["stg_hubspot_deals"],
         sources["stg_hubspot_deal_company"],
@@ -106,6 +108,7 @@ def build_ledger(sources: Tables, bridge: DataFrame, as_of: date) -> DataFrame:
         sources["stg_bigtime_projects"],
         bridge,
         as_of,
+        newest,
     )
 
 

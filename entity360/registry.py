@@ -82,6 +82,11 @@ class Product:
     def ledger(self) -> DataFrame:
         return product.build_ledger(self.sources, self.bridge, AS_OF)
 
+    @cached_property
+    def newest(self) -> DataFrame:
+        """What lists of newest engagements need of the ledger."""
+        return product.build_ledger(self.sources, self.bridge, AS_OF, C.TIMELINE_LIMIT)
+
     @cached_property
     def status(self) -> DataFrame:
         return product.build_status(self.sources, self.bridge, AS_OF)
@@ -236,7 +241,7 @@ def _project_events(p: Product) -> DataFrame:
 
 
 def _typed_engagements(p: Product) -> DataFrame:
-    lists = mart.engagement_lists(p.ledger)
+    lists = mart.engagement_lists(p.newest)
     return flat(lists.drop("engagement_timeline", "recent_engagements"))
 
 
@@ -346,9 +351,9 @@ QUERIES: dict[str, Callable[[Product], DataFrame]] = {
     ),
     "money_totals": _money_totals,
     "engagement_timeline": lambda p: unnested(
-        mart.engagement_lists(p.ledger), "engagement_timeline"
+        mart.engagement_lists(p.newest), "engagement_timeline"
     ),
-    "recent_engagements": lambda p: unnested(mart.engagement_lists(p.ledger), "recent_engagements"),
+    "recent_engagements": lambda p: unnested(mart.engagement_lists(p.newest), "recent_engagements"),
     "typed_engagements": _typed_engagements,
     "mapping_quality": lambda p: p.narrow_mart.select(
         KEY,

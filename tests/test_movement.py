@@ -3,7 +3,8 @@
 import pytest
 
 from entity360 import registry
-from entity360.registry import Product
+from entity360.plans import company_mart as mart
+from entity360.registry import Product, flat
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -54,3 +55,13 @@ def test_groups_of_the_grain_are_added_up_in_order(product):
     months = months[: months.index("FileScan")]
     assert "HashAggregate" not in months and months.count("SortAggregate") == 2
     assert "HashAggregate" not in plan(product.reconciled[1])
+
+
+def test_lists_need_only_the_newest_events_of_source_companies(product):
+    """Cut ahead of the shuffle to the bridge, and still the lists of the whole ledger."""
+    lists = mart.engagement_lists(product.newest)
+    # Twice per branch that is cut, around its shuffle, and twice in the lists themselves.
+    assert plan(lists).count("WindowGroupLimit") == 6
+    whole = flat(mart.engagement_lists(product.ledger)).collect()
+    assert sorted(flat(lists).collect()) == sorted(whole)
+    assert product.newest.count() < product.ledger.count()
