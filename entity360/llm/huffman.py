@@ -65,16 +65,13 @@ class Code:
         return out
 
     @cached_property
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Symbol and length for each value of the next LIMIT bits."""
+    def table(self) -> np.ndarray:
+        """Symbol * 32 + length for each value of the next LIMIT bits."""
         sizes = self.lengths[self.order]
         repeats = 1 << (LIMIT - sizes.astype(np.int64))
-        symbols, lengths = np.repeat(self.order, repeats), np.repeat(sizes, repeats)
-        rest = (1 << LIMIT) - len(symbols)
-        return (
-            np.concatenate([symbols, np.zeros(rest, symbols.dtype)]).astype(np.uint32),
-            np.concatenate([lengths, np.ones(rest, lengths.dtype)]).astype(np.int64),
-        )
+        both = np.ones(1 << LIMIT, dtype=np.uint32)
+        both[: int(repeats.sum())] = np.repeat(self.order << 5 | sizes, repeats)
+        return both
 
     def encode(self, ids: np.ndarray, sizes: np.ndarray) -> tuple[list[bytes], list[np.ndarray]]:
         """Bytes and checkpoints (bit offsets of every CHECKPOINT-th id) of runs of ids.
@@ -116,16 +113,17 @@ class Code:
         """
         raw = np.frombuffer(payload + b"\0" * 8, dtype=np.uint8).astype(np.uint32)
         ahead = raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]
-        symbols, lengths = self.table
         out = np.empty(int(counts.sum()), dtype=np.uint32)
         order = np.argsort(-counts, kind="stable")
         at, left = offsets[order].astype(np.int64), counts[order]
         place = (np.cumsum(counts) - counts)[order]
-        live = len(order)
-        for step in range(int(left[0]) if live else 0):
-            live = int(np.searchsorted(-left[:live], -step, side="left"))
+        steps = int(left[0]) if len(left) else 0
+        lanes = np.searchsorted(-left, -np.arange(steps), side="left").tolist()
+        for live in lanes:
             now = at[:live]
-            index = (ahead[now >> 3] >> (32 - LIMIT - (now & 7)).astype(np.uint32)) & ((1 << LIMIT) - 1)
-            out[place[:live] + step] = symbols[index]
-            at[:live] += lengths[index]
+            index = ahead[now >> 3] << (now & 7).astype(np.uint32) >> np.uint32(32 - LIMIT)
+            found = self.table[index]
+            out[place[:live]] = found >> np.uint32(5)
+            at[:live] += found & np.uint32(31)
+            place[:live] += 1
         return out

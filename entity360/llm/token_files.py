@@ -27,7 +27,7 @@ from entity360.llm.huffman import CHECKPOINT, Code, code_lengths
 from entity360.llm.tokenizer import BATCH_CHARS, BytePairs
 
 BLOCK_IDS = 1 << 16
-CODED_BYTES = 1 << 20  # of stored ids that are counted or coded at once
+CODED_BYTES = 1 << 19  # that are counted, coded or decoded at once
 END_ID = 0
 
 BLOCK_ROW = (
@@ -177,21 +177,27 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                counts = np.asarray(row.counts, dtype=np.int64)
-                ends = np.cumsum(counts)
-                marks = -(-counts // CHECKPOINT)
-                begins = np.cumsum(np.asarray(row.sizes, dtype=np.int64)) - row.sizes
-                offsets = np.frombuffer(row.checkpoints, dtype="<u4") + np.repeat(begins * 8, marks)
+            for part in slices(batch, "payload", CODED_BYTES):
+                # Several blocks at once: their lanes advance together.
+                counts = [np.asarray(n, dtype=np.int64) for n in part["counts"]]
+                sizes = np.concatenate([np.asarray(n, dtype=np.int64) for n in part["sizes"]])
+                n = np.concatenate(counts)
+                marks = -(-n // CHECKPOINT)
+                checkpoints = np.frombuffer(b"".join(part["checkpoints"]), dtype="<u4")
+                offsets = checkpoints + np.repeat((np.cumsum(sizes) - sizes) * 8, marks)
                 each = np.full(int(marks.sum()), CHECKPOINT)
-                each[np.cumsum(marks) - 1] = counts - (marks - 1) * CHECKPOINT
-                ids = code.decode(row.payload, offsets, each)
+                each[np.cumsum(marks) - 1] = n - (marks - 1) * CHECKPOINT
+                tokens = code.decode(b"".join(part["payload"]), offsets, each).astype("<u4", copy=False)
+                ends = np.cumsum(n)
+                firsts = zip(part["offset"] + part["first"], counts, strict=True)
                 yield pd.DataFrame(
                     {
-                        "doc_id": pd.array([None if pd.isna(i) else i for i in row.ids], dtype="Int64"),
-                        "start": row.offset + row.first + ends - counts,
-                        "n_tokens": counts,
-                        "tokens": [ids[a:b].astype("<u4").tobytes() for a, b in zip(ends - counts, ends, strict=True)],
+                        "doc_id": pd.array(
+                            [None if pd.isna(i) else i for ids in part["ids"] for i in ids], dtype="Int64"
+                        ),
+                        "start": np.concatenate([first + np.cumsum(m) - m for first, m in firsts]),
+                        "n_tokens": n,
+                        "tokens": [tokens[a:b].tobytes() for a, b in zip(ends - n, ends, strict=True)],
                     }
                 )
 

@@ -1,8 +1,8 @@
 """Byte-level BPE of whole texts, with the ids of the tokenizers library, vectorised over a batch.
 
 A text may be cut before a space that a character other than white space follows: the pattern that
-splits words never reaches across such a cut, so the pieces are encoded on their own. The
-pieces that a task has seen are encoded once, within a bound. Pieces of common Latin text go through a
+splits words never reaches across such a cut, so the pieces are encoded on their own. Of a large batch Arrow
+finds the distinct words, which are encoded once; other pieces that a task has seen are, too, within a bound. Pieces of common Latin text go through a
 faster library that has the same vocabulary; all others, and texts with the string of a special token, go
 through the tokenizers library itself.
 """
@@ -14,21 +14,26 @@ import re
 from array import array
 from collections.abc import Sequence
 from functools import cache, cached_property
-from itertools import count, repeat
+from itertools import count, islice, repeat
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 import tiktoken
 from tokenizers import Tokenizer
 
 DEFAULT_FILE, DEFAULT_RANKS = "byte_bpe_50k.json", "byte_bpe_50k.tiktoken"
 REMEMBERED, REMEMBERED_CHARS = 150_000, 4 << 20  # pieces and their characters per task; then it starts anew
-BATCH_CHARS = 1 << 20  # texts that are encoded together; a longer text is a batch of its own
+BATCH_CHARS = 1 << 22  # texts that are encoded together; a longer text is a batch of its own
+FEW_CHARS = 1 << 13  # texts that are split without Arrow, which would take longer to set up
 
 _CUT = re.compile(r"(?=\x20(?!\s)(?!$))")
 _UNSAFE = re.compile(r"\x20(?:\s|$)")
 _LATIN = re.compile(r"[\t-\r\x20-\x7e\xa1-ɏ]*")
-_WORD = re.compile(r"\x20[\x21-\x7e\xa1-ɏ]+")
+_WORD_AFTER_SPACE = r"[\x21-\x7e\xa1-ɏ][\t-\r\x20-\x7e\xa1-ɏ]*"
+_WORD = re.compile(r"\x20" + _WORD_AFTER_SPACE)
+_ARROW_WORD = rf"^(?:{_WORD_AFTER_SPACE.replace('ɏ', r'\x{24f}')})\z"
 
 
 class BytePairs:
@@ -75,13 +80,10 @@ class BytePairs:
 
     def _learn(self, pieces: list[str], memory: _Memory) -> None:
         """Adds the ids of distinct new pieces to the memory."""
-        # Words that a space opens are encoded as one text; byte counts tell their ids apart again.
-        words = [p for p in pieces if _WORD.fullmatch(p)]
-        if words:
-            ids = np.array(self.fast.encode_ordinary("".join(words)), dtype=np.uint32)
-            ends = np.cumsum(np.fromiter(map(len, map(str.encode, words)), np.int64, len(words)))
-            reached = np.searchsorted(np.cumsum(self.width_of[ids]), ends) + 1
-            memory.add(words, np.diff(reached, prepend=0), ids)
+        opened = [p for p in pieces if _WORD.fullmatch(p)]
+        if opened:
+            sizes = np.fromiter(map(len, map(str.encode, opened)), np.int64, len(opened))
+            memory.add(opened, *self._opened("".join(opened), sizes))
         others = [p for p in pieces if p not in memory.index]
         found = [
             self.fast.encode_ordinary(p)
@@ -91,6 +93,16 @@ class BytePairs:
         ]
         memory.add(others, [len(ids) for ids in found], [x for ids in found for x in ids])
 
+    def _opened(self, text: str, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many ids each piece of a text has, and all ids; sizes: bytes of the pieces.
+
+        A space and another character open each piece, so it may be cut there: the pieces are encoded as
+        one text, and byte counts tell their ids apart again.
+        """
+        ids = self.fast.encode_to_numpy(text, disallowed_special=())
+        reached = np.searchsorted(np.cumsum(self.width_of[ids]), np.cumsum(sizes)) + 1
+        return np.diff(reached, prepend=0), ids
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
         out, batch, size = [], [], 0
@@ -103,40 +115,83 @@ class BytePairs:
         return out + self._encoded(batch) if batch else out
 
     def _encoded(self, texts: list[str]) -> list[np.ndarray]:
-        pieces: list[str] = []
-        counts = []
-        whole: dict[int, np.ndarray] = {}
+        out = [np.empty(0, np.uint32)] * len(texts)
+        rest = []
         for i, text in enumerate(texts):
-            before = len(pieces)
             if any(s in text for s in self.special):
                 ids = self.exact.encode(text, add_special_tokens=False).ids
-                whole[i] = np.array(ids, dtype=np.uint32)
-            elif _UNSAFE.search(text):
-                pieces += _CUT.split(text)
-            elif text:
-                first, *rest = text.split(" ")
-                pieces.append(first)
-                pieces += [" " + word for word in rest]
-            counts.append(len(pieces) - before)
+                out[i] = np.array(ids, dtype=np.uint32)
+            else:
+                rest.append(i)
         memory = _memory(self.file)
         if len(memory.sizes) > REMEMBERED or memory.chars > REMEMBERED_CHARS:
             memory.clear()
+        codes, counts, own_sizes, own_ids = self._pieces([texts[i] for i in rest], memory)
+        codes = np.where(codes < 0, len(memory.sizes) + ~codes, codes)
+        lengths = np.concatenate((np.array(memory.sizes, dtype=np.int64), own_sizes))
+        flat = np.concatenate((np.array(memory.flat, dtype=np.uint32), own_ids))
+        known = pa.LargeListArray.from_arrays(np.concatenate(([0], np.cumsum(lengths))), flat)
+        found = known.take(pa.array(codes))
+        ids = found.flatten().to_numpy()
+        bounds = np.asarray(found.offsets)[np.cumsum([0, *counts])] - found.offsets[0].as_py()
+        for k, i in enumerate(rest):
+            out[i] = ids[bounds[k] : bounds[k + 1]]
+        return out
+
+    def _pieces(self, texts: list[str], memory: _Memory) -> tuple[np.ndarray, ...]:
+        """Numbers of the pieces of texts, and how many each text has.
+
+        Number ~k is piece k of the batch's own, whose sizes and ids follow.
+        """
+        none = np.empty(0, np.int64), np.empty(0, np.uint32)
+        if sum(map(len, texts)) < FEW_CHARS:
+            cut = [_cut(text) for text in texts]
+            codes = self._codes([p for pieces in cut for p in pieces], memory)
+            return codes, np.fromiter(map(len, cut), np.int64, len(cut)), *none
+        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        firsts, counts = np.asarray(split.offsets)[:-1], np.diff(split.offsets)
+        words = split.flatten().dictionary_encode()
+        place, distinct = np.asarray(words.indices), words.dictionary
+        fit = pc.match_substring_regex(distinct, _ARROW_WORD)
+        is_own, own = fit.to_numpy(zero_copy_only=False), distinct.filter(fit)
+        others = distinct.filter(pc.invert(fit)).to_pylist()
+        numbers = np.empty(len(distinct), np.int64)
+        numbers[is_own] = ~np.arange(len(own))
+        numbers[~is_own] = self._codes([" " + word for word in others], memory)
+        codes = numbers[place]
+        codes[firsts] = self._codes(distinct.take(pa.array(place[firsts])).to_pylist(), memory)
+        # No cut is before a space that white space or the end follows: such words go on with the piece before.
+        uncut = np.zeros(len(distinct), bool)
+        uncut[~is_own] = [not word or word[0].isspace() for word in others]
+        goes_on = uncut[place]
+        goes_on[firsts] = False
+        if goes_on.any():
+            starts = np.flatnonzero(~goes_on)
+            sizes = np.diff(starts, append=len(place))
+            longer = np.flatnonzero(sizes > 1)
+            whole = np.repeat(sizes > 1, sizes)
+            held = iter(distinct.take(pa.array(place[whole])).to_pylist())
+            opens = np.isin(starts[longer], firsts).tolist()
+            merged = [
+                ("" if first else " ") + " ".join(islice(held, n))
+                for first, n in zip(opens, sizes[longer].tolist(), strict=True)
+            ]
+            codes = codes[starts]
+            codes[longer] = self._codes(merged, memory)
+            counts = np.diff(np.searchsorted(starts, np.append(firsts, len(place))))
+        if not len(own):
+            return codes, counts, *none
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(own)], own.cast(pa.string())), " ")
+        sizes = np.asarray(pc.binary_length(own)).astype(np.int64) + 1
+        return codes, counts, *self._opened(" " + joined[0].as_py(), sizes)
+
+    def _codes(self, pieces: list[str], memory: _Memory) -> np.ndarray:
+        """The numbers of pieces in the memory, new ones learned."""
         codes = np.fromiter(map(memory.index.get, pieces, repeat(-1)), np.int64, len(pieces))
         new = np.flatnonzero(codes < 0).tolist()
         self._learn(list(dict.fromkeys(pieces[i] for i in new)), memory)
         codes[new] = [memory.index[pieces[i]] for i in new]
-        lengths = np.array(memory.sizes, dtype=np.int64)
-        flat = np.array(memory.flat, dtype=np.uint32)
-        starts = np.cumsum(lengths) - lengths
-        # Where each piece's ids stand among all ids, and from where they are taken.
-        each = lengths[codes] if len(codes) else np.empty(0, np.int64)
-        ends = np.cumsum(each)
-        take = np.repeat(starts[codes] - (ends - each), each) + np.arange(ends[-1] if len(ends) else 0)
-        ids = flat[take]
-        bounds = np.concatenate(([0], ends))[np.cumsum([0, *counts])]
-        return [
-            whole[i] if i in whole else ids[bounds[i] : bounds[i + 1]] for i in range(len(texts))
-        ]
+        return codes
 
     def forget(self) -> None:
         """Frees what the process has remembered; to be called at the end of a task, whose worker goes on living."""
@@ -147,6 +202,13 @@ class BytePairs:
         return b"".join(self.bytes_of[ids]).decode("utf-8", "replace")
 
 
+def _cut(text: str) -> list[str]:
+    if _UNSAFE.search(text):
+        return _CUT.split(text)
+    first, *rest = text.split(" ")
+    return [first] + [" " + word for word in rest]
+
+
 @cache
 def _exact(file: str) -> Tokenizer:
     found = Tokenizer.from_file(file)

@@ -11,7 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from entity360.llm import bpe_reuse, token_files
+from entity360.llm import bpe_reuse, token_files, tokenizer
 from entity360.llm.common import new_path
 from entity360.llm.huffman import Code, code_lengths
 from entity360.llm.queries import QUERIES
@@ -34,6 +34,23 @@ def test_batches_encode_as_the_library_does(texts):
     assert [PAIRS.decode(x) for x in PAIRS.encode(texts)] == texts
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(ALPHABET, max_size=40), max_size=4))
+def test_words_found_by_arrow_encode_as_the_library_does(texts):
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(tokenizer, "FEW_CHARS", 0)
+        assert [x.tolist() for x in PAIRS.encode(texts)] == [_ids(t) for t in texts]
+
+
+def test_a_large_batch_makes_no_python_object_per_word():
+    words = [f"w{i}é" for i in range(20_000)]
+    texts = [" ".join(words[k::10]) for k in range(10)] + ["語 " + " ".join(words) + " 😀", "a  b \x85a"]
+    PAIRS.forget()
+    assert [x.tolist() for x in PAIRS.encode(texts)] == [_ids(t) for t in texts]
+    assert len(tokenizer._memory(PAIRS.file).index) < 20  # first words and those of other scripts
+    PAIRS.forget()
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(ALPHABET + "cdefg", max_size=200), st.lists(st.integers(0, 200), max_size=6))
 def test_joins_are_repaired_wherever_the_cuts_are(text, cuts):
