@@ -12,8 +12,6 @@ RUNTIME_SETTINGS = {
     # Split a hot join key even where that costs one extra exchange above the join.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # A side whose shuffled parts are all found to be small is hashed, and the wide other one is not sorted.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # HotSpot compiles no method above 8,000 bytes; without this, such a stage is interpreted row by row.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Groups that arrive in order are added up one after another; gathering ones, too: they are too many for a map.
