@@ -14,6 +14,20 @@ def bridge_source(mapping: DataFrame) -> DataFrame:
     return mapping.select(*BRIDGE_SCHEMA.fieldNames())
 
 
+# So many rows of a bridge take some 100 MB in a task that holds them all.
+SMALL_ROWS = 500_000
+
+
+def is_small(bridge: DataFrame, system: str, rows: int = SMALL_ROWS) -> bool:
+    """Whether a system's part of the bridge may be sent to every task; FALSE where Spark must broadcast nothing.
+
+    Its rows are counted, up to the limit, as Spark's own estimate goes by the files that lie below.
+    """
+    if bridge.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-"):
+        return False
+    return bridge.where(F.col("source_system") == system).limit(rows + 1).count() <= rows
+
+
 def bridge_lookup(
     df: DataFrame, bridge: DataFrame, system: str | Column, id_col: str
 ) -> DataFrame:

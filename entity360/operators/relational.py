@@ -62,7 +62,7 @@ RESOLVED = (
 
 
 def align_events(df: DataFrame, **constants: str) -> DataFrame:
-    """Bring one event branch to the ledger columns, without the bridge's four.
+    """Bring one event branch to the ledger columns, without the bridge's four unless it has them.
 
     ``constants`` become text columns; a column the branch lacks is a typed NULL, or
     a typed empty array.
@@ -71,7 +71,7 @@ def align_events(df: DataFrame, **constants: str) -> DataFrame:
     columns = []
     for field in LEDGER_SCHEMA.fields:
         name, kind = field.name, field.dataType.simpleString()
-        if name in RESOLVED:
+        if name in RESOLVED and name not in present:
             continue
         if name in constants:
             columns.append(F.lit(constants[name]).alias(name))

@@ -20,7 +20,7 @@ from entity360.functions.exprs import (
     normalise_status,
 )
 from entity360.operators.bridge import bridge_lookup
-from entity360.operators.relational import align_events, associated, not_deleted
+from entity360.operators.relational import RESOLVED, align_events, associated, not_deleted
 from entity360.sources.schemas import LEDGER_SCHEMA
 
 
@@ -38,25 +38,41 @@ def _event_key_text() -> Column:
     ).otherwise(key_text(by_company, source_id, F.col("source_company_id")))
 
 
-def _resolve(events: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Look up the canonical company of aligned events, whatever their system.
+def _published(resolved: DataFrame, short_keys: bool = False) -> DataFrame:
+    """Resolved events with their key, which is 64 characters that no compression makes shorter.
 
-    The event key is 64 characters that no compression makes shorter, so it is worked out
-    after the join; in place of it, events come with the part of it that no other column
-    holds: a membership's assignment.
+    So it is worked out after the bridge join; in place of it, events come with the part of it that no
+    other column holds: a membership's assignment. A short key is the same hash as 32 bytes, which sort
+    like the characters.
     """
-    found = bridge_lookup(events, bridge, events["source_system"], "source_company_id")
-    hashed = found.withColumn("engagement_event_id", hashed_key(_event_key_text()))
+    key = hashed_key(_event_key_text())
+    hashed = resolved.withColumn("engagement_event_id", F.unhex(key) if short_keys else key)
     return hashed.select(*LEDGER_SCHEMA.fieldNames())
 
 
+def _resolve(events: DataFrame, bridge: DataFrame, short_keys: bool = False) -> DataFrame:
+    """Look up the canonical company of aligned events, whatever their system."""
+    found = bridge_lookup(events, bridge, events["source_system"], "source_company_id")
+    return _published(found, short_keys)
+
+
+def _resolved_links(links: DataFrame, company_col: str, bridge: DataFrame) -> DataFrame:
+    """CRM links with the canonical company of the linked one.
+
+    Links are narrow; looked up before they meet the wide rows of deals or projects, they spare those
+    the shuffle to the bridge.
+    """
+    keyed = links.withColumn("_company", F.col(company_col).cast("string"))
+    return bridge_lookup(keyed, bridge, C.HUBSPOT, "_company").drop("_company")
+
+
 def _newest(events: DataFrame, limit: int) -> DataFrame:
     """Each source company's newest events of a branch, by the order that ``engagement_lists`` goes by.
 
-    A source company has one canonical company, so the newest events of that one are among these. The
-    limit works ahead of the shuffle, too.
+    A source company has one canonical company, so the newest events of that one are among these. A branch
+    has one type. The limit works ahead of the shuffle, too.
     """
-    newest = Window.partitionBy("source_company_id", "engagement_type").orderBy(
+    newest = Window.partitionBy("source_company_id").orderBy(
         F.col("start_date").desc_nulls_last(), F.col("_key")
     )
     ranked = events.withColumn("_key", hashed_key(_event_key_text())).withColumn(
@@ -65,6 +81,11 @@ def _newest(events: DataFrame, limit: int) -> DataFrame:
     return ranked.where(F.col("_rank") <= limit).drop("_key", "_rank")
 
 
+def _resolved_columns(pairs: DataFrame) -> list[str]:
+    """What the bridge has said of the links already, if they were looked up."""
+    return [name for name in RESOLVED if name in pairs.columns]
+
+
 def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
     pairs = associated(
         deals, assoc, "deal_id", "deal_id", C.PRIMARY_COMPANY_TYPE, C.PRIMARY_COMPANY_CATEGORY
@@ -81,6 +102,7 @@ def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
             F.to_date(F.coalesce("work_start_date", "close_date", "created_at")).alias("start_date"),
             F.to_date("work_end_date").alias("end_date"),
             F.col("deal_amount").alias("amount"),
+            *_resolved_columns(pairs),
         ),
         source_system=C.HUBSPOT,
         engagement_category=C.BUSINESS,
@@ -91,12 +113,14 @@ def _deal_rows(deals: DataFrame, assoc: DataFrame) -> DataFrame:
 def project_partners(assoc: DataFrame, company: DataFrame) -> DataFrame:
     """Distinct partner ids and names per project, before any join with projects.
 
-    The arrays drop repeated links themselves, before the shuffle and after it.
+    The arrays drop repeated links themselves. Links are moved as they are: arrays of one or two
+    partners, gathered before the shuffle, take more.
     """
     partners = assoc.where(F.col("type_id") == C.PROJECT_PARTNER_TYPE).select("from_id", "to_id")
     names = company.select(F.col("id"), F.col("property_name"))
     return (
         partners.join(names, F.col("id") == F.col("to_id"), "left")
+        .repartition("from_id")
         .groupBy(F.col("from_id").alias("project_id"))
         .agg(
             distinct_sorted(F.col("to_id").cast("string")).alias("partner_company_ids"),
@@ -105,9 +129,13 @@ def project_partners(assoc: DataFrame, company: DataFrame) -> DataFrame:
     )
 
 
-def _startup_project_rows(projects: DataFrame, assoc: DataFrame, company: DataFrame) -> DataFrame:
+def _startup_project_rows(
+    projects: DataFrame, assoc: DataFrame, company: DataFrame, startups: DataFrame | None = None
+) -> DataFrame:
+    """``startups`` are the associations with the startups' companies looked up, if they were."""
     live = not_deleted(projects, "_fivetran_deleted")
-    pairs = associated(live, assoc, "id", "from_id", C.PROJECT_STARTUP_TYPE)
+    links = assoc if startups is None else startups
+    pairs = associated(live, links, "id", "from_id", C.PROJECT_STARTUP_TYPE)
     partners = project_partners(assoc, company)
     joined = pairs.join(partners, F.col("project_id") == F.col("id"), "left")
     raw = F.col("property_project_status")
@@ -126,6 +154,7 @@ def _startup_project_rows(projects: DataFrame, assoc: DataFrame, company: DataFr
                 "partner_company_ids"
             ),
             F.coalesce("partner_names", F.array().cast("array<string>")).alias("partner_names"),
+            *_resolved_columns(pairs),
         ),
         source_system=C.HUBSPOT,
         engagement_category=C.BUSINESS,
@@ -213,19 +242,43 @@ def engagement_ledger(
     bridge: DataFrame,
     as_of: date,
     newest: int | None = None,
+    small_workspace: bool = False,
+    short_keys: bool = False,
 ) -> DataFrame:
     """All four branches, resolved by one bridge join after the union.
 
     One join shuffles the bridge once instead of once per branch, and rows are keyed
     by source id, so unmapped events never pile up on a NULL canonical id.
 
+    ``small_workspace`` says that the workspace part of the bridge fits into every task (see ``is_small``).
+    Then memberships, which are most of the rows, find their company where they are and aren't shuffled,
+    and the other branches have joins of their own: deals and projects by their links, ahead of the
+    join with the wide rows.
+
+    ``short_keys`` leaves event ids as bytes, for readers that only sort by them.
+
     ``newest`` serves lists of a company's newest events and needs no whole ledger: memberships and services
     projects, of which a company may have very many, are cut to that many per source company before
-    the join. All that a list of that length holds is still there.
+    they are shuffled to the bridge. All that a list of that length holds is still there.
     """
-    deal_rows = _deal_rows(deals, deal_assoc)
-    project_rows = _startup_project_rows(projects, project_assoc, company)
-    many = [_membership_rows(detail, as_of), _services_project_rows(services_projects)]
+    members, services = _membership_rows(detail, as_of), _services_project_rows(services_projects)
+    if newest is not None:
+        services = _newest(services, newest)
+    if small_workspace:
+        startups = _resolved_links(project_assoc, "to_id", bridge)
+        branches = [
+            _deal_rows(deals, _resolved_links(deal_assoc, "company_id", bridge)),
+            _startup_project_rows(projects, project_assoc, company, startups),
+            bridge_lookup(members, F.broadcast(bridge), C.OFFICERND, "source_company_id"),
+            bridge_lookup(services, bridge, C.BIGTIME, "source_company_id"),
+        ]
+        return _published(reduce(DataFrame.unionByName, branches), short_keys)
     if newest is not None:
-        many = [_newest(rows, newest) for rows in many]
-    return _resolve(reduce(DataFrame.unionByName, [deal_rows, project_rows, *many]), bridge)
+        members = _newest(members, newest)
+    branches = [
+        _deal_rows(deals, deal_assoc),
+        _startup_project_rows(projects, project_assoc, company),
+        members,
+        services,
+    ]
+    return _resolve(reduce(DataFrame.unionByName, branches), bridge, short_keys)

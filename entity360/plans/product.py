@@ -96,7 +96,12 @@ def build_dim(sources: Tables, bridge: DataFrame) -> DataFrame:
 
 
 def build_ledger(
-    sources: Tables, bridge: DataFrame, as_of: date, newest: int | None = None
+    sources: Tables,
+    bridge: DataFrame,
+    as_of: date,
+    newest: int | None = None,
+    small_workspace: bool = False,
+    short_keys: bool = False,
 ) -> DataFrame:
     return engagement_ledger(
         sources["stg_hubspot_deals"],
@@ -109,6 +114,8 @@ def build_ledger(
         bridge,
         as_of,
         newest,
+        small_workspace,
+        short_keys,
     )
 
 

@@ -20,7 +20,7 @@ from entity360.functions.exprs import (
     surrogate_key,
 )
 from entity360.operators import quality, reconcile
-from entity360.operators.bridge import bridge_lookup
+from entity360.operators.bridge import bridge_lookup, is_small
 from entity360.operators.relational import smallest_distinct
 from entity360.plans import company_dimension as dimension
 from entity360.plans import company_mart as mart
@@ -78,14 +78,23 @@ class Product:
     def dim(self) -> DataFrame:
         return product.build_dim(self.sources, self.bridge)
 
+    @cached_property
+    def small_workspace(self) -> bool:
+        return is_small(self.bridge, C.OFFICERND)
+
+    def _ledger(self, newest: int | None = None, short_keys: bool = False) -> DataFrame:
+        return product.build_ledger(
+            self.sources, self.bridge, AS_OF, newest, self.small_workspace, short_keys
+        )
+
     @cached_property
     def ledger(self) -> DataFrame:
-        return product.build_ledger(self.sources, self.bridge, AS_OF)
+        return self._ledger()
 
     @cached_property
     def newest(self) -> DataFrame:
-        """What lists of newest engagements need of the ledger."""
-        return product.build_ledger(self.sources, self.bridge, AS_OF, C.TIMELINE_LIMIT)
+        """What lists of newest engagements need of the ledger; they only sort by the event ids."""
+        return self._ledger(C.TIMELINE_LIMIT, short_keys=True)
 
     @cached_property
     def status(self) -> DataFrame:

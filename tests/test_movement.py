@@ -1,10 +1,17 @@
 """How often rows are moved, with every side planned as if it were big."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from entity360 import constants as C
 from entity360 import registry
+from entity360.operators.bridge import is_small
 from entity360.plans import company_mart as mart
+from entity360.plans.engagement_ledger import project_partners
+from entity360.plans.product import build_ledger
 from entity360.registry import Product, flat
+from entity360.session import stored
+from entity360.sources.sample import AS_OF
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -65,3 +72,49 @@ def test_lists_need_only_the_newest_events_of_source_companies(product):
     whole = flat(mart.engagement_lists(product.ledger)).collect()
     assert sorted(flat(lists).collect()) == sorted(whole)
     assert product.newest.count() < product.ledger.count()
+
+
+def small_ledger(product, **options):
+    """The ledger as built where the workspace part of the bridge is small."""
+    return build_ledger(product.sources, product.bridge, AS_OF, small_workspace=True, **options)
+
+
+def test_wide_events_are_not_shuffled_to_the_bridge(product):
+    """Memberships stay where they are, deals and projects are looked up by their links."""
+    text = plan(small_ledger(product))
+    assert text.count("BroadcastHashJoin") == 1
+    assert text.count("hashpartitioning(source_company_id") == 1  # services projects
+    # Links of deals and of projects.
+    assert text.count("hashpartitioning(_company") == 2
+    assert text.count("FileScan parquet [s_suppkey") == 1
+
+
+def test_small_workspace_changes_no_event(product):
+    assert sorted(small_ledger(product).collect(), key=str) == sorted(product.ledger.collect(), key=str)
+    whole = flat(mart.engagement_lists(product.ledger)).collect()
+    small = small_ledger(product, newest=C.TIMELINE_LIMIT, short_keys=True)
+    assert sorted(flat(mart.engagement_lists(small)).collect()) == sorted(whole)
+
+
+def test_workspace_is_small_by_its_rows(spark, product):
+    """Counted, up to the limit, and never where broadcasts are off."""
+    rows = product.bridge.where(F.col("source_system") == C.OFFICERND).count()
+    assert not is_small(product.bridge, C.OFFICERND)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    assert is_small(product.bridge, C.OFFICERND) and is_small(product.bridge, C.OFFICERND, rows)
+    assert not is_small(product.bridge, C.OFFICERND, rows - 1)
+
+
+def test_partner_links_are_moved_as_they_are(product):
+    sources = product.sources
+    text = plan(project_partners(sources["hubspot.projects_to_company"], sources["hubspot.company"]))
+    # Both steps of the arrays follow the shuffle.
+    last = text.index("REPARTITION_BY_COL")
+    assert "collect_set" in text[:last] and "collect_set" not in text[last:]
+
+
+def test_shuffle_files_go_with_their_query(spark, product):
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = kept.size()
+    stored(product.ledger)
+    assert kept.size() <= before
