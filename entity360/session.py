@@ -17,6 +17,8 @@ RUNTIME_SETTINGS = {
     # Groups that arrive in order are added up one after another; gathering ones, too: they are too many for a map.
     "spark.sql.execution.replaceHashWithSortAgg": "true",
     "spark.sql.execution.useObjectHashAggregateExec": "false",
+    # What a task scans it may have to sort, as for the newest events; by 32 MB that fits into its memory.
+    "spark.sql.files.maxPartitionBytes": "32MB",
     # A query's shuffle files go when it is done; otherwise they stay until the driver collects garbage.
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
 }

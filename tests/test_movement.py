@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from entity360 import constants as C
 from entity360 import registry
@@ -118,3 +119,23 @@ def test_shuffle_files_go_with_their_query(spark, product):
     before = kept.size()
     stored(product.ledger)
     assert kept.size() <= before
+
+
+def test_lists_sort_by_short_keys_and_cut_memberships_once(spark, product):
+    """Half the characters to move, and no cut of memberships ahead of that of the lists."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    newest = product.newest
+    assert newest.schema["engagement_event_id"].dataType == T.BinaryType()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert plan(mart.engagement_lists(newest)).count("WindowGroupLimit") == 4
+
+
+def test_scan_tasks_are_small_enough_to_sort(spark, product, tmp_path):
+    """Two groups of rows of 20 MB are two tasks."""
+    path = str(tmp_path / "wide")
+    rows = spark.range(0, 5_000_000, 1, 1).select(F.xxhash64("id").alias("n"))
+    rows.write.option("parquet.block.size", 20 << 20).parquet(path)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    tasks = spark.read.parquet(path).rdd.getNumPartitions()
+    spark.conf.unset("spark.sql.files.minPartitionNum")
+    assert tasks == 2
