@@ -140,9 +140,13 @@ def engagement_lists(ledger: DataFrame) -> DataFrame:
     )
 
 
-def engagement_rollup(ledger: DataFrame) -> DataFrame:
-    """Totals and lists side by side; both are already partitioned by company."""
-    return engagement_totals(ledger).join(engagement_lists(ledger), "canonical_company_id", "left")
+def engagement_rollup(
+    ledger: DataFrame, lists: DataFrame | None = None, totals: DataFrame | None = None
+) -> DataFrame:
+    """Totals and lists side by side; what is not given is already partitioned by company."""
+    lists = engagement_lists(ledger) if lists is None else lists
+    totals = engagement_totals(ledger) if totals is None else totals
+    return totals.join(lists, "canonical_company_id", "left")
 
 
 def _fact_defaults() -> dict[str, object]:
@@ -181,12 +185,18 @@ def mapping_quality(joined: DataFrame) -> DataFrame:
 
 
 def company_mart(
-    dim: DataFrame, status: DataFrame, ledger: DataFrame, as_of: date
+    dim: DataFrame,
+    status: DataFrame,
+    ledger: DataFrame,
+    as_of: date,
+    lists: DataFrame | None = None,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """Every dimension company with its facts; companies without facts get defaults.
 
     The ledger is read twice (totals and lists) and the status twice, so publish both as
-    tables before building this at scale: see ``plans.product``.
+    tables before building this at scale: see ``plans.product``. ``lists`` and ``totals`` are what
+    ``engagement_lists`` and ``engagement_totals`` made of it, if that was stored before.
     """
     identity = dim.withColumnsRenamed(
         {
@@ -196,7 +206,7 @@ def company_mart(
     )
     membership = membership_rollup(status, as_of).withColumn("_has_history", F.lit(True))
     joined = identity.join(membership, "canonical_company_id", "left").join(
-        engagement_rollup(ledger), "canonical_company_id", "left"
+        engagement_rollup(ledger, lists, totals), "canonical_company_id", "left"
     )
     filled = with_defaults(mapping_quality(joined), _fact_defaults())
     counted = {

@@ -62,9 +62,10 @@ def unnested(df: DataFrame, array: str) -> DataFrame:
 class Product:
     """The models over one folder of test tables, built on demand.
 
-    What several readers need is worked out once and stored, as when it is published: the ledger's part
-    that the company mart reads twice, and all models below the reports on them. Reports that read a few
-    columns of the mart take the plan as it is, so that only those are worked out.
+    What several readers need is worked out once and stored, as when it is published: all models below the
+    reports on them. The mart's lists of engagements, its widest part, and then the totals are stored before
+    all else, so that the shuffles of each step are gone by the next. Reports that read a few columns of the mart take the plan as it is, so
+    that only those are worked out.
     """
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -100,9 +101,17 @@ class Product:
     def status(self) -> DataFrame:
         return product.build_status(self.sources, self.bridge, AS_OF)
 
+    @cached_property
+    def lists(self) -> DataFrame:
+        return stored(mart.engagement_lists(self.newest))
+
+    @cached_property
+    def totals(self) -> DataFrame:
+        return stored(mart.engagement_totals(mart.mapped_events(self.ledger)))
+
     @cached_property
     def mart(self) -> DataFrame:
-        return mart.company_mart(self.dim, self.status, stored(mart.mapped_events(self.ledger)), AS_OF)
+        return mart.company_mart(self.dim, self.status, self.ledger, AS_OF, self.lists, self.totals)
 
     @cached_property
     def narrow_mart(self) -> DataFrame:
@@ -110,6 +119,7 @@ class Product:
 
     @cached_property
     def stored_models(self) -> dict[str, DataFrame]:
+        lists = self.lists
         models = {
             "bridge_company_source": stored(self.bridge),
             "dim_company": stored(self.dim),
@@ -117,7 +127,7 @@ class Product:
             "mart_membership_status": stored(self.status),
         }
         parts = (models[n] for n in ("dim_company", "mart_membership_status", "fct_engagement_ledger"))
-        models["company_mart"] = stored(mart.company_mart(*parts, AS_OF))
+        models["company_mart"] = stored(mart.company_mart(*parts, AS_OF, lists))
         return models
 
     @cached_property
@@ -127,8 +137,10 @@ class Product:
     @cached_property
     def stored_mart(self) -> DataFrame:
         """The whole mart as published, for reports that read it and no model below but the dimension."""
-        events = stored(mart.mapped_events(self.ledger))
-        return stored(mart.company_mart(self.stored_dim, self.status, events, AS_OF))
+        lists, totals = self.lists, self.totals
+        return stored(
+            mart.company_mart(self.stored_dim, self.status, self.ledger, AS_OF, lists, totals)
+        )
 
     @cached_property
     def reconciled(self) -> tuple[DataFrame, DataFrame]:

@@ -123,3 +123,17 @@ def test_mart_values(mart):
     assert q["engagement_timeline"] == [] and q["total_engagement_count"] == 0
     assert q["has_engagement"] is False and q["has_any_manual_review_mapping"] is False
     assert q["first_engagement_date"] is None and q["current_total_mrr"] == 0.0
+
+
+def test_mart_is_the_same_with_its_parts_stored_before(spark):
+    """Lists and totals handed in, as they are once stored, and no event read for them again."""
+    from entity360.plans import company_mart as mart
+    from entity360.registry import Product, flat
+    from entity360.sources.sample import AS_OF
+
+    p = Product(spark, "/root/testdata/sf0.001")
+    whole = mart.company_mart(p.dim, p.status, p.ledger, AS_OF)
+    assert sorted(map(repr, flat(p.mart).collect())) == sorted(map(repr, flat(whole).collect()))
+    text = p.mart._jdf.queryExecution().executedPlan().toString()
+    # The months of the status are read, no memberships.
+    assert text.count("FileScan parquet [l_") <= 2 and "FileScan parquet [event_id" not in text
