@@ -139,3 +139,13 @@ def test_scan_tasks_are_small_enough_to_sort(spark, product, tmp_path):
     tasks = spark.read.parquet(path).rdd.getNumPartitions()
     spark.conf.unset("spark.sql.files.minPartitionNum")
     assert tasks == 2
+
+
+def test_smoke_reports_store_lists_and_totals_instead_of_events(product, monkeypatch):
+    """What they read of the mart is built from parts that hold one row a company."""
+    kept = []
+    monkeypatch.setattr(registry, "stored", lambda df: kept.append(df.columns) or df)
+    registry._duplicate_companies(product)
+    registry._row_counts(product)
+    assert len(kept) == 4  # lists, totals, dimension and mart
+    assert not any("engagement_event_id" in columns for columns in kept)
