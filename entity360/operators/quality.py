@@ -8,6 +8,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from entity360 import constants as C
@@ -31,9 +32,27 @@ def expect_unique(df: DataFrame, cols: Sequence[str], nulls: str = "skip") -> Da
     if nulls not in ("skip", "group"):
         raise ValueError(f"nulls must be 'skip' or 'group', not {nulls!r}")
     rows = df.dropna(subset=list(cols)) if nulls == "skip" else df
+    if len(cols) == 1 and isinstance(df.schema[cols[0]].dataType, T.StringType):
+        return _repeated_texts(rows, cols[0])
     return rows.groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
 
 
+def _repeated_texts(df: DataFrame, col: str) -> DataFrame:
+    """Texts on more than one row, with their row count.
+
+    A text of lower-case hexadecimal digits, as event ids are, is grouped by the bytes that it spells, which
+    are half as many to move; any other text by itself. Only one text spells given bytes, so groups are the same.
+    """
+    text, spelt = F.col(col), F.unhex(F.col(col))
+    digits = F.lower(F.hex(spelt)) == text
+    groups = df.groupBy(
+        F.when(digits, spelt).alias("_bytes"), F.when(~F.coalesce(digits, F.lit(False)), text).alias("_text")
+    )
+    counted = groups.agg(F.count(F.lit(1)).alias("row_count")).where("row_count > 1")
+    restored = F.coalesce(F.lower(F.hex("_bytes")), F.col("_text"))
+    return counted.select(restored.alias(col), "row_count")
+
+
 def expect_accepted(df: DataFrame, col: str, values: Sequence[Any]) -> DataFrame:
     """Rows with a value outside the list; NULL passes."""
     return df.where(~F.col(col).isin(*values))

@@ -149,3 +149,18 @@ def test_expectation_lists_name_existing_columns():
     for rules in (q.NOT_NULL, q.ACCEPTED, q.UNIQUE, q.UNIQUE_COMBINATION):
         for model, names in rules.items():
             assert set(names) <= set(columns[model].fieldNames()), model
+
+
+def test_repeated_texts_are_counted_by_their_own_spelling(spark):
+    """Hexadecimal texts move as bytes; no two texts are taken for one."""
+    texts = ["", "", "ab", "AB", "ab", "0ab", "ab ", "zz", "zz", "a", "a", "00", "0", "é", "é", None, None]
+    df = spark.createDataFrame([(t,) for t in texts], "id string")
+    twice = {t: texts.count(t) for t in texts if texts.count(t) > 1}
+    found = {r["id"]: r["row_count"] for r in q.expect_unique(df, ["id"], nulls="group").collect()}
+    assert found == twice
+    del twice[None]
+    unique = q.expect_unique(df, ["id"])
+    assert {r["id"]: r["row_count"] for r in unique.collect()} == twice
+    assert unique.schema["id"].dataType.simpleString() == "string"
+    text = unique._jdf.queryExecution().executedPlan().toString()
+    assert "unhex(" in text[text.index("Exchange") :]
